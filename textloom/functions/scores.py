@@ -2,10 +2,16 @@
 
 A row already holds all scores of one position, so scaling, filtering,
 normalising and picking need neither a window nor a shuffle.
+
+A lambda body is evaluated for every element, so a value of the whole row (a
+cut, a peak, a total) is never written into one: it goes in as a second array,
+built once per row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +20,15 @@ def as_scores(values: Column) -> Column:
     return values.cast("array<double>")
 
 
+def _with_row_value(values: Column, row_value: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``combine(element, row_value)`` for every element."""
+    return F.zip_with(values, F.array_repeat(row_value, F.size(values)), combine)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+
 def scale(scores: Column, temperature: float) -> Column:
     return F.transform(scores, lambda z: z / F.lit(float(temperature)))
 
@@ -27,16 +42,15 @@ def top_k_mask(scores: Column, k: int) -> Column:
     """Scores below the k-th largest become null; ties with it stay. ``k <= 0`` keeps all."""
     if k <= 0:
         return scores
-    cut = kth_largest(scores, k)
-    return F.transform(scores, lambda z: F.when(z >= cut, z))
+    return _with_row_value(scores, kth_largest(scores, k), lambda z, cut: F.when(z >= cut, z))
 
 
 def softmax(masked: Column) -> Column:
     """Probabilities over the non-null scores; null scores get 0."""
-    peak = F.array_max(masked)
-    weights = F.transform(masked, lambda z: F.coalesce(F.exp(z - peak), F.lit(0.0)))
-    total = F.aggregate(weights, F.lit(0.0), lambda a, w: a + w)
-    return F.transform(weights, lambda w: w / total)
+    weights = _with_row_value(
+        masked, F.array_max(masked), lambda z, peak: F.coalesce(F.exp(z - peak), F.lit(0.0))
+    )
+    return _with_row_value(weights, _total(weights), lambda w, total: w / total)
 
 
 def pick(probabilities: Column, uniform: Column) -> Column:
@@ -45,22 +59,27 @@ def pick(probabilities: Column, uniform: Column) -> Column:
     Cumulative sums are rounded to 12 places; if rounding leaves the total at or
     below ``uniform``, the last position with a positive probability is taken.
     """
-    indexed = F.transform(probabilities, lambda p, i: F.struct(p.alias("p"), i.alias("i")))
     start = F.struct(
-        F.lit(0.0).alias("total"), F.lit(-1).alias("hit"), F.lit(-1).alias("last")
+        uniform.alias("u"),
+        F.lit(0.0).alias("total"),
+        F.lit(0).alias("place"),
+        F.lit(-1).alias("hit"),
+        F.lit(-1).alias("last"),
     )
 
-    def step(acc: Column, item: Column) -> Column:
-        total = acc["total"] + item["p"]
-        found = (acc["hit"] < 0) & (item["p"] > 0) & (F.round(total, 12) > uniform)
+    def step(acc: Column, p: Column) -> Column:
+        total = acc["total"] + p
+        found = (acc["hit"] < 0) & (p > 0) & (F.round(total, 12) > acc["u"])
         return F.struct(
+            acc["u"].alias("u"),
             total.alias("total"),
-            F.when(found, item["i"]).otherwise(acc["hit"]).alias("hit"),
-            F.when(item["p"] > 0, item["i"]).otherwise(acc["last"]).alias("last"),
+            (acc["place"] + 1).alias("place"),
+            F.when(found, acc["place"]).otherwise(acc["hit"]).alias("hit"),
+            F.when(p > 0, acc["place"]).otherwise(acc["last"]).alias("last"),
         )
 
     return F.aggregate(
-        indexed, start, step, lambda acc: F.when(acc["hit"] >= 0, acc["hit"]).otherwise(acc["last"])
+        probabilities, start, step, lambda acc: F.when(acc["hit"] >= 0, acc["hit"]).otherwise(acc["last"])
     )
 
 
@@ -72,5 +91,5 @@ def greedy(scores: Column) -> Column:
 def cross_entropy(scores: Column, target: Column) -> Column:
     """log-sum-exp of the scores minus the score of the 0-based target."""
     peak = F.array_max(scores)
-    total = F.aggregate(scores, F.lit(0.0), lambda a, z: a + F.exp(z - peak))
+    total = _total(_with_row_value(scores, peak, lambda z, m: F.exp(z - m)))
     return peak + F.log(total) - F.get(scores, target)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import scores
-from textloom.functions.arrays import crop_context
+from textloom.functions.arrays import crop_context, shift_labels, truncate
 from textloom.operators.bpe import PAD, UNK
 from textloom.operators.split import DEFAULT_SEED
 from textloom.plans.lookup import lookup_join
@@ -23,20 +23,19 @@ def weighted_pairs(ids: Column, max_length: int) -> Column:
     The (pad, pad) pairs of one row are a single entry with their number as
     weight, so padding does not multiply the rows to count.
     """
-    cut = F.slice(ids, 1, max_length)
+    cut = truncate(ids, max_length)
     n = F.size(cut)
-    real = F.transform(
+    real = F.zip_with(
         cut,
-        lambda x, i: F.struct(
-            x.alias("input_id"),
-            F.coalesce(F.get(cut, i + 1), F.lit(PAD)).alias("label"),
-            F.lit(1).cast("bigint").alias("w"),
-        ),
+        shift_labels(cut, PAD),
+        lambda x, y: F.struct(x.alias("input_id"), y.alias("label"), F.lit(1).cast("bigint").alias("w")),
     )
     pads = F.struct(
         F.lit(PAD).alias("input_id"), F.lit(PAD).alias("label"), (max_length - n).cast("bigint").alias("w")
     )
-    return F.when(n < max_length, F.concat(real, F.array(pads))).otherwise(real)
+    # an empty row has labels of one pad but no id to pair it with
+    pairs = F.when(n > 0, real).otherwise(F.slice(real, 1, 0))
+    return F.when(n < max_length, F.concat(pairs, F.array(pads))).otherwise(pairs)
 
 
 def pair_rows(encoded: DataFrame, max_length: int, keys: list[str], ids_col: str = "ids") -> DataFrame:
@@ -107,12 +106,9 @@ def successors(counts: DataFrame, top_k: int = 1, temperature: float = 1.0) -> D
         F.col("_e.label").alias("_labels"),
         scores.top_k_mask(scores.scale(logits, temperature), top_k).alias("_masked"),
     )
-    probs = F.col("_probs")
-    return masked.withColumn("_probs", scores.softmax(F.col("_masked"))).select(
-        "input_id",
-        F.filter("_labels", lambda _, i: F.get("_probs", i) > 0).alias("next_ids"),
-        F.filter(probs, lambda p: p > 0).alias("probs"),
-    )
+    scored = masked.select("input_id", F.arrays_zip("_labels", scores.softmax(F.col("_masked")).alias("_p")).alias("_z"))
+    likely = scored.withColumn("_z", F.filter("_z", lambda e: e["_p"] > 0))
+    return likely.select("input_id", F.col("_z._labels").alias("next_ids"), F.col("_z._p").alias("probs"))
 
 
 def generate(
