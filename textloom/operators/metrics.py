@@ -98,10 +98,8 @@ def latest_checkpoint(checkpoints: DataFrame) -> DataFrame:
 
 def artifact_versions(uploads: DataFrame) -> DataFrame:
     """Uploads (name, created_step, path) with ``version`` 0, 1, ... per name."""
-    ranked = rank_within(uploads, ["name"], ["created_step"], rank_col="_rank")
-    return uploads.join(ranked, ["name", "created_step"]).select(
-        "name", (F.col("_rank") - 1).alias("version"), "path", "created_step"
-    )
+    ranked = rank_within(uploads, ["name"], ["created_step"], rank_col="_rank", carry=["path"])
+    return ranked.select("name", (F.col("_rank") - 1).alias("version"), "path", "created_step")
 
 
 def resolve_artifact(registry: DataFrame, reference: str) -> DataFrame:

@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,15 +99,16 @@ def first_k(df: DataFrame, value: Column, ties: list[Column], k: int, bounds: tu
     return (value < F.lit(cut)) | ((value == F.lit(cut)) & at_most)
 
 
-def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id") -> DataFrame:
-    """``keys`` plus a dense 0-based ``row_id`` in key order.
+def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id", carry: Sequence[str] = ()) -> DataFrame:
+    """``keys`` and ``carry`` columns plus a dense 0-based ``row_id`` in key order.
 
-    Only the keys are shuffled. They are range-partitioned, sorted and written
-    with their place inside the partition, so the counts and the final ids come
-    from the same frozen layout even if a task has to be repeated.
+    Only these columns are shuffled. They are range-partitioned, sorted and
+    written with their place inside the partition, so the counts and the final
+    ids come from the same frozen layout even if a task has to be repeated.
+    Carry narrow columns only; wide ones are cheaper to join by key.
     """
     placed = materialise(
-        df.select(*keys)
+        df.select(*keys, *carry)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id()),
@@ -123,7 +125,7 @@ def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id") -> DataFrame:
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(*keys, (F.col("_start") + F.expr("_place & 8589934591L")).alias(id_col))
+        .select(*keys, *carry, (F.col("_start") + F.expr("_place & 8589934591L")).alias(id_col))
     )
 
 
@@ -132,17 +134,19 @@ def with_row_id(df: DataFrame, *keys: str, id_col: str = "row_id") -> DataFrame:
     return df.join(row_ids(df, *keys, id_col=id_col), list(keys))
 
 
-def rank_within(df: DataFrame, group: list[str], order: list[str], rank_col: str = "step") -> DataFrame:
-    """``group`` and ``order`` columns plus a 1-based rank inside each group.
+def rank_within(
+    df: DataFrame, group: list[str], order: list[str], rank_col: str = "step", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``group``, ``order`` and ``carry`` columns plus a 1-based rank inside each group.
 
     A window partitioned by group would sort a hot group in one task. Here the
     global position is taken first, and the first position of the row's group
     is subtracted from it.
     """
-    ids = materialise(row_ids(df, *group, *order, id_col="_pos"), "rank")
-    starts = materialise(ids.groupBy(*group).agg(F.min("_pos").alias("_first")), "rank-starts")
+    ids = row_ids(df, *group, *order, id_col="_pos", carry=carry)
+    starts = materialise(ids.groupBy(*group).agg(F.min("_pos").alias("_first")), "group-starts")
     return lookup_join(ids, starts, group, salt_by=["_pos"]).select(
-        *group, *order, (F.col("_pos") - F.col("_first") + 1).alias(rank_col)
+        *group, *order, *carry, (F.col("_pos") - F.col("_first") + 1).alias(rank_col)
     )
 
 

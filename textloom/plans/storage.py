@@ -27,9 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def app_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/textloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other call will be given."""
-    return f"{shared_dir(spark)}/textloom/{label}-{uuid.uuid4().hex}"
+    """A path that no other call will be given."""
+    return f"{app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop all intermediate tables of this application. Frames that read them end here."""
+    fs, path = _hadoop_path(spark, app_dir(spark))
+    fs.delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textloom.operators.bpe import BpeModel, encode
 from textloom.operators.split import split_by_hash
 from textloom.plans.layout import spread
-from textloom.plans.storage import shared_dir
+from textloom.plans.storage import app_dir
 from textloom.sources.artifacts import load_or_train
 
 # Merges of the tokenizer used by the registered queries; the SQL unrolls them.
@@ -34,8 +34,8 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenizer(spark: SparkSession, sf_dir: str, source: str = "documents", key: str = "doc_id") -> BpeModel:
     """The tokenizer fitted on a whole table, saved once per application."""
-    place = hashlib.md5(f"{spark.sparkContext.applicationId}:{sf_dir}:{source}".encode()).hexdigest()
-    path = f"{shared_dir(spark)}/textloom/tokenizer-{place}"
+    place = hashlib.md5(f"{sf_dir}:{source}".encode()).hexdigest()
+    path = f"{app_dir(spark)}/tokenizer-{place}"
     data = spread(table(spark, sf_dir, source).select(key, "text"), key)
     return load_or_train(spark, path, data, order_key=key, max_merges=N_MERGES)
 

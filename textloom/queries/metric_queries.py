@@ -25,7 +25,7 @@ def _events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir, "ts", (F.col("value") / 100).alias("value"))
-    return events.join(rank_within(events, ["run"], ["ts"]), ["run", "ts"]).select("run", "step", "value")
+    return rank_within(events, ["run"], ["ts"], carry=["value"]).select("run", "step", "value")
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
