@@ -13,7 +13,8 @@ from textloom.sources.files import scan, sorted_files
 from textloom.sources.sinks import read_corpus, write_corpus
 from textloom.sources.snapshots import scan_snapshot
 
-_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Text goes out as it is, quotes doubled.
+_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _written(spark: SparkSession, sf_dir: str, fmt: str, **options: str) -> str:
@@ -37,7 +38,7 @@ _CHECKED_SQL = "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM
 
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(spark, sf_dir, "csv", header="true", escape='"')
+    path = _written(spark, sf_dir, "csv", **_CSV)
     return _checked(scan(spark, path, "csv"))
 
 
@@ -78,7 +79,7 @@ def config_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A local CSV configuration; rows are numbered in file order."""
     path = scratch_path(spark, "corpus-csv")
     in_order = documents(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    in_order.write.option("header", "true").option("escape", '"').csv(path)
+    in_order.write.options(**_CSV).csv(path)
     catalogue = {
         "select": "csv_corpus",
         "configs": {"csv_corpus": {"source": "local", "data_dir": path, "type": "csv", "train_ratio": 0.8}},
