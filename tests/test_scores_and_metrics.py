@@ -83,12 +83,12 @@ def test_unfinished_window_is_not_emitted(log):
     assert as_windows(M.metric_windows(log)) == windows_by_hand()
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_stream_equals_batch(spark, log, files):
+@pytest.mark.parametrize("files,per_key", [(1, 64), (4, 64), (4, 1)])
+def test_stream_equals_batch(spark, log, files, per_key):
     source, sink = scratch_path(spark, "log"), scratch_path(spark, "out")
     log.orderBy(F.rand(3)).repartition(files).write.parquet(source)  # arrival order does not matter
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    run_to_table(stream_metric_windows(stream), sink, scratch_path(spark, "state"))
+    run_to_table(stream_metric_windows(stream, windows_per_key=per_key), sink, scratch_path(spark, "state"))
     assert as_windows(spark.read.parquet(sink)) == windows_by_hand()
 
 

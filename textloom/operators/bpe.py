@@ -16,16 +16,8 @@ from pyspark.sql import functions as F
 
 from textloom.functions import arrays
 from textloom.functions.text import characters, coerce_text, pretokens
-from textloom.operators.corpus_stats import (
-    MIN_FREQUENCY,
-    alphabet,
-    apply_merge,
-    pair_counts,
-    spaced,
-    top_pairs,
-    unspaced,
-    word_counts,
-)
+from textloom.operators.bpe_state import Merge, apply_merges, partial_pair_counts
+from textloom.operators.corpus_stats import MIN_FREQUENCY, alphabet, top_pairs, word_counts
 from textloom.operators.split import NUM_SAMPLES, sample_prefix
 from textloom.plans.storage import materialise
 
@@ -37,9 +29,9 @@ VOCAB_SIZE = 8192
 MAX_LENGTH = 512
 
 # Most frequent pairs looked at per round of the fit.
-CANDIDATES = 256
-# Rounds between two writes of the word table.
-ROUNDS_PER_WRITE = 8
+CANDIDATES = 1024
+# Merges applied while counting before the word table is written again.
+MERGES_PER_WRITE = 64
 # Words remembered by one task while encoding.
 WORD_MEMORY = 200_000
 
@@ -94,27 +86,36 @@ def take_safe_batch(
     """The leading candidates that one-at-a-time merging would choose in this order.
 
     ``candidates`` are (n, left, right), best first; ``complete`` says that there
-    are no others. A merge of (a, b) only creates pairs no more frequent than an
-    existing pair sharing a or b with it, and every pair more frequent than the
-    next candidate has been taken. So the next candidate stays the best as long
-    as it shares no symbol with those taken and no untaken pair that does share
-    one has the same count. Two kinds of merge void the argument and end the
-    batch: a symbol with itself, and one whose result is an existing token.
+    are no others. With T the pairs taken so far, the next candidate (c, d) is
+    still the best one if
+
+    * its count is untouched: c is no right symbol in T and d is no left symbol
+      in T (sharing a symbol on the same side is harmless), and
+    * no pair created by T comes before it. A merge of (a, b) creates pairs (x, ab)
+      and (ab, y) no more frequent than (x, a) and (b, y), which are not in T and
+      so no more frequent than (c, d). On equal counts (ab, y) comes later, as
+      ab is the newer symbol; (x, ab) comes earlier only if x < c.
+
+    Two kinds of merge void the argument and end the batch: a symbol with
+    itself, and one whose result is an existing token.
     """
     batch: list[tuple[int, int, int]] = []
-    touched: set[int] = set()
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    by_count: dict[int, list[tuple[int, int]]] = {}
     for n, left, right in candidates:
-        if left in touched or right in touched:
+        by_count.setdefault(n, []).append((left, right))
+    for n, left, right in candidates:
+        if left in rights or right in lefts:
             break
         if batch:
             ties_visible = complete or candidates[-1][0] < n
-            rivals = (
-                (l, r) for m, l, r in candidates if m == n and (m, l, r) not in batch and (l in touched or r in touched)
-            )
-            if not ties_visible or any(rivals):
+            # such a pair cannot be in T: its right symbol would be a left symbol of T
+            if not ties_visible or any(r in lefts and l < left for l, r in by_count[n]):
                 break
         batch.append((n, left, right))
-        touched |= {left, right}
+        lefts.add(left)
+        rights.add(right)
         if left == right or merged_exists(left, right):
             break
     return batch
@@ -129,23 +130,27 @@ def fit_words(
     """Fit on a (word, n) table, which must be cheap to read more than once.
 
     Each round is one aggregation over the distinct words that returns at most
-    CANDIDATES pairs, and extends the word table by string replacements. The
-    table is rewritten every few rounds and loses the words with no pairs left.
+    CANDIDATES pairs. Merges chosen since the table was last written are applied
+    while counting; the table is rewritten every few rounds and loses the words
+    with no pairs left.
     """
     spark = counts.sparkSession
     chars = sorted(r[0] for r in alphabet(counts).collect())  # bounded by the character set
     model = BpeModel([*SPECIAL_TOKENS, *chars], len(chars))
     ids = model.ids
     char_ids = F.arrow_udf(_char_encoder(ids), "array<int>")
-    state = counts.select(spaced(char_ids(characters(F.col("word"))).cast("array<string>")).alias("state"), "n")
-    rounds = 0
-    while model.vocab_size < vocab_size and (max_merges is None or len(model.merges) < max_merges):
-        if rounds % ROUNDS_PER_WRITE == 0:
-            mergeable = state.where(F.trim("state").contains(" "))
-            state = materialise(mergeable.repartition(spark.sparkContext.defaultParallelism), "bpe-state")
-        rounds += 1
-        symbols = unspaced(F.col("state")).cast("array<int>")
-        rows = top_pairs(pair_counts(state, symbols, min_frequency), CANDIDATES).collect()
+    state = counts.select(char_ids(characters(F.col("word"))).alias("ids"), "n").where(F.size("ids") > 1)
+    state = materialise(state.repartition(spark.sparkContext.defaultParallelism), "bpe-state")
+    pending: list[Merge] = []
+
+    def room() -> bool:
+        return model.vocab_size < vocab_size and (max_merges is None or len(model.merges) < max_merges)
+
+    while room():
+        if len(pending) >= MERGES_PER_WRITE:
+            state, pending = materialise(apply_merges(state, pending), "bpe-state"), []
+        pairs = partial_pair_counts(state, pending).groupBy("l", "r").agg(F.sum("n").alias("n"))
+        rows = top_pairs(pairs.where(F.col("n") >= min_frequency), CANDIDATES).collect()
         candidates = [(r["n"], r["l"], r["r"]) for r in rows]
         batch = take_safe_batch(
             candidates, len(candidates) < CANDIDATES, lambda l, r: model.tokens[l] + model.tokens[r] in ids
@@ -154,7 +159,7 @@ def fit_words(
             break
         made: set[str] = set()
         for n, left, right in batch:
-            if model.vocab_size >= vocab_size or (max_merges is not None and len(model.merges) >= max_merges):
+            if not room():
                 break
             token = model.tokens[left] + model.tokens[right]
             repeated = token in made
@@ -163,7 +168,7 @@ def fit_words(
                 model.tokens.append(token)
                 made.add(token)
             model.merges.append((model.tokens[left], model.tokens[right], n))
-            state = state.withColumn("state", apply_merge(F.col("state"), left, right, ids[token]))
+            pending.append((left, right, ids[token]))
             if repeated:
                 break
     return model

@@ -105,7 +105,7 @@ def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id", carry: Sequence[s
     Only these columns are shuffled. They are range-partitioned, sorted and
     written with their place inside the partition, so the counts and the final
     ids come from the same frozen layout even if a task has to be repeated.
-    Carry narrow columns only; wide ones are cheaper to join by key.
+    Wide columns are usually cheaper to join by key than to carry.
     """
     placed = materialise(
         df.select(*keys, *carry)

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.split import DEFAULT_RATIO, DEFAULT_SEED, split_by_hash
-from textloom.plans.ordering import with_row_id
-from textloom.plans.storage import materialise
+from textloom.plans.ordering import row_ids
 from textloom.sources.files import ORDER_COLUMNS, scan
 from textloom.sources.snapshots import scan_snapshot
 
@@ -53,10 +52,7 @@ def read_source(spark: SparkSession, config: dict[str, Any]) -> tuple[DataFrame,
             )
     if "text" not in df.columns:
         raise ValueError("the dataset has no 'text' column")
-    if key:
-        return df, [key]
-    # the line counter depends on how files were packed into tasks: freeze it
-    return materialise(df, "dataset"), list(ORDER_COLUMNS)
+    return df, [key] if key else list(ORDER_COLUMNS)
 
 
 def dataset_from_config(
@@ -70,8 +66,10 @@ def dataset_from_config(
     df, order = read_source(spark, config)
     key = config.get("key")
     if not key:
+        # The line counter depends on how files were packed into tasks, so all
+        # columns go along and the numbered table is written once.
         key = "row_id"
-        df = materialise(with_row_id(df, *order).drop(*order), "dataset-rows")
+        df = row_ids(df, *order, carry=[c for c in df.columns if c not in order]).drop(*order)
     ratio = float(config.get("train_ratio", DEFAULT_RATIO))
     marked = split_by_hash(df, [key], ratio, seed)
     parts = {name: marked.where(F.col("split") == name).drop("split") for name in ("train", "validation")}

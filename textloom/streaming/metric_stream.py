@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,41 +16,50 @@ from textloom.operators.metrics import LOG_INTERVAL, latest_checkpoint
 _OUTPUT = "run bigint, step bigint, train_loss double, train_perplexity double"
 _STATE = "steps array<bigint>, losses array<double>"
 
+# Windows of one run that share a state entry: bounds both the state and the
+# rows handed to one call.
+WINDOWS_PER_KEY = 64
 
-def stream_metric_windows(log: DataFrame, interval: int = LOG_INTERVAL) -> DataFrame:
+
+def stream_metric_windows(
+    log: DataFrame, interval: int = LOG_INTERVAL, windows_per_key: int = WINDOWS_PER_KEY
+) -> DataFrame:
     """Full windows of a streaming (run, step, value) log, emitted once complete.
 
-    State is kept per (run, window): at most ``interval`` - 1 values, removed
-    with the window's last step. Entries may arrive in any order, and a long
-    run spreads over as many tasks as it has windows.
+    State is kept per (run, block of windows): the values of the block's
+    unfinished windows, nothing once they are all emitted. Entries may arrive in
+    any order, and a long run spreads over as many tasks as it has blocks.
     """
 
-    def collect_window(
+    def collect_windows(
         key: tuple[int, int], chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        seen = dict(zip(*state.get)) if state.exists else {}
-        for chunk in chunks:
-            seen.update(zip(chunk["step"].tolist(), chunk["value"].tolist()))
-        run, window = key
-        if len(seen) < interval:
-            state.update((list(seen), list(seen.values())))
-            return
-        state.remove()
-        loss = math.fsum(seen.values()) / interval
-        yield pd.DataFrame(
-            {
-                "run": [run],
-                "step": [(window + 1) * interval],
-                "train_loss": [loss],
-                "train_perplexity": [math.exp(loss)],
-            }
-        )
-
-    window = F.floor((F.col("step") - 1) / F.lit(interval)).cast("bigint")
+        held = [pd.DataFrame(dict(zip(("step", "value"), state.get)))] if state.exists else []
+        entries = pd.concat([*held, *(c[["step", "value"]] for c in chunks)], ignore_index=True)
+        entries = entries.drop_duplicates("step", keep="last").sort_values("step")
+        window = (entries["step"] - 1) // interval
+        full = window.groupby(window).transform("size") == interval
+        rest = entries[~full]
+        if len(rest):
+            state.update((rest["step"].tolist(), rest["value"].tolist()))
+        elif state.exists:
+            state.remove()
+        if full.any():
+            loss = entries[full].groupby(window[full])["value"].mean()
+            yield pd.DataFrame(
+                {
+                    "run": key[0],
+                    "step": (loss.index.to_numpy() + 1) * interval,
+                    "train_loss": loss.to_numpy(),
+                    "train_perplexity": np.exp(loss.to_numpy()),
+                }
+            )
+
+    block = F.floor((F.col("step") - 1) / F.lit(interval * windows_per_key)).cast("bigint")
     return (
-        log.select(F.col("run").cast("bigint").alias("run"), "step", "value", window.alias("window"))
-        .groupBy("run", "window")
-        .applyInPandasWithState(collect_window, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+        log.select(F.col("run").cast("bigint").alias("run"), "step", "value", block.alias("block"))
+        .groupBy("run", "block")
+        .applyInPandasWithState(collect_windows, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
 
