@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import split as S
+from textloom.plans import lookup as L
 from textloom.plans import ordering as O
 from textloom.plans.lookup import lookup_join
 
@@ -39,13 +40,13 @@ def test_cut_search_descends_levels(spark, monkeypatch):
     keys = rng.sample(range(-(10**12), 10**12), 300)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     for size in (1, 2, 150, 299, 300, 400):
-        kept = df.where(O.first_k(df, F.col("k"), [F.col("k")], size))
+        kept = df.where(O.first_k(df, [F.col("k")], size))
         assert sorted(r["k"] for r in kept.collect()) == sorted(keys)[:size]
 
 
 def test_cut_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(i // 10, i) for i in range(100)], "v long, k long")
-    kept = df.where(O.first_k(df, F.col("v"), [F.col("k")], 37))
+    kept = df.where(O.first_k(df, [F.col("v"), F.col("k")], 37, prefix=F.col("v")))
     assert sorted(r["k"] for r in kept.collect()) == list(range(37))
 
 
@@ -84,10 +85,11 @@ def test_rank_within_a_hot_group(spark):
 
 
 @pytest.mark.parametrize("limit", [10, 2])
-def test_lookup_join_both_ways(spark, limit):
+def test_lookup_join_both_ways(spark, monkeypatch, limit):
+    monkeypatch.setattr(L, "BROADCAST_ROWS", limit)
     facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "i int, k string")
     lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, v int")
-    got = lookup_join(facts, lookup, ["k"], salt_by=["i"], how="left", broadcast_rows=limit)
+    got = lookup_join(facts, lookup, ["k"], salt_by=["i"], how="left")
     want = {i: {"hot": 1, "k0": 2, "k3": 3}.get("hot" if i % 3 else f"k{i}") for i in range(60)}
     assert {r["i"]: r["v"] for r in got.collect()} == want
     assert sorted(got.columns) == ["i", "k", "v"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators import batches as B
 from textloom.operators import scoring as S
-from textloom.plans.lookup import lookup_join
+from textloom.plans import lookup
 from textloom.plans.storage import materialise
 
 IDS = {1: [5, 6, 5, 6], 2: [], 3: [6, 6, 6, 6, 6, 6], 4: [5]}
@@ -35,7 +35,7 @@ def test_pairs_include_padding(rows):
 
 @pytest.mark.parametrize("limit", [250_000, 0])
 def test_heldout_losses(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(lookup_join, "__defaults__", ("inner", limit))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
     counts = materialise(S.fit_counts(rows.where("k in (1, 4)"), LENGTH), "counts")
     fit = {(r["input_id"], r["label"]): r["n"] for r in counts.collect()}
     vocab = 9

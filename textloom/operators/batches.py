@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays
+from textloom.functions.numbers import int_div
 from textloom.operators.bpe import PAD
 from textloom.operators.split import DEFAULT_SEED
 from textloom.plans.ordering import order_hash, row_ids
@@ -27,7 +28,7 @@ def sequential_positions(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def batch_of(pos: Column, batch_size: int = BATCH_SIZE) -> Column:
-    return F.floor(pos / F.lit(batch_size)).cast("bigint")
+    return int_div(pos, batch_size)
 
 
 def assemble(positioned: DataFrame, columns: list[str], batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -66,7 +67,7 @@ def step_plan(spark: SparkSession, batches_per_epoch: int, max_steps: int = MAX_
     done = F.col("id")
     return spark.range(max_steps).select(
         (done + 1).alias("step"),
-        F.expr(f"id div {batches_per_epoch}").alias("epoch"),
+        int_div(done, batches_per_epoch).alias("epoch"),
         (done % batches_per_epoch).alias("batch_id"),
     )
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import int_div
 from textloom.functions.scores import as_scores, cross_entropy
 from textloom.plans.ordering import rank_within
 
@@ -39,7 +40,7 @@ def mean_loss(losses: DataFrame, loss_col: str = "loss") -> DataFrame:
 def metric_windows(log: DataFrame, interval: int = LOG_INTERVAL) -> DataFrame:
     """Mean loss and perplexity of every full window of ``interval`` steps, keyed
     at the closing step. An unfinished window gives no row."""
-    window = F.floor((F.col("step") - 1) / F.lit(interval)).cast("bigint")
+    window = int_div(F.col("step") - 1, interval)
     return (
         log.groupBy("run", window.alias("_w"))
         .agg(F.count("*").alias("_n"), F.avg("value").alias("train_loss"))
@@ -69,7 +70,7 @@ def running_best(log: DataFrame, block_steps: int = BLOCK_STEPS) -> DataFrame:
     window over that block only, the minimum of earlier blocks from a window
     over one row per block.
     """
-    blocked = log.withColumn("_block", F.floor(F.col("step") / F.lit(block_steps)).cast("bigint"))
+    blocked = log.withColumn("_block", int_div(F.col("step"), block_steps))
     inside = Window.partitionBy("run", "_block").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("run").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (

@@ -9,7 +9,7 @@ from textloom.functions import scores
 from textloom.functions.arrays import crop_context, shift_labels, truncate
 from textloom.operators.bpe import PAD, UNK
 from textloom.operators.split import DEFAULT_SEED
-from textloom.plans.lookup import lookup_join
+from textloom.plans.lookup import fits_broadcast, lookup_join
 from textloom.plans.ordering import unit_hash
 from textloom.plans.storage import materialise
 
@@ -129,6 +129,7 @@ def generate(
     by the unknown id.
     """
     table = following.withColumnRenamed("input_id", "_last")
+    small = fits_broadcast(following)
     state = prompts.withColumn("_context", F.col(ids_col)).withColumn(
         "new_ids", F.array().cast("array<int>")
     )
@@ -137,7 +138,7 @@ def generate(
             state = materialise(state, "generation")
         state = state.withColumn("_context", crop_context(F.col("_context"), max_context))
         state = state.withColumn("_last", F.try_element_at("_context", F.lit(-1)))
-        state = lookup_join(state, table, ["_last"], salt_by=keys, how="left")
+        state = lookup_join(state, table, ["_last"], salt_by=keys, how="left", small=small)
         place = scores.pick(F.col("probs"), unit_hash(f"{seed}:{step}", *keys))
         drawn = F.coalesce(F.get("next_ids", place), F.lit(UNK)).cast("int")
         state = (

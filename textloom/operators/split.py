@@ -18,9 +18,8 @@ def train_predicate(df: DataFrame, keys: list[str], ratio: float = DEFAULT_RATIO
     """True for exactly ``int(n * ratio)`` rows, chosen by the hash of a unique key."""
     digest = order_hash(seed, *keys)
     size = int(df.count() * ratio)
-    return first_k(
-        df, hash_prefix(digest), [digest, *[F.col(k) for k in keys]], size, bounds=(0, 2**HASH_BITS - 1)
-    )
+    order = [digest, *[F.col(k) for k in keys]]
+    return first_k(df, order, size, prefix=hash_prefix(digest), bounds=(0, 2**HASH_BITS - 1))
 
 
 def split_by_hash(
@@ -48,8 +47,7 @@ def sample_prefix(
     if num_samples <= 0:
         raise ValueError("num_samples must be positive")
     usable = df.where(is_usable(F.col(text_col)))
-    key = F.col(order_key)
-    return usable.where(first_k(usable, key.cast("bigint"), [key], num_samples))
+    return usable.where(first_k(usable, [F.col(order_key)], num_samples))
 
 
 def sample_stats(sample: DataFrame, text_col: str = "text") -> DataFrame:

@@ -10,22 +10,28 @@ BROADCAST_ROWS = 250_000
 SALTS = 32
 
 
+def fits_broadcast(lookup: DataFrame, broadcast_rows: int | None = None) -> bool:
+    """Count ``lookup`` up to the limit; hand over a written table."""
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    return lookup.limit(limit + 1).count() <= limit
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     on: list[str],
     salt_by: list[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` (unique on ``on``) without a hot-key task.
 
-    Up to ``broadcast_rows`` the lookup side is broadcast. Beyond that each
-    fact gets a salt hashed from ``salt_by`` and the lookup side is repeated
-    once per salt, which spreads one key over SALTS tasks. ``lookup`` is
-    counted here, so hand over a written table.
+    A lookup side that ``fits_broadcast`` is broadcast (pass the answer as
+    ``small`` when joining to the same table repeatedly). Beyond that each fact
+    gets a salt hashed from ``salt_by`` and the lookup side is repeated once per
+    salt, which spreads one key over SALTS tasks.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if fits_broadcast(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -73,30 +73,34 @@ def kth_value(values: DataFrame, k: int, lo: int, hi: int) -> tuple[int, int]:
     return lo, below
 
 
-def first_k(df: DataFrame, value: Column, ties: list[Column], k: int, bounds: tuple[int, int] | None = None) -> Column:
-    """A predicate that holds for exactly the first ``k`` rows by (value, *ties).
+def first_k(df: DataFrame, order: list[Column], k: int, prefix: Column | None = None, bounds: tuple[int, int] | None = None) -> Column:
+    """A predicate that holds for exactly the first ``k`` rows of ``df`` in ``order``.
 
-    ``value`` is a bigint; together with ``ties`` it must identify a row. The
-    predicate compares with literals only, so using it needs no shuffle.
+    ``order`` identifies a row. ``prefix`` is a bigint that sorts the rows the
+    same way, with few rows per value; by default the only order column. The
+    predicate compares with literals, so using it needs no shuffle.
     """
     if k <= 0:
         return F.lit(False)
-    values = df.select(value.cast("bigint").alias("v"))
+    if prefix is None:
+        (prefix,) = order
+    values = df.select(prefix.cast("bigint").alias("v"))
     if bounds is None:
         lo, hi, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
         if k >= n:
             return F.lit(True)
         bounds = (lo, hi)
     cut, below = kth_value(values, k, *bounds)
-    equal = df.where(value == F.lit(cut)).select(*[t.alias(f"t{i}") for i, t in enumerate(ties)])
+    equal = df.where(prefix == F.lit(cut)).select(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     rows = equal.limit(LEAF_ROWS + 1).collect()
     if len(rows) > LEAF_ROWS:
-        raise ValueError("order values repeat too often; give a key that identifies rows")
+        raise ValueError("order values repeat too often; give an order that identifies rows")
     last = sorted(tuple(r) for r in rows)[k - below - 1]
-    at_most = F.struct(*[t.alias(f"t{i}") for i, t in enumerate(ties)]) <= F.struct(
-        *[F.lit(x).cast(equal.schema[i].dataType).alias(f"t{i}") for i, x in enumerate(last)]
-    )
-    return (value < F.lit(cut)) | ((value == F.lit(cut)) & at_most)
+    limits = [F.lit(x).cast(equal.schema[i].dataType) for i, x in enumerate(last)]
+    if len(order) == 1:
+        return order[0] <= limits[0]
+    left, right = (F.struct(*[c.alias(f"o{i}") for i, c in enumerate(side)]) for side in (order, limits))
+    return left <= right
 
 
 def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id", carry: Sequence[str] = ()) -> DataFrame:

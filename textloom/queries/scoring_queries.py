@@ -93,9 +93,11 @@ def heldout_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("n_pairs", rounded("loss"), rounded("perplexity"))
 
 
-def _generated(spark: SparkSession, sf_dir: str, prompts: DataFrame, keys: list[str]) -> DataFrame:
+def _generated(
+    spark: SparkSession, sf_dir: str, prompts: DataFrame, keys: list[str], top_k: int = 1, temperature: float = 1.0
+) -> DataFrame:
     model = tokenizer(spark, sf_dir)
-    following = materialise(S.successors(_counts(spark, sf_dir), top_k=1), "successors")
+    following = materialise(S.successors(_counts(spark, sf_dir), top_k, temperature), "successors")
     ready = prompts.select(*keys, encode(model, F.col("text")).alias("ids"))
     made = S.generate(ready, following, keys, STEPS, CONTEXT)
     return made.select(*keys, joined("new_ids").alias("new_ids"), model.decode(F.col("new_ids")).alias("output"))
@@ -105,6 +107,11 @@ def generate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _generated(spark, sf_dir, table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
 
 
+def generate_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prompts = table(spark, sf_dir, "conversations")
+    return _generated(spark, sf_dir, prompts, ["conv_id", "turn"], TOP_K, TEMPERATURE)
+
+
 def prompt_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark text as a prompt."""
     return _generated(spark, sf_dir, table(spark, sf_dir, "benchmark"), ["item_id"])
@@ -124,6 +131,7 @@ QUERIES = {
     "heldout_perplexity": heldout_perplexity,
     "heldout_overall": heldout_overall,
     "generate_batch": generate_batch,
+    "generate_sampled": generate_sampled,
     "context_crop": context_crop,
     "prompt_suite": prompt_suite,
 }
@@ -151,32 +159,50 @@ _HELDOUT = """heldout AS (
   WHERE split = 'validation')"""
 
 
-def _generate_sql(target: str, key: str, out: str) -> str:
-    steps = []
-    for i in range(1, STEPS + 1):
-        before = "last" if i == 1 else f"x{i - 1}"
-        source = "g0" if i == 1 else f"g{i - 1}"
-        steps.append(
-            f"""g{i} AS (
-  SELECT g.*, coalesce(s.next_id, 0) AS x{i} FROM {source} g LEFT JOIN succ s ON s.input_id = g.{before})"""
-        )
-    ids = " || ' ' || ".join(f"x{i}" for i in range(1, STEPS + 1))
-    tokens = ", ".join(
-        f"(SELECT CASE WHEN kind = 'special' THEN '' ELSE token END FROM vocab WHERE id = x{i})" for i in range(1, STEPS + 1)
-    )
+_GREEDY = "succ AS MATERIALIZED (SELECT input_id, first(label ORDER BY n DESC, label) AS next_id FROM counts GROUP BY 1)"
+_SAMPLED = f"""succ AS MATERIALIZED (
+  SELECT input_id, label, sum(p) OVER (PARTITION BY input_id ORDER BY label ROWS UNBOUNDED PRECEDING) AS cum
+  FROM (SELECT input_id, label, e / sum(e) OVER (PARTITION BY input_id) AS p
+        FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY input_id)) AS e
+              FROM (SELECT input_id, label, ln(n) / {TEMPERATURE} AS z,
+                           rank() OVER (PARTITION BY input_id ORDER BY n DESC) AS k FROM counts)
+              WHERE k <= {TOP_K})))"""
+_CONVERSATIONS = "prompts AS (SELECT conv_id * 1000 + turn AS k, conv_id, turn, text FROM conversations)"
+_BENCHMARK = "prompts AS (SELECT item_id AS k, item_id, text FROM benchmark)"
+
+
+def _greedy_step(i: int, before: str) -> str:
+    return f"""g{i} AS MATERIALIZED (
+  SELECT g.*, coalesce(s.next_id, 0) AS x{i} FROM g{i - 1} g LEFT JOIN succ s ON s.input_id = g.{before})"""
+
+
+def _sampled_step(i: int, before: str) -> str:
+    return f"""g{i} AS MATERIALIZED (
+  SELECT g.*, coalesce(c.drawn, 0) AS x{i} FROM g{i - 1} g LEFT JOIN (
+    SELECT k, coalesce(min(label) FILTER (round(cum, 12) > u), max(label)) AS drawn
+    FROM (SELECT k, {before} AS input_id,
+                 ('0x' || substr(md5('42:{i - 1}:' || conv_id || ':' || turn), 1, 8))::BIGINT / 4294967296 AS u
+          FROM g{i - 1} JOIN prompts USING (k)) JOIN succ USING (input_id) GROUP BY k) c USING (k))"""
+
+
+def _generate_sql(prompts: str, out: str, following: str, one_step) -> str:
+    numbers = range(1, STEPS + 1)
+    steps = [one_step(i, "last" if i == 1 else f"x{i - 1}") for i in numbers]
+    ids = " || ' ' || ".join(f"x{i}" for i in numbers)
+    tokens = ", ".join(f"(SELECT CASE WHEN kind = 'special' THEN '' ELSE token END FROM vocab WHERE id = x{i})" for i in numbers)
     return (
         with_sql(
             fit_sql(),
             encode_sql("documents", "doc_id"),
             MARKED_SQL,
             _PAIRS,
-            f"succ AS MATERIALIZED (SELECT input_id, first(label ORDER BY n DESC, label) AS next_id FROM counts GROUP BY 1)",
-            target,
+            following,
+            prompts,
             encode_sql("prompts", "k", "prompt"),
             "g0 AS (SELECT k, ids[-1] AS last FROM prompt)",
             *steps,
         )
-        + f"SELECT {out}, {ids} AS new_ids, concat({tokens}) AS output FROM g{STEPS} JOIN prompts USING ({key})"
+        + f"SELECT {out}, {ids} AS new_ids, concat({tokens}) AS output FROM g{STEPS} JOIN prompts USING (k)"
     )
 
 
@@ -198,10 +224,9 @@ FROM cumulated GROUP BY vec_id""",
 FROM heldout GROUP BY doc_id""",
     "heldout_overall": with_sql(fit_sql(), encode_sql("documents", "doc_id"), MARKED_SQL, _PAIRS, _HELDOUT)
     + "SELECT count(*) AS n_pairs, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity FROM heldout",
-    "generate_batch": _generate_sql(
-        "prompts AS (SELECT conv_id * 1000 + turn AS k, conv_id, turn, text FROM conversations)", "k", "conv_id, turn"
-    ),
+    "generate_batch": _generate_sql(_CONVERSATIONS, "conv_id, turn", _GREEDY, _greedy_step),
+    "generate_sampled": _generate_sql(_CONVERSATIONS, "conv_id, turn", _SAMPLED, _sampled_step),
     "context_crop": with_sql(fit_sql(), encode_sql("documents", "doc_id"))
     + f"SELECT doc_id, array_to_string(ids[greatest(len(ids) - {CONTEXT}, 0) + 1:], ' ') AS ids FROM enc",
-    "prompt_suite": _generate_sql("prompts AS (SELECT item_id AS k, item_id, text FROM benchmark)", "k", "item_id"),
+    "prompt_suite": _generate_sql(_BENCHMARK, "item_id", _GREEDY, _greedy_step),
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from textloom.functions.numbers import int_div
 from textloom.operators.metrics import LOG_INTERVAL, latest_checkpoint
 
 _OUTPUT = "run bigint, step bigint, train_loss double, train_perplexity double"
@@ -55,7 +56,7 @@ def stream_metric_windows(
                 }
             )
 
-    block = F.floor((F.col("step") - 1) / F.lit(interval * windows_per_key)).cast("bigint")
+    block = int_div(F.col("step") - 1, interval * windows_per_key)
     return (
         log.select(F.col("run").cast("bigint").alias("run"), "step", "value", block.alias("block"))
         .groupBy("run", "block")
