@@ -155,6 +155,29 @@ def test_merge_word_takes_lowest_rank_first():
     assert merge_word([], ranks) == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(corpora, st.text("abcde", max_size=30))
+def test_merge_word_equals_repeated_search(counts, word):
+    tokens, merges = one_at_a_time(counts, 12)
+    ids = {t: i for i, t in enumerate(tokens)}
+    ranks = {(ids[l], ids[r]): (rank, ids[l + r]) for rank, (l, r, _) in enumerate(merges)}
+    want = [ids.get(c, B.UNK) for c in word]
+    while True:
+        found = [(ranks[p], i) for i, p in enumerate(zip(want, want[1:])) if p in ranks]
+        if not found:
+            break
+        (_, merged), i = min(found)
+        want[i : i + 2] = [merged]
+    assert merge_word([ids.get(c, B.UNK) for c in word], ranks) == want
+
+
+def test_very_long_word(spark):
+    model = fit_words(frame(spark, {"aaaa": 5, "ab": 3}), max_merges=3)
+    df = spark.createDataFrame([("a" * 300_001,)], "text string")
+    ids = df.select(encode(model, F.col("text")).alias("ids")).first()["ids"]
+    assert "".join(model.tokens[i] for i in ids) == "a" * 300_001
+
+
 def test_encode_rows(spark):
     model = fit_words(frame(spark, TINY), max_merges=8)
     ranks, ids = model.merge_ranks(), model.ids

@@ -6,6 +6,7 @@ driver; everything that grows with the corpus stays in DataFrames.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -32,8 +33,12 @@ MAX_LENGTH = 512
 CANDIDATES = 1024
 # Merges applied while counting before the word table is written again.
 MERGES_PER_WRITE = 64
-# Words remembered by one task while encoding.
+# Words remembered by one task while encoding, and the longest kept.
 WORD_MEMORY = 200_000
+LONG_WORD = 64
+
+# Marks a symbol that has become part of the one before it.
+GONE = -1
 
 
 @dataclass
@@ -211,14 +216,36 @@ def _offsets(lists: pa.ListArray) -> pa.Array:
 
 
 def merge_word(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the lowest-ranked merge present, at its leftmost place, until none is left."""
-    while len(symbols) > 1:
-        found = [(ranks[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in ranks]
-        if not found:
-            break
-        (_, merged), i = min(found)
-        symbols = [*symbols[:i], merged, *symbols[i + 2 :]]
-    return symbols
+    """Apply the lowest-ranked merge present, at its leftmost place, until none is left.
+
+    Pairs wait in a heap and symbols form a chain, so that a very long word (a
+    clause without spaces, a run of punctuation) takes n log n steps.
+    """
+    out = list(symbols)
+    size = len(out)
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    waiting: list[tuple[int, int, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        if i >= 0 and after[i] < size:
+            left, right = out[i], out[after[i]]
+            found = ranks.get((left, right))
+            if found:
+                heapq.heappush(waiting, (found[0], i, left, right, found[1]))
+
+    for i in range(size - 1):
+        offer(i)
+    while waiting:
+        _, i, left, right, merged = heapq.heappop(waiting)
+        j = after[i]
+        if out[i] != left or j >= size or out[j] != right:
+            continue  # one of the two symbols has been merged meanwhile
+        out[i], out[j], after[i] = merged, GONE, after[j]
+        if after[i] < size:
+            before[after[i]] = i
+        offer(before[i])
+        offer(i)
+    return [s for s in out if s != GONE]
 
 
 def _word_encoder(model: BpeModel) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
@@ -232,7 +259,7 @@ def _word_encoder(model: BpeModel) -> Callable[[Iterator[pa.Array]], Iterator[pa
             found = known.get(word)
             if found is None:
                 found = merge_word([single.get(c, UNK) for c in word], ranks)
-                if len(known) < WORD_MEMORY:
+                if len(known) < WORD_MEMORY and len(word) <= LONG_WORD:
                     known[word] = found
             return found
 

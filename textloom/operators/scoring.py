@@ -48,7 +48,7 @@ def fit_counts(encoded: DataFrame, max_length: int, ids_col: str = "ids") -> Dat
 
 
 def score_pairs(pairs: DataFrame, counts: DataFrame, vocab_size: int, keys: list[str]) -> DataFrame:
-    """Aggregated pairs (keys, input_id, label, w) with ``loss`` under add-one smoothing.
+    """Pairs (keys, input_id, label, w) with ``loss`` under add-one smoothing.
 
     ``counts`` must be a written table.
     """
@@ -69,11 +69,9 @@ def _weighted_mean() -> list[Column]:
 def heldout_by_document(
     encoded: DataFrame, counts: DataFrame, vocab_size: int, max_length: int, key: str, ids_col: str = "ids"
 ) -> DataFrame:
-    """Mean loss and perplexity of every document."""
-    pairs = pair_rows(encoded, max_length, [key], ids_col).groupBy(key, "input_id", "label").agg(
-        F.sum("w").alias("w")
-    )
-    scored = score_pairs(pairs, counts, vocab_size, [key])
+    """Mean loss and perplexity of every document; a document's pairs are summed
+    where they are produced, unless the counts are too large to broadcast."""
+    scored = score_pairs(pair_rows(encoded, max_length, [key], ids_col), counts, vocab_size, [key])
     return scored.groupBy(key).agg(*_weighted_mean()).withColumn("perplexity", F.exp("loss"))
 
 
