@@ -40,13 +40,13 @@ def test_cut_search_descends_levels(spark, monkeypatch):
     keys = rng.sample(range(-(10**12), 10**12), 300)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     for size in (1, 2, 150, 299, 300, 400):
-        kept = df.where(O.first_k(df, [F.col("k")], size))
+        kept = df.where(O.first_k(df, [F.col("k")], lambda n: size))
         assert sorted(r["k"] for r in kept.collect()) == sorted(keys)[:size]
 
 
 def test_cut_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(i // 10, i) for i in range(100)], "v long, k long")
-    kept = df.where(O.first_k(df, [F.col("v"), F.col("k")], 37, prefix=F.col("v")))
+    kept = df.where(O.first_k(df, [F.col("v"), F.col("k")], lambda n: 37, prefix=F.col("v")))
     assert sorted(r["k"] for r in kept.collect()) == list(range(37))
 
 

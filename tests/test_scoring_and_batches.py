@@ -68,7 +68,9 @@ def test_successors(counts):
     assert got[5] == pytest.approx([16 / 33, 16 / 33, 1 / 33])
 
 
-def test_greedy_generation(spark, counts):
+@pytest.mark.parametrize("limit", [100, 0])
+def test_greedy_generation(spark, counts, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
     prompts = spark.createDataFrame([(1, [9, 5]), (2, [6]), (3, []), (4, [99])], "k long, ids array<int>")
     following = materialise(S.successors(counts), "successors")
     made = {r["k"]: r["new_ids"] for r in S.generate(prompts, following, ["k"], 3, 2).collect()}

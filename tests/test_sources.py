@@ -5,7 +5,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.plans.storage import clear_scratch, exists, app_dir, scratch_path
+from textloom.plans import storage
+from textloom.plans.storage import app_dir, exists, materialise, scratch_path
 from textloom.sources import artifacts, datasets, files, sinks, snapshots
 
 TEXTS = ['plain', 'with "quotes", commas', "two\nlines", "你好，世界", "tail "]
@@ -135,5 +136,28 @@ def test_load_or_train_from_config(spark):
 def test_scratch_is_below_the_shared_folder(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(app_dir(spark)) and path != scratch_path(spark, "x")
-    assert exists(spark, app_dir(spark))
-    assert callable(clear_scratch)
+
+
+def test_own_folder_only_without_the_setting(spark, monkeypatch):
+    monkeypatch.setattr(storage, "named_dir", lambda _: None)
+    folder = storage.shared_dir(spark)
+    assert folder.startswith("file://") and storage.shared_dir(spark) == folder
+    kept = materialise(spark.range(5), "kept")
+    assert kept.count() == 5 and exists(spark, app_dir(spark))
+    storage.clear_scratch(spark)
+    assert not exists(spark, app_dir(spark))
+
+
+def test_files_read_in_several_splits_keep_their_order(spark):
+    path = scratch_path(spark, "splits")
+    df = spark.range(20000).select(F.concat(F.lit("line "), F.lpad("id", 6, "0")).alias("value"))
+    df.repartitionByRange(2, "value").sortWithinPartitions("value").write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        scanned = files.scan(spark, path, "txt", keep_order=True)
+        assert scanned.rdd.getNumPartitions() > 4
+        got = files.number_rows(scanned).where(F.concat(F.lit("line "), F.lpad("row_id", 6, "0")) != F.col("text"))
+        assert got.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

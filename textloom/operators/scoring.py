@@ -127,7 +127,7 @@ def generate(
     by the unknown id.
     """
     table = following.withColumnRenamed("input_id", "_last")
-    small = fits_broadcast(following)
+    small = fits_broadcast(following, F.size("next_ids"))
     state = prompts.withColumn("_context", F.col(ids_col)).withColumn(
         "new_ids", F.array().cast("array<int>")
     )

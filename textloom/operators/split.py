@@ -17,9 +17,9 @@ NUM_SAMPLES = 50_000
 def train_predicate(df: DataFrame, keys: list[str], ratio: float = DEFAULT_RATIO, seed: int = DEFAULT_SEED) -> Column:
     """True for exactly ``int(n * ratio)`` rows, chosen by the hash of a unique key."""
     digest = order_hash(seed, *keys)
-    size = int(df.count() * ratio)
     order = [digest, *[F.col(k) for k in keys]]
-    return first_k(df, order, size, prefix=hash_prefix(digest), bounds=(0, 2**HASH_BITS - 1))
+    bounds = (0, 2**HASH_BITS - 1)
+    return first_k(df, order, lambda n: int(n * ratio), prefix=hash_prefix(digest), bounds=bounds)
 
 
 def split_by_hash(
@@ -47,7 +47,7 @@ def sample_prefix(
     if num_samples <= 0:
         raise ValueError("num_samples must be positive")
     usable = df.where(is_usable(F.col(text_col)))
-    return usable.where(first_k(usable, [F.col(order_key)], num_samples))
+    return usable.where(first_k(usable, [F.col(order_key)], lambda n: num_samples))
 
 
 def sample_stats(sample: DataFrame, text_col: str = "text") -> DataFrame:

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of narrow lookup data (a few numbers or short strings) worth broadcasting.
-BROADCAST_ROWS = 250_000
+# Rows of narrow lookup data (a few numbers or a short string each) worth
+# broadcasting: some tens of megabytes.
+BROADCAST_ROWS = 1_000_000
 SALTS = 32
 
 
-def fits_broadcast(lookup: DataFrame, broadcast_rows: int | None = None) -> bool:
-    """Count ``lookup`` up to the limit; hand over a written table."""
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    return lookup.limit(limit + 1).count() <= limit
+def fits_broadcast(lookup: DataFrame, entries: Column | None = None) -> bool:
+    """Whether ``lookup``, a written table, holds few enough rows to broadcast.
+
+    Where a row carries arrays, ``entries`` says how many values it stands for.
+    """
+    if entries is None:
+        return lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return (lookup.agg(F.sum(entries)).first()[0] or 0) <= BROADCAST_ROWS
 
 
 def lookup_join(

@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,62 +41,56 @@ def unit_hash(seed: int | str, *keys: Column | str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
 
 
-def kth_value(values: DataFrame, k: int, lo: int, hi: int) -> tuple[int, int]:
-    """The k-th smallest (1-based) value of a one-column bigint frame, and how
-    many rows lie strictly below it.
-
-    Every level counts values per sub-range on the executors and descends into
-    the sub-range that holds the k-th; a level returns at most FANOUT counters.
+def _slots(values: DataFrame, lo: int, hi: int) -> tuple[int, list[tuple[int, int]]]:
+    """Width and (slot, rows) counts of at most FANOUT equal sub-ranges of [lo, hi]."""
+    width = max(1, -(-(hi - lo + 1) // FANOUT))
+    slot = F.call_function("div", F.col("v") - F.lit(lo), F.lit(width))
+    counts = values.where(F.col("v").between(lo, hi)).groupBy(slot.alias("slot")).count().collect()
+    return width, sorted((r["slot"], r["count"]) for r in counts)
+
+
+def first_k(
+    df: DataFrame,
+    order: list[Column],
+    size: Callable[[int], int],
+    prefix: Column | None = None,
+    bounds: tuple[int, int] | None = None,
+) -> Column:
+    """A predicate that holds for exactly the first ``size(n)`` of the n rows of ``df``.
+
+    ``order`` identifies and sorts the rows. ``prefix`` is a bigint within
+    ``bounds`` that sorts them the same way, with few rows per value; by default
+    the only order column. The executors count prefixes per sub-range, and the
+    search descends into the sub-range that holds the last row wanted, until so
+    few rows are left that they can be read. The predicate compares with
+    literals, so using it needs no shuffle.
     """
-    (name,) = values.columns
-    v = F.col(name)
-    below = 0
-    while lo < hi:
-        width = max(1, -(-(hi - lo + 1) // FANOUT))
-        counts = (
-            values.where(v.between(lo, hi))
-            .groupBy(F.expr(f"({name} - {lo}L) div {width}L").alias("slot"))
-            .count()
-            .collect()
-        )
-        for slot, n in sorted((r["slot"], r["count"]) for r in counts):
+    if prefix is None:
+        (prefix,) = order
+    prefix = prefix.cast("bigint")
+    values = df.select(prefix.alias("v"))
+    lo, hi = bounds or values.agg(F.min("v"), F.max("v")).first()
+    if lo is None:
+        return F.lit(False)
+    k = below = n = None
+    while k is None or (n > LEAF_ROWS and lo < hi):
+        width, slots = _slots(values, lo, hi)
+        if k is None:
+            total, below = sum(n for _, n in slots), 0
+            k = size(total)
+            if k <= 0 or k >= total:
+                return F.lit(k > 0)
+        for slot, n in slots:
             if below + n >= k:
                 lo, hi = lo + slot * width, min(hi, lo + (slot + 1) * width - 1)
                 break
             below += n
-        else:
-            raise ValueError(f"fewer than {k} rows")
-        if n <= LEAF_ROWS and lo < hi:
-            leaf = sorted(r[0] for r in values.where(v.between(lo, hi)).collect())
-            found = leaf[k - below - 1]
-            return found, below + sum(x < found for x in leaf)
-    return lo, below
-
-
-def first_k(df: DataFrame, order: list[Column], k: int, prefix: Column | None = None, bounds: tuple[int, int] | None = None) -> Column:
-    """A predicate that holds for exactly the first ``k`` rows of ``df`` in ``order``.
-
-    ``order`` identifies a row. ``prefix`` is a bigint that sorts the rows the
-    same way, with few rows per value; by default the only order column. The
-    predicate compares with literals, so using it needs no shuffle.
-    """
-    if k <= 0:
-        return F.lit(False)
-    if prefix is None:
-        (prefix,) = order
-    values = df.select(prefix.cast("bigint").alias("v"))
-    if bounds is None:
-        lo, hi, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
-        if k >= n:
-            return F.lit(True)
-        bounds = (lo, hi)
-    cut, below = kth_value(values, k, *bounds)
-    equal = df.where(prefix == F.lit(cut)).select(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    rows = equal.limit(LEAF_ROWS + 1).collect()
+    near = df.where(prefix.between(lo, hi)).select(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    rows = near.limit(LEAF_ROWS + 1).collect()
     if len(rows) > LEAF_ROWS:
         raise ValueError("order values repeat too often; give an order that identifies rows")
     last = sorted(tuple(r) for r in rows)[k - below - 1]
-    limits = [F.lit(x).cast(equal.schema[i].dataType) for i, x in enumerate(last)]
+    limits = [F.lit(x).cast(near.schema[i].dataType) for i, x in enumerate(last)]
     if len(order) == 1:
         return order[0] <= limits[0]
     left, right = (F.struct(*[c.alias(f"o{i}") for i, c in enumerate(side)]) for side in (order, limits))

@@ -14,17 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Local mode without the setting: one folder per application.
+_own_dirs: dict[str, str] = {}
+
+
+def named_dir(spark: SparkSession) -> str | None:
+    """The folder the session names, if any."""
+    return spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(_CHECKPOINT_CONF)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, visible to every executor."""
-    named = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(_CHECKPOINT_CONF)
+    named = named_dir(spark)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors can reach")
-    own = "file://" + tempfile.mkdtemp(prefix="textloom-")
-    spark.conf.set(_CHECKPOINT_CONF, own)
-    return own
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="textloom-")
+    return _own_dirs[context.applicationId]
 
 
 def app_dir(spark: SparkSession) -> str:

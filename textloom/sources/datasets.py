@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.split import DEFAULT_RATIO, DEFAULT_SEED, split_by_hash
-from textloom.plans.ordering import row_ids
-from textloom.sources.files import ORDER_COLUMNS, scan
+from textloom.sources.files import number_rows, scan, with_file_order
 from textloom.sources.snapshots import scan_snapshot
 
 # The fields each source needs, by the source's name.
@@ -29,8 +28,8 @@ def select_config(catalogue: dict[str, Any]) -> dict[str, Any]:
     return chosen
 
 
-def read_source(spark: SparkSession, config: dict[str, Any]) -> tuple[DataFrame, list[str]]:
-    """The configured table and the columns that put its rows in order."""
+def read_source(spark: SparkSession, config: dict[str, Any]) -> DataFrame:
+    """The configured table; without a ``key`` also the columns that hold its file order."""
     source = str(config.get("source", "local")).lower()
     if source not in REQUIRED_FIELDS:
         raise ValueError(f"unknown source '{source}', expected one of {', '.join(REQUIRED_FIELDS)}")
@@ -44,15 +43,10 @@ def read_source(spark: SparkSession, config: dict[str, Any]) -> tuple[DataFrame,
         split = "train" if source == "modelscope" else None
         df = scan_snapshot(spark, config["dataset_id"], config["data_dir"], split)
         if not key:
-            df = df.select(
-                "*",
-                F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_block_start").alias("_block"),
-                F.monotonically_increasing_id().alias("_line"),
-            )
+            df = with_file_order(df)
     if "text" not in df.columns:
         raise ValueError("the dataset has no 'text' column")
-    return df, [key] if key else list(ORDER_COLUMNS)
+    return df
 
 
 def dataset_from_config(
@@ -63,13 +57,10 @@ def dataset_from_config(
     Rows are identified by ``key`` when the configuration names a unique column,
     otherwise by a dense ``row_id`` over file order.
     """
-    df, order = read_source(spark, config)
+    df = read_source(spark, config)
     key = config.get("key")
     if not key:
-        # The line counter depends on how files were packed into tasks, so all
-        # columns go along and the numbered table is written once.
-        key = "row_id"
-        df = row_ids(df, *order, carry=[c for c in df.columns if c not in order]).drop(*order)
+        df, key = number_rows(df), "row_id"
     ratio = float(config.get("train_ratio", DEFAULT_RATIO))
     marked = split_by_hash(df, [key], ratio, seed)
     parts = {name: marked.where(F.col("split") == name).drop("split") for name in ("train", "validation")}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from textloom.plans.storage import exists
+from textloom.plans.lookup import BROADCAST_ROWS, lookup_join
+from textloom.plans.storage import exists, materialise
 
 # Reader and options for a file type; a type not listed is used as the reader's name.
 READERS = {
@@ -52,14 +53,33 @@ def scan(
         raise ValueError(f"no *.{filetype} files in {data_dir}")
     if filetype == "txt":
         df = df.withColumnRenamed("value", "text")
-    if keep_order:
-        df = df.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_line"),
-        )
-    return df
+    return with_file_order(df) if keep_order else df
+
+
+def with_file_order(scanned: DataFrame) -> DataFrame:
+    """A file scan with the ORDER_COLUMNS: file, start of the split, counter within the split."""
+    values = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return scanned.select("*", *[v.alias(name) for v, name in zip(values, ORDER_COLUMNS)])
+
+
+def number_rows(ordered: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """A scan with order columns, numbered from 0 in file order instead.
+
+    The table is written once, as it was read: rows of one split keep their
+    order, so the id is the split's first id plus the place in the split. Only
+    one row per split is brought together.
+    """
+    spark = ordered.sparkSession
+    frozen = materialise(ordered, "scan")  # the line counter depends on how files were packed into tasks
+    file, block, line = ORDER_COLUMNS
+    splits = frozen.groupBy(file, block).agg(F.min(line).alias("_first"), F.count("*").alias("_n")).collect()
+    starts, total = [], 0
+    for r in sorted(splits):
+        starts.append((r[file], r[block], total - r["_first"]))
+        total += r["_n"]
+    shifts = spark.createDataFrame(starts, f"{file} string, {block} bigint, _shift bigint")
+    numbered = lookup_join(frozen, shifts, [file, block], salt_by=[line], small=len(starts) <= BROADCAST_ROWS)
+    return numbered.withColumn(id_col, F.col(line) + F.col("_shift")).drop(*ORDER_COLUMNS, "_shift")
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
