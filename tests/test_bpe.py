@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from textloom.functions.text import characters
 from textloom.operators import bpe as B
 from textloom.operators import corpus_stats as C
 from textloom.operators.bpe import BpeModel, encode, fit_words, merge_word, take_safe_batch, tokenize
@@ -141,7 +142,7 @@ def test_statistics(spark):
     df = spark.createDataFrame([(1, "aaa aaaa aaa"), (2, "b!")], "k int, text string")
     words = C.word_counts(df)
     assert {r["word"]: r["n"] for r in words.collect()} == {"aaa": 2, "aaaa": 1, "b": 1, "!": 1}
-    symbols = B.characters(F.col("word"))
+    symbols = characters(F.col("word"))
     assert {(r["l"], r["r"]): r["n"] for r in C.pair_counts(words, symbols).collect()} == {("a", "a"): 7}
     assert C.pair_counts(words, symbols, 8).count() == 0
     merged = C.unspaced(C.apply_merge(C.spaced(symbols), "a", "a", "aa"))

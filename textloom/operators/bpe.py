@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays
-from textloom.functions.text import characters, coerce_text, pretokens
+from textloom.functions.text import coerce_text, pretokens
 from textloom.operators.bpe_state import Merge, apply_merges, partial_pair_counts
 from textloom.operators.corpus_stats import MIN_FREQUENCY, alphabet, top_pairs, word_counts
 from textloom.operators.split import NUM_SAMPLES, sample_prefix
@@ -143,9 +143,9 @@ def fit_words(
     chars = sorted(r[0] for r in alphabet(counts).collect())  # bounded by the character set
     model = BpeModel([*SPECIAL_TOKENS, *chars], len(chars))
     ids = model.ids
-    char_ids = F.arrow_udf(_char_encoder(ids), "array<int>")
-    state = counts.select(char_ids(characters(F.col("word"))).alias("ids"), "n").where(F.size("ids") > 1)
-    state = materialise(state.repartition(spark.sparkContext.defaultParallelism), "bpe-state")
+    char_ids = F.arrow_udf(_char_encoder(chars), "array<int>")
+    words = counts.where(F.length("word") > 1).repartition(spark.sparkContext.defaultParallelism)
+    state = materialise(words.select(char_ids("word").alias("ids"), "n"), "bpe-state")
     pending: list[Merge] = []
 
     def room() -> bool:
@@ -194,16 +194,17 @@ def fit_bpe(
     return fit_words(counts, vocab_size, min_frequency, max_merges)
 
 
-def _char_encoder(ids: dict[str, int]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
-    names = pa.array(list(ids))
-    values = pa.array(list(ids.values()), pa.int32())
+def _char_encoder(chars: list[str]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """Words to character ids; ``chars`` is the whole alphabet by code point."""
+    points = np.array([ord(c) for c in chars], np.uint32)
 
     def encode(chunks: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import pyarrow.compute as pc
-
         for chunk in chunks:
-            found = values.take(pc.index_in(chunk.flatten(), names))
-            yield pa.ListArray.from_arrays(_offsets(chunk), found)
+            words = chunk.to_pylist()
+            found = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+            ids = len(SPECIAL_TOKENS) + np.searchsorted(points, found)
+            ends = np.cumsum([0, *map(len, words)])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
     encode.__annotations__ = {"chunks": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return encode

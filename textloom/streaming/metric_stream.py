@@ -35,24 +35,28 @@ def stream_metric_windows(
     def collect_windows(
         key: tuple[int, int], chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        held = [pd.DataFrame(dict(zip(("step", "value"), state.get)))] if state.exists else []
-        entries = pd.concat([*held, *(c[["step", "value"]] for c in chunks)], ignore_index=True)
-        entries = entries.drop_duplicates("step", keep="last").sort_values("step")
-        window = (entries["step"] - 1) // interval
-        full = window.groupby(window).transform("size") == interval
-        rest = entries[~full]
-        if len(rest):
-            state.update((rest["step"].tolist(), rest["value"].tolist()))
+        held = state.get if state.exists else ([], [])
+        parts = [(c["step"].to_numpy(), c["value"].to_numpy()) for c in chunks]
+        # latest entry first, so that of a repeated step the last one stays
+        steps = np.concatenate([np.array(held[0], np.int64), *(p[0] for p in parts)])[::-1]
+        losses = np.concatenate([np.array(held[1], float), *(p[1] for p in parts)])[::-1]
+        steps, kept = np.unique(steps, return_index=True)
+        losses = losses[kept]
+        windows, place, sizes = np.unique((steps - 1) // interval, return_inverse=True, return_counts=True)
+        full = sizes == interval
+        rest = ~full[place]
+        if rest.any():
+            state.update((steps[rest].tolist(), losses[rest].tolist()))
         elif state.exists:
             state.remove()
         if full.any():
-            loss = entries[full].groupby(window[full])["value"].mean()
+            loss = np.bincount(place, losses)[full] / interval
             yield pd.DataFrame(
                 {
                     "run": key[0],
-                    "step": (loss.index.to_numpy() + 1) * interval,
-                    "train_loss": loss.to_numpy(),
-                    "train_perplexity": np.exp(loss.to_numpy()),
+                    "step": (windows[full] + 1) * interval,
+                    "train_loss": loss,
+                    "train_perplexity": np.exp(loss),
                 }
             )
 
