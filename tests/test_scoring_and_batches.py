@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.operators import batches as B
 from textloom.operators import scoring as S
