@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.plans.storage import materialise
@@ -90,7 +90,23 @@ def rank_from(rows: DataFrame, within: Sequence[str], rank_col: str) -> DataFram
     )
 
 
-def _earlier(within: Sequence[str]):
-    from pyspark.sql import Window
+def running_sum(rows: DataFrame, within: Sequence[str], value: str, out: str) -> DataFrame:
+    """Sum of ``value`` over the rows of ``placed`` before this one inside ``within``.
+
+    Sums are taken per range partition, whose totals are then added up; no task
+    sees more of a group than one partition holds.
+    """
+    keys = ["_part", *within]
+    parts = rows.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    offsets = parts.withColumn("_before", F.coalesce(F.sum("_sum").over(_earlier(within)), F.lit(0)))
+    renamed = offsets.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], "_before")
+    inside = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = local.join(renamed, [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)])
+    return joined.withColumn(out, F.col("_before") + F.col("_local")).drop(
+        "_part", "_place", "_local", "_before", *[f"_o{i}" for i in range(len(keys))]
+    )
+
 
+def _earlier(within: Sequence[str]):
     return Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import packing, quality_rules, simhash
+from textloom.llm import html_text, mixing, packing, quality_rules, sharding, simhash
 from textloom.llm.common import table
 
 # The place of the vocabulary files is a parameter of the operators; this is the one the queries use.
@@ -33,18 +33,40 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.token_count(F.col("text")).alias("tokens"))
+    copies, _ = mixing.schedule(docs)
+    return copies.select("doc_id", "source", "tokens", F.col("pass").alias("turn"), "start", "block")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
     narrow = made.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.assign(narrow, ["doc_id", "piece", "ids_crc32"])
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_best_fit_packing, op8_simhash)}
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_quality_rules,
+    op3_mixing,
+    op4_best_fit_packing,
+    op6_html_text,
+    op8_simhash,
+    op9_sharding,
+)}
 
 SQL = {
     "op2_quality_rules": r"""WITH w AS (
@@ -68,4 +90,20 @@ f AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures::BIGINT AS failures
 FROM f""",
+    "op3_mixing": r"""WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens FROM documents),
+s AS (SELECT source, sum(tokens)::BIGINT AS total FROM d GROUP BY source),
+-- one pass for the largest source and two for the smallest: the limit fixes the exponent
+e AS (SELECT round(CASE WHEN max(total) <= 2 * min(total) THEN 0 ELSE 1 - ln(2.0) / ln(max(total) / min(total)) END, 6) AS power,
+             max(total)::DOUBLE AS largest FROM s WHERE total > 0),
+b AS (SELECT source, total, CASE WHEN total > 0 THEN floor(total * pow(largest / total, 1 - power) + 0.5)::BIGINT ELSE 0 END AS budget
+      FROM s, e),
+n AS (SELECT greatest(1, sum(budget)::BIGINT // 1048576) AS n_blocks FROM b),
+p AS (SELECT d.*, total, budget, unnest(range(0, greatest(0, CASE WHEN total > 0 THEN (budget - 1) // total ELSE 0 END) + 1)) AS turn
+      FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+c AS (SELECT *, turn * total + coalesce(sum(tokens) OVER (PARTITION BY source, turn ORDER BY md5('7:' || turn || ':' || doc_id), doc_id, tokens
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM p)
+SELECT doc_id, source, tokens, turn::BIGINT AS turn, start::BIGINT AS start,
+       least(n_blocks - 1, start::HUGEINT * n_blocks // greatest(budget, 1))::BIGINT AS block
+FROM c, n WHERE turn = 0 OR start < budget""",
 }
