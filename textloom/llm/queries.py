@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import html_text, mixing, packing, quality_rules, sharding, simhash
+from textloom.llm import (
+    html_text,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+)
 from textloom.llm.common import table
 
 # The place of the vocabulary files is a parameter of the operators; this is the one the queries use.
@@ -49,6 +58,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -59,13 +73,20 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = substring_dedup.remove_earlier(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op2_quality_rules,
     op3_mixing,
     op4_best_fit_packing,
     op6_html_text,
+    op7_suffix_dedup,
     op8_simhash,
     op9_sharding,
+    op10_substring_dedup,
 )}
 
 SQL = {
