@@ -11,7 +11,9 @@ their place by their rank among pieces of the same length.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,11 @@ from textloom.plans.storage import materialise
 CAPACITY = 2048
 SEPARATOR = 0
 # Words remembered by one task, and the longest kept.
-MEMORY = 400_000
+MEMORY = 700_000
 LONG_WORD = 48
+# Marks that part from the letters before them, and the first character beyond plain Latin letters.
+MARKS = ".,;:!?"
+PLAIN = "\u0250"
 
 
 class Tightest:
@@ -95,36 +100,68 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return rows
 
 
-def text_encoder(path: str) -> Callable[[bytes], np.ndarray]:
-    """A function from UTF-8 text to token ids, without special tokens.
+class _WordIds(dict):
+    """Token ids of words (runs without ASCII white space), remembered while there is room.
 
-    The vocabulary drops white space, and neither its pattern nor its normaliser
-    reaches over it, so a text is the concatenation of its words (runs without
-    ASCII white space), each of which is encoded once per task.
+    Most words are letters with a few marks behind them. The vocabulary's pattern
+    keeps a run of letters together and the marks apart, and its normaliser only
+    lower-cases them, so the letters go to the merges directly. Anything else
+    takes the tokenizer's whole way.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
+        self.marks: dict[str, bytes] = {"": b""}
+        # the vocabulary spells bytes as characters; printable ASCII stands for itself
+        self.spelling = {i: c for i, c in enumerate(_byte_characters())}
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, word: bytes) -> bytes:
+        text = word.decode()
+        letters = text.rstrip(MARKS)
+        low = letters.lower()
+        if not low.isalpha():
+            return self._whole(text)
+        if not low.isascii():
+            if max(low) >= PLAIN or len(low) != len(letters) or not is_normalized("NFC", letters):
+                return self._whole(text)
+            low = low.encode().decode("latin-1").translate(self.spelling)
+        marks = text[len(letters) :]
+        if marks not in self.marks:
+            if len(self.marks) > 1000:
+                return self._whole(text)
+            self.marks[marks] = self._whole(marks)
+        return array("I", [t.id for t in self.merges(low)]).tobytes() + self.marks[marks]
+
+    def __missing__(self, word: bytes) -> bytes:
+        made = self._learn(word)
+        if len(self) < MEMORY and len(word) <= LONG_WORD:
+            self[word] = made
+        return made
+
+
+def _byte_characters() -> list[str]:
+    """How a byte-level vocabulary spells the 256 bytes: printable Latin-1 as itself, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
 
-    def learn(fresh: list[bytes], extra: dict[bytes, bytes]) -> None:
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for word, made in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                keep = len(word) <= LONG_WORD and len(known) < MEMORY
-                (known if keep else extra)[word] = np.array(made.ids, "<u4").tobytes()
 
-    def encode(text: bytes) -> np.ndarray:
-        found = text.split()
-        extra: dict[bytes, bytes] = {}
-        learn([w for w in dict.fromkeys(found) if w not in known], extra)
-        if extra:
-            data = b"".join([known[w] if w in known else extra[w] for w in found])
-        else:
-            data = b"".join(map(known.__getitem__, found))
-        return np.frombuffer(data, "<u4")
+def text_encoder(path: str) -> Callable[[bytes], np.ndarray]:
+    """A function from UTF-8 text to token ids, without special tokens.
 
-    return encode
+    The vocabulary drops white space, and neither its pattern nor its normaliser
+    reaches over it, so a text is the concatenation of its words, each of which
+    is encoded once per task.
+    """
+    ids = _WordIds(path)
+    return lambda text: np.frombuffer(b"".join(map(ids.__getitem__, text.split())), "<u4")
 
 
 def _piece_rows(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -179,8 +216,9 @@ def assign(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length_c
     ``order`` tells pieces of one length apart (pieces equal in it are
     interchangeable). Rows without length get no place.
     """
-    usable = rows.where(F.col(length_col) > 0)
-    written = placed(usable, [length_col, *order], "pieces")
+    # written first: dealing by ranges reads its input twice
+    usable = materialise(rows.where(F.col(length_col) > 0), "pieces")
+    written = placed(usable, [length_col, *order], "pieces-ordered")
     # at most one row per possible length
     histogram = {r[0]: r[1] for r in written.groupBy(length_col).agg(F.count("*")).collect()}
     steps = plan(histogram, capacity)
