@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from textloom.llm import (
     html_text,
     mixing,
+    neighbours,
     packing,
     quality_rules,
+    quotation,
     sharding,
     simhash,
     substring_dedup,
@@ -27,6 +29,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -54,6 +61,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(narrow, ["doc_id", "piece", "ids_crc32"])
 
 
+def op5_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.link(table(spark, sf_dir, "conversations"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -79,9 +90,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_nearest_neighbours,
     op2_quality_rules,
     op3_mixing,
     op4_best_fit_packing,
+    op5_quotation,
     op6_html_text,
     op7_suffix_dedup,
     op8_simhash,
