@@ -154,13 +154,25 @@ def _kept(whole: bool):
                 runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
                 made.append((len(body), int(gone.sum()), runs, flat[~gone].tobytes()))
             n_bytes, n_removed, n_spans, kept = zip(*made) if made else ((),) * 4
-            arrays = [batch.column("doc"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64())]
-            arrays += [pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
+            names = [n for n in batch.schema.names if n not in ("text", "spans")]
+            arrays = [batch.column(n) for n in names] + [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)]
+            arrays.append(pa.array(kept, pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, [*names, *MADE])
 
     return run
 
 
+MADE = ["n_bytes", "n_removed", "n_spans", "kept"]
+_TYPES = "n_bytes long, n_removed long, n_spans long, kept binary"
+
+
+def _removed(rows: DataFrame, whole_characters: bool) -> DataFrame:
+    """``rows`` (doc, text, …) with MADE in place of the text."""
+    spans = windows.repeated_windows(rows, BYTES)
+    others = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
+    return rows.join(spans, "doc", "left").mapInArrow(_kept(whole_characters), f"{others}, {_TYPES}")
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_characters: bool = False
 ) -> DataFrame:
@@ -172,10 +184,28 @@ def remove_repeats(
     row per input row; repeated rows are copies of each other.
     """
     rows, ids = windows.numbered(docs, id_col, text_col)
-    spans = windows.repeated_windows(rows, BYTES)
-    made = rows.join(spans, "doc", "left").mapInArrow(
-        _kept(whole_characters), "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    made = _removed(rows, whole_characters)
     if ids is None:
         return made.withColumnRenamed("doc", id_col)
-    return made.join(ids.withColumnRenamed("id", id_col), "doc").select(id_col, "n_bytes", "n_removed", "n_spans", "kept")
+    return made.join(ids.withColumnRenamed("id", id_col), "doc").select(id_col, *MADE)
+
+
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with what ``remove_repeats`` leaves of each text, whole characters kept.
+
+    ``length_col``, where given, is set to the new number of characters. Columns
+    and rows stay as they are otherwise; a text that is gone whole is empty, a
+    null text stays null.
+    """
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    names = [f"_c{i}" for i in range(len(others))]
+    known = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(others, names)])
+    marked = known.withColumn("_null", F.col("_text").isNull())
+    rows, ids = windows.numbered(marked, "_id", "_text", ["_null", *names])
+    made = _removed(rows, True)
+    made = made.withColumn("_id", F.col("doc")) if ids is None else made.join(ids.withColumnRenamed("id", "_id"), "doc")
+    text = F.when(~F.col("_null"), F.col("kept").cast("string"))
+    values = {id_col: F.col("_id"), text_col: text} | {c: F.col(n) for c, n in zip(others, names)}
+    if length_col:
+        values[length_col] = F.length(text).cast("long")
+    return made.select(*[values[c].alias(c) for c in docs.columns])

@@ -14,7 +14,7 @@ repeats, which the operators compare with an index.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -177,8 +177,10 @@ def as_batch(kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["kind", *BLOCK_COLUMNS])
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
-    """(rows (doc, text), ids): ``doc`` tells rows apart and sorts them as the ids do.
+def numbered(
+    docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows (doc, text, *carry), ids): ``doc`` tells rows apart and sorts them as the ids do.
 
     Unique ids serve themselves, and ids is None. If ids repeat or are null, rows
     are numbered in (id, text) order, nulls first; ids maps numbers back.
@@ -186,10 +188,11 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     column = F.col(id_col)
     counts = docs.groupBy(column.alias("i")).agg(F.count("*").alias("n"))
     if not counts.where("n > 1 OR i IS NULL").limit(1).count():
-        return docs.select(column.alias("doc"), F.col(text_col).alias("text")), None
-    rows = placed(docs.select(column.alias("id"), F.col(text_col).alias("text")), ["id", "text"], "numbered")
+        return docs.select(column.alias("doc"), F.col(text_col).alias("text"), *carry), None
+    named = docs.select(column.alias("_doc_id"), F.col(text_col).alias("text"), *carry)
+    rows = placed(named, ["_doc_id", "text"], "numbered")
     made = materialise(rank_from(rows, [], "doc"), "numbered")
-    return made.select("doc", "text"), made.select("doc", "id")
+    return made.select("doc", "text", *carry), made.select("doc", F.col("_doc_id").alias("id"))
 
 
 MEET_SCHEMA = "kind byte, gram long, content long, doc long, span long"
@@ -397,6 +400,7 @@ def repeated_windows(rows: DataFrame, tokens: Tokens) -> DataFrame:
     blocks = rows.mapInArrow(_block_rows(tokens), MEET_SCHEMA)
     met = materialise(settle(blocks, tokens.first_stays), "windows-met")
     open_blocks = met.where(F.col("kind") != SETTLED)
+    rows = rows.select("doc", "text")
     by_doc = open_blocks.groupBy("doc").agg(F.collect_list(F.struct("kind", "gram", "span")).alias("blocks"))
     opened = materialise(
         rows.join(by_doc, "doc").select("doc", "text", "blocks").mapInArrow(
