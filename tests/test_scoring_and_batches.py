@@ -24,7 +24,7 @@ def rows(spark):
 
 
 def test_pairs_include_padding(rows):
-    got = S.fit_counts(rows, LENGTH).collect()
+    got = S.fit_counts(rows, max_length=LENGTH).collect()
     want = {}
     for ids in IDS.values():
         for p in pairs_by_hand(ids):
@@ -35,7 +35,7 @@ def test_pairs_include_padding(rows):
 @pytest.mark.parametrize("limit", [250_000, 0])
 def test_heldout_losses(spark, rows, monkeypatch, limit):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
-    counts = materialise(S.fit_counts(rows.where("k in (1, 4)"), LENGTH), "counts")
+    counts = materialise(S.fit_counts(rows.where("k in (1, 4)"), max_length=LENGTH), "counts")
     fit = {(r["input_id"], r["label"]): r["n"] for r in counts.collect()}
     vocab = 9
 
@@ -43,13 +43,13 @@ def test_heldout_losses(spark, rows, monkeypatch, limit):
         return -math.log((fit.get((a, b), 0) + 1) / (sum(n for (x, _), n in fit.items() if x == a) + vocab))
 
     per_doc = {k: [loss(a, b) for a, b in pairs_by_hand(ids)] for k, ids in IDS.items()}
-    got = {r["k"]: r for r in S.heldout_by_document(rows, counts, vocab, LENGTH, "k").collect()}
+    got = {r["k"]: r for r in S.heldout_by_document(rows, counts, vocab, "k", max_length=LENGTH).collect()}
     for k, losses in per_doc.items():
         assert got[k]["n_pairs"] == LENGTH
         assert got[k]["loss"] == pytest.approx(sum(losses) / LENGTH)
         assert got[k]["perplexity"] == pytest.approx(math.exp(sum(losses) / LENGTH))
     every = [x for losses in per_doc.values() for x in losses]
-    overall = S.heldout_overall(rows, counts, vocab, LENGTH).first()
+    overall = S.heldout_overall(rows, counts, vocab, max_length=LENGTH).first()
     assert overall["n_pairs"] == len(every) and overall["loss"] == pytest.approx(sum(every) / len(every))
 
 

@@ -18,7 +18,7 @@ def column(df, c):
 
 
 def test_usable_keeps_white_space(edge):
-    kept = edge.where(T.is_usable(F.col("text")))
+    kept = edge.where(T.is_usable(edge))
     assert [r["k"] for r in kept.orderBy("k").collect()] == [2, 3, 4, 5, 6, 7, 8]
 
 

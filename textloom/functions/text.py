@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: runs of word characters, or runs of anything else that is not space.
 PRETOKEN_PATTERN = r"((?U)\w+|[^\w\s]+)"
 
 
-def is_usable(text: Column) -> Column:
-    """Not null and not empty; whitespace-only text counts as usable."""
-    return text.isNotNull() & (text != "")
+def is_usable(df: DataFrame, column: str = "text") -> Column:
+    """A string, not null and not empty; whitespace-only text counts as usable.
+
+    No value of a column of another type is a string, so none of it is usable.
+    """
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return F.lit(False)
+    return F.col(column).isNotNull() & (F.col(column) != "")
 
 
 def coerce_text(value: Column) -> Column:

@@ -19,7 +19,7 @@ from textloom.functions import arrays
 from textloom.functions.text import coerce_text, pretokens
 from textloom.operators.bpe_state import Merge, apply_merges, partial_pair_counts
 from textloom.operators.corpus_stats import MIN_FREQUENCY, alphabet, top_pairs, word_counts
-from textloom.operators.split import NUM_SAMPLES, sample_prefix
+from textloom.operators.split import sample_prefix
 from textloom.plans.storage import materialise
 
 # The special tokens, first in the vocabulary, in this order.
@@ -182,13 +182,13 @@ def fit_words(
 def fit_bpe(
     df: DataFrame,
     vocab_size: int = VOCAB_SIZE,
-    num_samples: int = NUM_SAMPLES,
+    num_samples: int | None = None,
     order_key: str = "row_id",
     text_col: str = "text",
     min_frequency: int = MIN_FREQUENCY,
     max_merges: int | None = None,
 ) -> BpeModel:
-    """Fit on the first ``num_samples`` usable texts."""
+    """Fit on all usable texts, or on the first ``num_samples`` of them."""
     sample = sample_prefix(df, num_samples, order_key, text_col)
     counts = materialise(word_counts(sample, text_col), "word-counts")
     return fit_words(counts, vocab_size, min_frequency, max_merges)

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from textloom.functions.globs import glob_regex, is_rule
 from textloom.functions.text import strip, strip_leading_dots
 from textloom.plans.ordering import any_of
+from textloom.plans.storage import read_lines
 
 # Directories left out of a listing by default.
 EXCLUDED_DIRS = [".git", "__pycache__", ".venv", "venv", "node_modules", ".pytest_cache"]
 
-# A pattern list longer than this is not a configuration.
-MAX_RULES = 10_000
+# Globs joined into one regular expression; a longer list becomes several.
+GLOBS_AT_ONCE = 500
 
 
 def outside_dirs(path: Column, names: Sequence[str] = EXCLUDED_DIRS) -> Column:
@@ -56,34 +57,42 @@ def pattern_rules(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
 
 def read_patterns(spark: SparkSession, patterns: str | Sequence[str] | None) -> DataFrame:
-    """Pattern lines (``line``) from a text file or a list; anything else gives none."""
-    if isinstance(patterns, str):
-        return spark.read.text(patterns).withColumnRenamed("value", "line")
-    return spark.createDataFrame([(p,) for p in patterns or []], "line string")
+    """Pattern lines (``line``) from a text file or a list; a missing file or anything else gives none."""
+    lines = read_lines(spark, patterns) if isinstance(patterns, str) else patterns or []
+    return spark.createDataFrame([(p,) for p in lines], "line string")
 
 
-def _few(rows: DataFrame) -> list:
-    found = rows.limit(MAX_RULES + 1).collect()
-    if len(found) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} patterns")
-    return found
+def prefixes(path: Column) -> Column:
+    """Directories a path lies in: 'a/b/c' gives 'a' and 'a/b'."""
+    parts = F.split(path, "/")
+    return F.transform(
+        F.slice(parts, 1, F.size(parts) - 1), lambda _, i: F.array_join(F.slice(parts, 1, i + 1), "/")
+    )
+
+
+def _matches_any(path: Column, regexes: set[str]) -> list[Column]:
+    """Predicates that hold if one of the regular expressions matches, a bounded number of them in each."""
+    found = sorted(regexes)
+    return [path.rlike("|".join(found[i : i + GLOBS_AT_ONCE])) for i in range(0, len(found), GLOBS_AT_ONCE)]
 
 
 def excluded_by(spark: SparkSession, path: Column, patterns: str | Sequence[str] | None) -> Column:
-    """True for paths that any exclusion pattern covers."""
-    conditions = []
-    regexes = []
-    for rule in _few(pattern_rules(read_patterns(spark, patterns))):
-        if not rule["root_relative"]:
-            regexes.append(rule["regex"])
-        elif rule["pattern"] == "":
-            conditions.append(F.lit(True))
-        else:
-            conditions.append(path.startswith(rule["pattern"] + "/"))
-            if not rule["dir_only"]:
-                conditions.append(path == rule["pattern"])
-    if regexes:
-        conditions.append(path.rlike("|".join(sorted(set(regexes)))))
+    """True for paths that any exclusion pattern covers.
+
+    Literal patterns are looked up as a set, once for each directory of a path
+    and for the path itself, so their number does not matter.
+    """
+    rules = pattern_rules(read_patterns(spark, patterns)).collect()  # a configuration
+    literal = [r for r in rules if r["root_relative"]]
+    if any(r["pattern"] == "" for r in literal):
+        return F.lit(True)
+    dirs = sorted({r["pattern"] for r in literal})
+    whole = sorted({r["pattern"] for r in literal if not r["dir_only"]})
+    conditions = _matches_any(path, {r["regex"] for r in rules if not r["root_relative"]})
+    if dirs:
+        conditions.append(F.exists(prefixes(path), lambda p: p.isin(dirs)))
+    if whole:
+        conditions.append(path.isin(whole))
     return any_of(conditions)
 
 
@@ -93,8 +102,7 @@ def included_by(spark: SparkSession, path: Column, patterns: str | Sequence[str]
     glob = strip_leading_dots(F.col("line"))
     depth = F.when(glob.contains("**"), F.lit("^")).otherwise(F.lit("(^|/)"))
     found = read_patterns(spark, patterns).select(F.concat(depth, glob_regex(glob), F.lit("$")).alias("regex"))
-    regexes = sorted({r["regex"] for r in _few(found)})
-    return path.rlike("|".join(regexes)) if regexes else F.lit(False)
+    return any_of(_matches_any(path, {r["regex"] for r in found.collect()}))
 
 
 def exclude(paths: DataFrame, patterns: str | Sequence[str] | None, path_col: str = "path") -> DataFrame:

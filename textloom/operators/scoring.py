@@ -17,34 +17,38 @@ from textloom.plans.storage import materialise
 STEPS_PER_WRITE = 16
 
 
-def weighted_pairs(ids: Column, max_length: int) -> Column:
-    """(input_id, label, w) structs of a row truncated and padded to ``max_length``.
+def weighted_pairs(ids: Column, max_length: int | None = None) -> Column:
+    """(input_id, label, w) structs of a whole row, or of one truncated and padded to ``max_length``.
 
-    The (pad, pad) pairs of one row are a single entry with their number as
+    Every id is paired with the next one, the last one with the pad id. The (pad, pad) pairs of one row are a single entry with their number as
     weight, so padding does not multiply the rows to count.
     """
-    cut = truncate(ids, max_length)
+    cut = ids if max_length is None else truncate(ids, max_length)
     n = F.size(cut)
     real = F.zip_with(
         cut,
         shift_labels(cut, PAD),
         lambda x, y: F.struct(x.alias("input_id"), y.alias("label"), F.lit(1).cast("bigint").alias("w")),
     )
+    # an empty row has labels of one pad but no id to pair it with
+    pairs = F.when(n > 0, real).otherwise(F.slice(real, 1, 0))
+    if max_length is None:
+        return pairs
     pads = F.struct(
         F.lit(PAD).alias("input_id"), F.lit(PAD).alias("label"), (max_length - n).cast("bigint").alias("w")
     )
-    # an empty row has labels of one pad but no id to pair it with
-    pairs = F.when(n > 0, real).otherwise(F.slice(real, 1, 0))
     return F.when(n < max_length, F.concat(pairs, F.array(pads))).otherwise(pairs)
 
 
-def pair_rows(encoded: DataFrame, max_length: int, keys: list[str], ids_col: str = "ids") -> DataFrame:
+def pair_rows(
+    encoded: DataFrame, keys: list[str], ids_col: str = "ids", max_length: int | None = None
+) -> DataFrame:
     return encoded.select(*keys, F.inline(weighted_pairs(F.col(ids_col), max_length)))
 
 
-def fit_counts(encoded: DataFrame, max_length: int, ids_col: str = "ids") -> DataFrame:
+def fit_counts(encoded: DataFrame, ids_col: str = "ids", max_length: int | None = None) -> DataFrame:
     """(input_id, label, n): at most vocabulary size squared rows."""
-    return pair_rows(encoded, max_length, [], ids_col).groupBy("input_id", "label").agg(F.sum("w").alias("n"))
+    return pair_rows(encoded, [], ids_col, max_length).groupBy("input_id", "label").agg(F.sum("w").alias("n"))
 
 
 def score_pairs(pairs: DataFrame, counts: DataFrame, vocab_size: int, keys: list[str]) -> DataFrame:
@@ -67,19 +71,29 @@ def _weighted_mean() -> list[Column]:
 
 
 def heldout_by_document(
-    encoded: DataFrame, counts: DataFrame, vocab_size: int, max_length: int, key: str, ids_col: str = "ids"
+    encoded: DataFrame,
+    counts: DataFrame,
+    vocab_size: int,
+    key: str,
+    ids_col: str = "ids",
+    max_length: int | None = None,
 ) -> DataFrame:
-    """Mean loss and perplexity of every document; a document's pairs are summed
-    where they are produced, unless the counts are too large to broadcast."""
-    scored = score_pairs(pair_rows(encoded, max_length, [key], ids_col), counts, vocab_size, [key])
+    """Mean loss and perplexity of every document; equal pairs of a document are summed before the lookup."""
+    pairs = pair_rows(encoded, [key], ids_col, max_length)
+    pairs = pairs.groupBy(key, "input_id", "label").agg(F.sum("w").alias("w"))
+    scored = score_pairs(pairs, counts, vocab_size, [key])
     return scored.groupBy(key).agg(*_weighted_mean()).withColumn("perplexity", F.exp("loss"))
 
 
 def heldout_overall(
-    encoded: DataFrame, counts: DataFrame, vocab_size: int, max_length: int, ids_col: str = "ids"
+    encoded: DataFrame,
+    counts: DataFrame,
+    vocab_size: int,
+    ids_col: str = "ids",
+    max_length: int | None = None,
 ) -> DataFrame:
     """Mean loss and perplexity of all positions; pairs are summed before the lookup."""
-    pairs = fit_counts(encoded, max_length, ids_col).withColumnRenamed("n", "w")
+    pairs = fit_counts(encoded, ids_col, max_length).withColumnRenamed("n", "w")
     scored = score_pairs(pairs, counts, vocab_size, [])
     return scored.agg(*_weighted_mean()).withColumn("perplexity", F.exp("loss"))
 

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from textloom.functions.text import is_usable
 from textloom.plans.ordering import HASH_BITS, first_k, hash_prefix, order_hash
 
-# Seed, share of the train split, texts used to fit a tokenizer.
+# Seed, share of the train split.
 DEFAULT_SEED = 42
 DEFAULT_RATIO = 0.9
-NUM_SAMPLES = 50_000
 
 
 def train_predicate(df: DataFrame, keys: list[str], ratio: float = DEFAULT_RATIO, seed: int = DEFAULT_SEED) -> Column:
@@ -41,12 +40,14 @@ def select_by_index(df: DataFrame, index: DataFrame, id_col: str = "row_id", pla
 
 
 def sample_prefix(
-    df: DataFrame, num_samples: int = NUM_SAMPLES, order_key: str = "row_id", text_col: str = "text"
+    df: DataFrame, num_samples: int | None = None, order_key: str = "row_id", text_col: str = "text"
 ) -> DataFrame:
-    """The first ``num_samples`` rows with usable text, by a unique integer key."""
+    """The first ``num_samples`` rows with usable text, by a unique integer key; all of them if None."""
+    usable = df.where(is_usable(df, text_col))
+    if num_samples is None:
+        return usable
     if num_samples <= 0:
         raise ValueError("num_samples must be positive")
-    usable = df.where(is_usable(F.col(text_col)))
     return usable.where(first_k(usable, [F.col(order_key)], lambda n: num_samples))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.plans.lookup import lookup_join
@@ -127,6 +127,28 @@ def row_ids(df: DataFrame, *keys: str, id_col: str = "row_id", carry: Sequence[s
     )
 
 
+def running_total(df: DataFrame, order: list[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``order`` and ``carry`` columns plus ``_before``: the sum of ``value`` over all earlier rows.
+
+    Rows are range-partitioned and written sorted; sums inside a partition come
+    from a window over it, those of earlier partitions from one row each.
+    """
+    sorted_rows = df.select(*order, value, *carry).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "running-total")
+    part = F.shiftright("_place", 33)
+    sums = sorted((r[0], r[1]) for r in placed.groupBy(part).agg(F.sum(value)).collect())
+    starts, total = [], 0
+    for p, n in sums:
+        starts.append((p, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(starts or [(0, 0)], "_part bigint, _start bigint")
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_part", part).withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return local.join(F.broadcast(offsets), "_part").select(
+        *order, *carry, (F.col("_start") + F.col("_local")).alias("_before")
+    )
+
+
 def with_row_id(df: DataFrame, *keys: str, id_col: str = "row_id") -> DataFrame:
     """``df`` with a dense id; ``keys`` must be unique and not null."""
     return df.join(row_ids(df, *keys, id_col=id_col), list(keys))

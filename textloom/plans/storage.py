@@ -56,7 +56,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Delete the table behind a ``materialise`` result that nothing reads any more."""
+    fs, path = _hadoop_path(written.sparkSession, written.scratch)
+    fs.delete(path, True)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -69,6 +77,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def matching_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files that match a path pattern, hidden ones included."""
+    fs, path = _hadoop_path(spark, pattern)
+    return sorted(s.getPath().getName() for s in fs.globStatus(path) or [] if s.isFile())
+
+
+def any_file(spark: SparkSession, pattern: str) -> bool:
+    """Whether a file matches a path pattern; only the answer leaves the JVM."""
+    fs, path = _hadoop_path(spark, pattern)
+    return len(fs.globStatus(path) or []) > 0
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str]:
+    """Lines of one small text file, whatever its name; none if there is no such file."""
+    fs, jvm_path = _hadoop_path(spark, path)
+    if not fs.exists(jvm_path):
+        return []
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+    finally:
+        stream.close()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path`` in sorted order, hidden ones left out."""
     fs, jvm_path = _hadoop_path(spark, path)

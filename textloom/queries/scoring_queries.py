@@ -16,7 +16,6 @@ from textloom.plans.ordering import unit_hash
 from textloom.plans.storage import materialise
 from textloom.queries.common import (
     MARKED_SQL,
-    MAX_LENGTH,
     encode_sql,
     encoded,
     encoded_split,
@@ -69,12 +68,12 @@ def greedy_token(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = encoded_split(spark, sf_dir).where(F.col("split") == "train")
-    return materialise(S.fit_counts(train, MAX_LENGTH), "pair-model")
+    return materialise(S.fit_counts(train), "pair-model")
 
 
 def bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = encoded_split(spark, sf_dir).where(F.col("split") == "train")
-    return S.fit_counts(train, MAX_LENGTH)
+    return S.fit_counts(train)
 
 
 def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,13 +82,13 @@ def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def heldout_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = tokenizer(spark, sf_dir).vocab_size
-    scored = S.heldout_by_document(_validation(spark, sf_dir), _counts(spark, sf_dir), size, MAX_LENGTH, "doc_id")
+    scored = S.heldout_by_document(_validation(spark, sf_dir), _counts(spark, sf_dir), size, "doc_id")
     return scored.select("doc_id", "n_pairs", rounded("loss"), rounded("perplexity"))
 
 
 def heldout_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = tokenizer(spark, sf_dir).vocab_size
-    scored = S.heldout_overall(_validation(spark, sf_dir), _counts(spark, sf_dir), size, MAX_LENGTH)
+    scored = S.heldout_overall(_validation(spark, sf_dir), _counts(spark, sf_dir), size)
     return scored.select("n_pairs", rounded("loss"), rounded("perplexity"))
 
 
@@ -146,9 +145,9 @@ probs AS (
   SELECT vec_id, token_id, e / sum(e) OVER (PARTITION BY vec_id) AS p
   FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM kept))"""
 
-_PAIRS = f"""pairs AS MATERIALIZED (
-  SELECT doc_id, split, unnest(x) AS input_id, unnest(list_append(x[2:], 1)) AS label
-  FROM (SELECT doc_id, list_resize(ids[1:{MAX_LENGTH}], {MAX_LENGTH}, 1) AS x FROM enc) JOIN marked USING (doc_id)),
+_PAIRS = """pairs AS MATERIALIZED (
+  SELECT doc_id, split, unnest(ids) AS input_id, unnest(list_append(ids[2:], 1)) AS label
+  FROM enc JOIN marked USING (doc_id) WHERE len(ids) > 0),
 counts AS MATERIALIZED (
   SELECT input_id, label, count(*) AS n FROM pairs WHERE split = 'train' GROUP BY ALL)"""
 _MODEL = with_sql(fit_sql(), encode_sql("documents", "doc_id"), MARKED_SQL, _PAIRS)

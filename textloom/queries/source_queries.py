@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.plans.storage import scratch_path
@@ -89,11 +89,20 @@ def config_local(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders of a corpus written by language, from a listing of its files."""
+    """The files of a corpus written by language in one task: their folder, place and length in lines.
+
+    Names and sizes of Spark's files are not known to SQL, so every file is
+    reopened: its path must lead to the rows of its language.
+    """
     path = scratch_path(spark, "corpus-by-lang")
-    documents(spark, sf_dir).select("lang", "text").write.partitionBy("lang").parquet(path)
-    listed = sorted_files(spark, path, "*.parquet").where(F.col("length") > 0)
-    return listed.select(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).distinct()
+    documents(spark, sf_dir).select("lang", "doc_id").coalesce(1).write.partitionBy("lang").parquet(path)
+    listed = sorted_files(spark, path, "*.parquet")
+    place = F.row_number().over(Window.orderBy("path")) - 1  # a file per language
+    numbered = listed.where(F.col("length") > 0).select("path", place.alias("place"))
+    rows = spark.read.parquet(path).select("doc_id", F.regexp_replace(F.input_file_name(), "^.*/(lang=)", "$1").alias("path"))
+    counts = rows.groupBy("path").agg(F.count("*").alias("n_rows"))
+    lang = F.regexp_extract("path", "^lang=([^/]+)/", 1)
+    return numbered.join(counts, "path").select(lang.alias("lang"), "place", "n_rows")
 
 
 def corpus_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +158,7 @@ SELECT row_id, doc_id, md5(text) AS text_md5 FROM ranked WHERE place <= floor(0.
     "dataset_from_snapshot_config": """SELECT doc_id, CASE WHEN place <= floor(0.9 * n) THEN 'train' ELSE 'validation' END AS split
 FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS place, count(*) OVER () AS n
       FROM documents)""",
-    "file_listing": "SELECT DISTINCT lang FROM documents",
+    "file_listing": "SELECT lang, (row_number() OVER (ORDER BY 'lang=' || lang || '/') - 1)::INT AS place, count(*) AS n_rows FROM documents GROUP BY lang",
     "corpus_sink_roundtrip": """SELECT sum(pieces)::BIGINT AS n_records, sum(n_chars)::BIGINT AS n_chars
 FROM (SELECT len(string_split(text, chr(10) || chr(10))) AS pieces,
              length(replace(text, chr(10) || chr(10), '')) AS n_chars

@@ -75,5 +75,5 @@ SELECT place, row_id, doc_id, lang FROM chosen JOIN numbered USING (row_id)""",
     "sample_prefix": f"""SELECT doc_id, length(text)::INT AS n FROM documents
 WHERE text IS NOT NULL AND text <> '' ORDER BY doc_id LIMIT {PREFIX}""",
     "sample_stats": """SELECT count(*) AS n_texts, sum(length(text))::BIGINT AS n_chars
-FROM (SELECT text FROM documents WHERE text IS NOT NULL AND text <> '' ORDER BY doc_id LIMIT 50000)""",
+FROM documents WHERE text <> ''""",
 }

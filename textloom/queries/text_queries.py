@@ -19,7 +19,7 @@ def usable_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only graded documents carry a text; bad grades blank it."""
     text = F.when(F.col("quality") == 1, F.col("text")).when(F.col("quality") == 0, F.lit(""))
     graded = _graded(spark, sf_dir).select("doc_id", text.alias("text"))
-    return graded.where(T.is_usable(F.col("text"))).select("doc_id", F.md5("text").alias("text_md5"))
+    return graded.where(T.is_usable(graded)).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 def coerce_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.operators.bpe import BpeModel, fit_bpe
-from textloom.operators.split import NUM_SAMPLES
 from textloom.plans.storage import is_written
 from textloom.sources.datasets import dataset_from_config
 
@@ -34,7 +33,7 @@ def load_or_train(
     path: str,
     dataset: DataFrame | None = None,
     vocab_size: int = 8192,
-    num_samples: int = NUM_SAMPLES,
+    num_samples: int | None = None,
     force_retrain: bool = False,
     order_key: str = "row_id",
     **fit_options: Any,

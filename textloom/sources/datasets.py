@@ -38,7 +38,8 @@ def read_source(spark: SparkSession, config: dict[str, Any]) -> DataFrame:
         raise ValueError(f"source '{source}' needs {', '.join(missing)}")
     key = config.get("key")
     if source == "local":
-        df = scan(spark, config["data_dir"], config["type"], config.get("schema"), keep_order=not key)
+        options = config.get("options") or {}
+        df = scan(spark, config["data_dir"], config["type"], config.get("schema"), keep_order=not key, **options)
     else:
         split = "train" if source == "modelscope" else None
         df = scan_snapshot(spark, config["dataset_id"], config["data_dir"], split)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import fnmatch
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from textloom.plans.lookup import BROADCAST_ROWS, lookup_join
-from textloom.plans.storage import exists, materialise
+from textloom.plans.lookup import lookup_join
+from textloom.plans.ordering import running_total
+from textloom.plans.storage import any_file, exists, matching_names, materialise
 
 # Reader and options for a file type; a type not listed is used as the reader's name.
 READERS = {
@@ -33,24 +39,30 @@ def scan(
 
     ``keep_order`` adds columns that sort the rows as they stand: by file path,
     then by place in the file. A given ``schema`` saves the inference pass,
-    which for CSV and JSON reads the data once more.
+    which for CSV and JSON reads the data once more; a CSV column ``text`` is a
+    string whatever is inferred. ``options`` go to the reader, for instance
+    multiLine=false for CSV without line breaks in quotes, which splits large
+    files. Spark's readers pass over names that begin with '_' or '.', so a
+    directory that has such files of this type is refused.
     """
     if not exists(spark, data_dir):
         raise ValueError(f"no such directory: {data_dir}")
+    place = data_dir.rstrip("/")
+    if not any_file(spark, f"{place}/*.{filetype}"):
+        raise ValueError(f"no *.{filetype} files in {data_dir}")
+    hidden = matching_names(spark, f"{place}/[_.]*.{filetype}")
+    if hidden:
+        raise ValueError(f"files in {data_dir} that a scan would pass over, rename them: {', '.join(hidden[:20])}")
     reader, preset = READERS.get(filetype, (filetype, {}))
     source = spark.read.format(reader).options(**{**preset, **options}).option("pathGlobFilter", f"*.{filetype}")
     source = source.option("recursiveFileLookup", "false")
     if schema:
         source = source.schema(schema)
-    try:
-        df = source.load(data_dir.rstrip("/"))
-        empty = not df.inputFiles()
-    except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        empty = True
-    if empty:
-        raise ValueError(f"no *.{filetype} files in {data_dir}")
+    elif reader == "csv":
+        inferred = source.load(place).schema
+        as_text = [T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in inferred]
+        source = source.schema(T.StructType(as_text))
+    df = source.load(place)
     if filetype == "txt":
         df = df.withColumnRenamed("value", "text")
     return with_file_order(df) if keep_order else df
@@ -66,28 +78,62 @@ def number_rows(ordered: DataFrame, id_col: str = "row_id") -> DataFrame:
     """A scan with order columns, numbered from 0 in file order instead.
 
     The table is written once, as it was read: rows of one split keep their
-    order, so the id is the split's first id plus the place in the split. Only
-    one row per split is brought together.
+    order, so the id is the split's first id plus the place in the split. The
+    splits' first ids are running totals over one row per split.
     """
-    spark = ordered.sparkSession
     frozen = materialise(ordered, "scan")  # the line counter depends on how files were packed into tasks
     file, block, line = ORDER_COLUMNS
-    splits = frozen.groupBy(file, block).agg(F.min(line).alias("_first"), F.count("*").alias("_n")).collect()
-    starts, total = [], 0
-    for r in sorted(splits):
-        starts.append((r[file], r[block], total - r["_first"]))
-        total += r["_n"]
-    shifts = spark.createDataFrame(starts, f"{file} string, {block} bigint, _shift bigint")
-    numbered = lookup_join(frozen, shifts, [file, block], salt_by=[line], small=len(starts) <= BROADCAST_ROWS)
+    splits = frozen.groupBy(file, block).agg(F.min(line).alias("_first"), F.count("*").alias("_n"))
+    totals = running_total(splits, [file, block], "_n", carry=["_first"])
+    shifts = materialise(totals.select(file, block, (F.col("_before") - F.col("_first")).alias("_shift")), "splits")
+    numbered = lookup_join(frozen, shifts, [file, block], salt_by=[line])
     return numbered.withColumn(id_col, F.col(line) + F.col("_shift")).drop(*ORDER_COLUMNS, "_shift")
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, length, modified) of every file below ``root``; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    """(path, length, modified) of every file below ``root``, hidden ones included; contents are not read.
+
+    Directories are listed level by level in tasks, so only the depth of the
+    tree decides how many rounds there are. ``path`` is relative to ``root``.
+    """
+    found = None
+    level = spark.createDataFrame([("",)], "path string")
+    while True:
+        rows = level.repartition("path").mapInArrow(_lister(root), _LISTED)
+        entries = materialise(rows, "listing")
+        files = entries.where("NOT is_dir")
+        found = files if found is None else found.union(files)
+        level = entries.where("is_dir").select("path")
+        if not level.limit(1).count():
+            break
+    named = found.select("path", "length", "modified")
+    if glob is None:
+        return named
+    return named.where(F.regexp_extract("path", "[^/]*$", 0).rlike(fnmatch.translate(glob).replace("\\Z", "$").replace("\\z", "$")))
+
+
+_LISTED = "path string, is_dir boolean, length long, modified timestamp"
+
+
+def _lister(root: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = pafs.FileSystem.from_uri(root if ":" in root.split("/")[0] else f"file://{root}")
+        base = base.rstrip("/")
+        for batch in batches:
+            for directory in batch.column(0).to_pylist():
+                listed = system.get_file_info(pafs.FileSelector(f"{base}/{directory}".rstrip("/")))
+                below = [f"{directory}/{f.base_name}".lstrip("/") for f in listed]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(below, pa.string()),
+                        pa.array([f.type == pafs.FileType.Directory for f in listed], pa.bool_()),
+                        pa.array([f.size or 0 for f in listed], pa.int64()),
+                        pa.array([f.mtime for f in listed], pa.timestamp("us", "UTC")),
+                    ],
+                    ["path", "is_dir", "length", "modified"],
+                )
+
+    return entries
 
 
 def sorted_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ SEPARATOR = "\n\n"
 
 def write_corpus(df: DataFrame, path: str, text_col: str = "text", mode: str = "errorifexists") -> None:
     """Every usable text followed by a blank line, UTF-8, one file per partition."""
-    texts = df.where(is_usable(F.col(text_col))).select(F.col(text_col).alias("value"))
+    texts = df.where(is_usable(df, text_col)).select(F.col(text_col).alias("value"))
     texts.write.mode(mode).option("lineSep", SEPARATOR).text(path)
 
 
