@@ -100,3 +100,17 @@ def test_selection_is_one_filter(tree, capsys):
     P.exclude(tree, ["*.txt", "/src", "x/"]).explain()
     plan = capsys.readouterr().out
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_pattern_file_of_any_name(spark, tmp_path):
+    (tmp_path / ".gitignore").write_text("*.py\n/dataset\n")
+    paths = spark.createDataFrame([("a.py",), ("dataset/x",), ("keep",)], "path string")
+    assert [r[0] for r in P.exclude(paths, str(tmp_path / ".gitignore")).collect()] == ["keep"]
+    assert P.exclude(paths, str(tmp_path / "none")).count() == 3
+
+
+def test_twenty_thousand_rules(spark):
+    rules = [f"/dir{i}/" for i in range(10_000)] + [f"*.x{i}" for i in range(10_000)]
+    rows = [("dir7/a",), ("dir7",), ("dir9999/b/c",), ("dir10000/a",), ("a/b.x9998",), ("a/b.y",)]
+    kept = P.exclude(spark.createDataFrame(rows, "path string"), rules)
+    assert sorted(r[0] for r in kept.collect()) == ["a/b.y", "dir10000/a", "dir7"]

@@ -1,6 +1,7 @@
 """Score arrays, losses, metric logs, checkpoints, artifacts; batch and stream."""
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from textloom.functions import scores as Z
 from textloom.operators import metrics as M
 from textloom.plans.storage import scratch_path
-from textloom.streaming.metric_stream import keep_latest_checkpoint, run_to_table, stream_metric_windows
+from textloom.streaming.metric_stream import keep_latest_checkpoint, latest_table, run_to_table, stream_metric_windows
 
 TIES = [[3.0, 1.0, 3.0, 2.0], [1.0, 1.0, 1.0, 1.0], [4.0, 3.0, 2.0, 1.0]]
 
@@ -96,9 +97,24 @@ def test_validation_steps(log):
     assert sorted((r["run"], r["step"]) for r in M.every(log, 12).collect()) == [(1, 12), (1, 24), (2, 12), (2, 24)]
 
 
-@pytest.mark.parametrize("block", [1, 4, 4096])
-def test_running_best(log, block):
-    got = {(r["run"], r["step"]): r["best"] for r in M.running_best(log, block).collect()}
+def test_stream_equals_batch_with_repeats_and_named_runs(spark):
+    rows = [(run, step, float(step), step) for run in ("run-a", "run-b") for step in range(1, 21)]
+    rows += [("run-a", 5, 99.0, 100), ("run-b", 20, 99.0, 101)]
+    log = spark.createDataFrame(rows, "run string, step long, value double, seq long")
+    source, sink = scratch_path(spark, "log"), scratch_path(spark, "out")
+    log.repartitionByRange(4, "seq").write.parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    run_to_table(stream_metric_windows(stream), sink, scratch_path(spark, "state"))
+    got, want = (sorted((r["run"], r["step"], r["train_loss"]) for r in df.collect()) for df in (spark.read.parquet(sink), M.metric_windows(log)))
+    assert got == want == [(r, s, s - 4.5) for r in ("run-a", "run-b") for s in (10, 20)]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_running_best(spark, log, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    got = {(r["run"], r["step"]): r["best"] for r in M.running_best(log).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     for run in (1, 2):
         best = math.inf
         for step in range(1, 26):
@@ -138,8 +154,25 @@ def test_latest_checkpoint_stream(spark, checkpoints):
     checkpoints.repartition(4, "step").write.parquet(source)
     stream = spark.readStream.schema(checkpoints.schema).option("maxFilesPerTrigger", 1).parquet(source)
     query = keep_latest_checkpoint(stream, sink, scratch_path(spark, "state"))
-    last = query.lastProgress["batchId"]
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{sink}/batch={last}").collect()) == LATEST
+    assert sorted(tuple(r) for r in latest_table(spark, sink, query.lastProgress["batchId"]).collect()) == LATEST
+
+
+def test_latest_checkpoint_stream_keeps_two_tables(spark):
+    source, sink = scratch_path(spark, "ckpt"), scratch_path(spark, "latest")
+    rows = spark.range(20).select(F.lit(1).alias("run"), F.col("id").alias("step"), F.lit(0.5).alias("val_loss"), F.lit("p").alias("payload_ref"))
+    rows.repartitionByRange(20, "step").write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = keep_latest_checkpoint(stream, sink, scratch_path(spark, "state"))
+    assert query.lastProgress["batchId"] >= 15
+    assert sorted(os.listdir(sink.removeprefix("file://"))) == ["turn=0", "turn=1"]
+    assert [r["step"] for r in latest_table(spark, sink, query.lastProgress["batchId"]).collect()] == [19]
+
+
+def test_append_metrics(spark):
+    path = scratch_path(spark, "metrics")
+    for step in (1, 2):
+        M.append_metrics(spark.createDataFrame([("r", step, "loss", 1.0 / step, step)], "run string, step long, metric string, value double, seq long"), path)
+    assert [tuple(r) for r in M.metric_history(spark.read.parquet(path), ["loss"]).orderBy("step").collect()] == [("r", 1, 1.0), ("r", 2, 0.5)]
 
 
 def test_artifacts(spark):
@@ -148,6 +181,7 @@ def test_artifacts(spark):
     assert sorted(tuple(r)[:3] for r in registry.collect()) == [("t/p/m", 0, "x"), ("t/p/m", 1, "y"), ("t/p/n", 0, "z")]
     for ref, path in (("t/p/m:latest", "y"), ("t/p/m:v0", "x"), ("t/p/m:1", "y")):
         assert [r["path"] for r in M.resolve_artifact(registry, ref).collect()] == [path]
+        assert M.resolve_upload(uploads, ref).collect() == M.resolve_artifact(registry, ref).collect()
     assert M.resolve_artifact(registry, "t/p/none:latest").count() == 0
     with pytest.raises(ValueError):
         M.resolve_artifact(registry, "t/p/m")

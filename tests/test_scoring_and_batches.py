@@ -105,9 +105,22 @@ def test_step_plan(spark):
 
 
 def test_padding(spark):
-    df = spark.createDataFrame([(0, [5]), (1, [5, 6, 7]), (2, [])], "pos long, ids array<int>")
-    got = {r["pos"]: r for r in B.pad_to_longest(df, batch_size=2).collect()}
+    df = spark.createDataFrame([("a", [5]), ("b", [5, 6, 7]), ("c", [])], "k string, ids array<int>")
+    places = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "k string, pos long")
+    got = {r["pos"]: r for r in B.pad_to_longest(df, places, ["k"], batch_size=2).collect()}
     assert got[0]["input_ids"] == [5, 1, 1] and got[0]["attention_mask"] == [1, 0, 0]
     assert got[1]["attention_mask"] == [1, 1, 1] and got[2]["input_ids"] == []
-    waste = {r["batch_id"]: (r["waste_fixed"], r["waste_dynamic"]) for r in B.padding_waste(df, 4, batch_size=2).collect()}
+    waste = {r["batch_id"]: (r["waste_fixed"], r["waste_dynamic"]) for r in B.padding_waste(df, places, ["k"], 4, batch_size=2).collect()}
     assert waste == {0: (pytest.approx(0.5), pytest.approx(1 / 3)), 1: (1.0, 0.0)}
+
+
+def test_no_ids_are_shuffled_for_padding_waste(spark):
+    df = spark.createDataFrame([("a", [5])], "k string, ids array<int>")
+    places = spark.createDataFrame([("a", 0)], "k string, pos long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = B.padding_waste(df, places, ["k"], 4)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for line in plan.split("\n"):
+        assert "Exchange" not in line or "ids#" not in line
+    below = plan.split("Exchange")[-1]
+    assert "size(ids" in plan and below

@@ -161,3 +161,30 @@ def test_files_read_in_several_splits_keep_their_order(spark):
         assert got.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_hidden_files_are_listed_and_never_lost(spark, tmp_path):
+    for name in ("a.py", "src/__init__.py", "src/_x.py", ".gitignore"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x" * len(name))
+    got = [(r["path"], r["length"]) for r in files.sorted_files(spark, str(tmp_path)).collect()]
+    assert got == [(n, len(n)) for n in sorted(["a.py", "src/__init__.py", "src/_x.py", ".gitignore"])]
+    assert [r["path"] for r in files.sorted_files(spark, str(tmp_path), "_*.py").collect()] == ["src/__init__.py", "src/_x.py"]
+    (tmp_path / "z.txt").write_text("z")
+    (tmp_path / "_y.txt").write_text("y")
+    with pytest.raises(ValueError, match="_y.txt"):
+        files.scan(spark, str(tmp_path), "txt")
+
+
+def test_digits_in_a_csv_text_column_stay_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("text,n\n007,1\n42,2\n")
+    scanned = files.scan(spark, str(tmp_path), "csv")
+    assert sorted(r["text"] for r in scanned.collect()) == ["007", "42"]
+    assert dict(scanned.dtypes)["n"] == "int"
+
+
+def test_numbered_in_file_order_over_many_splits(spark):
+    path = scratch_path(spark, "many")
+    spark.range(500).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("value")).repartitionByRange(7, "value").sortWithinPartitions("value").write.text(path)
+    rows = files.number_rows(files.scan(spark, path, "txt", keep_order=True)).collect()
+    assert sorted((r["row_id"], int(r["text"])) for r in rows) == [(i, i) for i in range(500)]

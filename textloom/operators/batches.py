@@ -43,13 +43,22 @@ def assemble(positioned: DataFrame, columns: list[str], batch_size: int = BATCH_
     )
 
 
-def pad_to_longest(positioned: DataFrame, ids_col: str = "ids", batch_size: int = BATCH_SIZE) -> DataFrame:
-    """``input_ids`` and ``attention_mask`` as long as the longest row of the batch."""
+def pad_to_longest(
+    rows: DataFrame, positions: DataFrame, keys: list[str], ids_col: str = "ids", batch_size: int = BATCH_SIZE
+) -> DataFrame:
+    """``rows`` (keys, ids) with ``input_ids`` and ``attention_mask`` as long as the longest row of the batch.
+
+    Only sizes meet ``positions`` (keys, pos) and their batch; the ids are
+    joined once, to one number each. ``rows`` is read twice: give a table.
+    """
     batch = Window.partitionBy("batch_id")  # at most batch_size rows
+    sizes = rows.select(*keys, F.size(ids_col).alias("_size")).join(positions, keys)
+    longest = sizes.withColumn("batch_id", batch_of(F.col("pos"), batch_size)).select(
+        *keys, "pos", "batch_id", F.max("_size").over(batch).alias("_longest")
+    )
     ids = F.col(ids_col)
     return (
-        positioned.withColumn("batch_id", batch_of(F.col("pos"), batch_size))
-        .withColumn("_longest", F.max(F.size(ids)).over(batch))
+        rows.join(longest, keys)
         .withColumn("input_ids", arrays.pad_right(ids, F.col("_longest"), PAD))
         .withColumn("attention_mask", arrays.attention_mask(ids, F.col("_longest")))
         .drop("_longest")
@@ -73,12 +82,21 @@ def step_plan(spark: SparkSession, batches_per_epoch: int, max_steps: int = MAX_
 
 
 def padding_waste(
-    positioned: DataFrame, max_length: int, ids_col: str = "ids", batch_size: int = BATCH_SIZE
+    rows: DataFrame,
+    positions: DataFrame,
+    keys: list[str],
+    max_length: int,
+    ids_col: str = "ids",
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
-    """Share of padding per batch, padded to ``max_length`` and to the longest row."""
-    sized = positioned.select(
-        batch_of(F.col("pos"), batch_size).alias("batch_id"),
-        F.least(F.size(ids_col), F.lit(max_length)).cast("bigint").alias("n"),
+    """Share of padding per batch, padded to ``max_length`` and to the longest row.
+
+    The sizes of ``rows`` (keys, ids) are taken before they meet ``positions``
+    (keys, pos), so no ids are shuffled.
+    """
+    kept = F.least(F.size(ids_col), F.lit(max_length)).cast("bigint")
+    sized = rows.select(*keys, kept.alias("n")).join(positions, keys).select(
+        batch_of(F.col("pos"), batch_size).alias("batch_id"), "n"
     )
     return (
         sized.groupBy("batch_id")

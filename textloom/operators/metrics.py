@@ -7,21 +7,19 @@ windows over a whole run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.numbers import int_div
 from textloom.functions.scores import as_scores, cross_entropy
-from textloom.plans.ordering import rank_within
+from textloom.plans.ordering import first_k, rank_within
+from textloom.plans.storage import materialise
 
 # Steps per log entry, steps between validations, batches per validation.
 LOG_INTERVAL = 10
 VALIDATION_INTERVAL = 1000
 EVAL_STEPS = 100
 
-# Steps per block of the running minimum.
-BLOCK_STEPS = 4096
-
 
 def position_losses(df: DataFrame, scores_col: str, target_col: str, pad_id: int | None = None) -> DataFrame:
     """``df`` with ``loss`` per position; rows whose target is ``pad_id`` are left out if given."""
@@ -37,12 +35,20 @@ def mean_loss(losses: DataFrame, loss_col: str = "loss") -> DataFrame:
     )
 
 
+def first_logged(log: DataFrame) -> DataFrame:
+    """One entry per (run, step): of repeated ones the first by ``seq``, or the smallest value without it."""
+    value = F.min_by("value", "seq") if "seq" in log.columns else F.min("value")
+    return log.groupBy("run", "step").agg(value.alias("value"))
+
+
 def metric_windows(log: DataFrame, interval: int = LOG_INTERVAL) -> DataFrame:
     """Mean loss and perplexity of every full window of ``interval`` steps, keyed
-    at the closing step. An unfinished window gives no row."""
+    at the closing step. An unfinished window gives no row; a step that was
+    logged again counts once, see ``first_logged``."""
     window = int_div(F.col("step") - 1, interval)
     return (
-        log.groupBy("run", window.alias("_w"))
+        first_logged(log)
+        .groupBy("run", window.alias("_w"))
         .agg(F.count("*").alias("_n"), F.avg("value").alias("train_loss"))
         .where(F.col("_n") == interval)
         .select(
@@ -60,29 +66,36 @@ def every(log: DataFrame, interval: int = VALIDATION_INTERVAL) -> DataFrame:
 
 def capped_eval(batch_losses: DataFrame, num_steps: int = EVAL_STEPS) -> DataFrame:
     """Mean loss of the first ``num_steps`` batches over the number there are."""
-    return mean_loss(batch_losses.orderBy("batch_id").limit(num_steps))
+    return mean_loss(batch_losses.where(in_first_batches(batch_losses, num_steps)))
+
 
+def in_first_batches(rows: DataFrame, num_steps: int = EVAL_STEPS) -> Column:
+    """A predicate for the rows of the first ``num_steps`` batches; use it before scoring them."""
+    return first_k(rows.select("batch_id").distinct(), [F.col("batch_id")], lambda n: num_steps)
 
-def running_best(log: DataFrame, block_steps: int = BLOCK_STEPS) -> DataFrame:
+
+def running_best(log: DataFrame) -> DataFrame:
     """``best``: the smallest value of the run up to and including the step.
 
-    A run is cut into blocks of steps. The minimum inside a block comes from a
-    window over that block only, the minimum of earlier blocks from a window
-    over one row per block.
+    The log is range-partitioned by run and step and written sorted. The minimum
+    inside a partition comes from a window over the run's part of it, that of
+    earlier partitions from one row per run and partition, so the largest run
+    spreads over as many tasks as its rows need.
     """
-    blocked = log.withColumn("_block", int_div(F.col("step"), block_steps))
-    inside = Window.partitionBy("run", "_block").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("run").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sorted_log = log.repartitionByRange("run", "step").sortWithinPartitions("run", "step")
+    placed = materialise(sorted_log.withColumn("_part", F.spark_partition_id()), "running-best")
+    inside = Window.partitionBy("_part", "run").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("run").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
-        blocked.groupBy("run", "_block")
+        placed.groupBy("run", "_part")
         .agg(F.min("value").alias("_min"))
-        .select("run", "_block", F.min("_min").over(before).alias("_earlier"))
+        .select("run", "_part", F.min("_min").over(before).alias("_earlier"))
     )
     return (
-        blocked.withColumn("_inside", F.min("value").over(inside))
-        .join(earlier, ["run", "_block"])
+        placed.withColumn("_inside", F.min("value").over(inside))
+        .join(earlier, ["run", "_part"])
         .withColumn("best", F.least("_inside", "_earlier"))
-        .drop("_block", "_inside", "_earlier")
+        .drop("_part", "_inside", "_earlier")
     )
 
 
@@ -115,6 +128,27 @@ def resolve_artifact(registry: DataFrame, reference: str) -> DataFrame:
     return named.where(F.col("version") == int(version.removeprefix("v")))
 
 
+def resolve_upload(uploads: DataFrame, reference: str) -> DataFrame:
+    """As ``resolve_artifact``, straight from the uploads: only those of the name are looked at.
+
+    The latest version is found by counting; only an explicit number needs ranks.
+    """
+    name, _, version = reference.rpartition(":")
+    if not name:
+        raise ValueError(f"expected name:version, got '{reference}'")
+    named = uploads.where(F.col("name") == name)
+    if version != "latest":
+        return resolve_artifact(artifact_versions(named), reference)
+    last = F.max_by(F.struct("path", "created_step"), F.col("created_step"))
+    found = named.groupBy("name").agg((F.count("*") - 1).alias("version"), last.alias("_v"))
+    return found.select("name", "version", "_v.*")
+
+
+def append_metrics(log: DataFrame, path: str) -> None:
+    """Append entries (run, step, metric, value, seq) to the log table at ``path``."""
+    log.select("run", "step", "metric", "value", "seq").write.mode("append").parquet(path)
+
+
 def run_elapsed(log: DataFrame, ts_col: str = "ts") -> DataFrame:
     """Microseconds between the first and the last entry of every run."""
     span = F.expr(f"timestampdiff(MICROSECOND, min({ts_col}), max({ts_col}))")

@@ -90,15 +90,21 @@ def any_file(spark: SparkSession, pattern: str) -> bool:
 
 
 def read_lines(spark: SparkSession, path: str) -> list[str]:
-    """Lines of one small text file, whatever its name; none if there is no such file."""
+    """Lines of one small text file, or of the files of a directory, whatever their names; none if there is neither."""
     fs, jvm_path = _hadoop_path(spark, path)
     if not fs.exists(jvm_path):
         return []
-    stream = fs.open(jvm_path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
-    finally:
-        stream.close()
+    lines: list[str] = []
+    for status in fs.listStatus(jvm_path):
+        name = status.getPath().getName()
+        if not status.isFile() or (name.endswith(".crc") or name == "_SUCCESS") and fs.getFileStatus(jvm_path).isDirectory():
+            continue
+        stream = fs.open(status.getPath())
+        try:
+            lines += spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+        finally:
+            stream.close()
+    return lines
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:

@@ -44,14 +44,14 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembled.select("batch_id", "n_rows", joined("doc_id").alias("doc_ids"))
 
 
-def _placed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with ids, not padded, at their place in an epoch over the whole table."""
-    placed = B.epoch_positions(documents(spark, sf_dir).select("doc_id"), ["doc_id"], EPOCH)
-    return encoded(spark, sf_dir).join(placed, "doc_id")
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of an epoch over the whole table."""
+    return B.epoch_positions(documents(spark, sf_dir).select("doc_id"), ["doc_id"], EPOCH)
 
 
 def pad_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = B.pad_to_longest(_placed_ids(spark, sf_dir), batch_size=BATCH)
+    ids = materialise(encoded(spark, sf_dir), "ids")
+    padded = B.pad_to_longest(ids, _positions(spark, sf_dir), ["doc_id"], batch_size=BATCH)
     return padded.select(
         "doc_id", "batch_id", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask")
     )
@@ -66,7 +66,9 @@ def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def padding_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wasted = B.padding_waste(_placed_ids(spark, sf_dir), MAX_LENGTH, batch_size=BATCH)
+    wasted = B.padding_waste(
+        encoded(spark, sf_dir), _positions(spark, sf_dir), ["doc_id"], MAX_LENGTH, batch_size=BATCH
+    )
     return wasted.select("batch_id", "n_rows", "n_real", rounded("waste_fixed"), rounded("waste_dynamic"))
 
 

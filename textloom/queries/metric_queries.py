@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from textloom.operators import metrics as M
 from textloom.plans.ordering import rank_within
-from textloom.plans.storage import materialise, scratch_path
+from textloom.plans.storage import scratch_path
 from textloom.queries.common import rounded, table
-from textloom.streaming.metric_stream import keep_latest_checkpoint, run_to_table, stream_metric_windows
+from textloom.streaming.metric_stream import keep_latest_checkpoint, latest_table, run_to_table, stream_metric_windows
 
 EVERY = 10
 EVENT_METRICS = ["click", "error", "purchase", "signup", "view"]
@@ -64,14 +64,15 @@ def validation_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capped_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 32 scored rows by id; the mean is over the first ten of them."""
-    losses = _positions(spark, sf_dir).withColumn("batch_id", F.floor(F.col("vec_id") / 32))
+    rows = table(spark, sf_dir, "embeddings").withColumn("batch_id", F.floor(F.col("vec_id") / 32))
+    first = rows.where(M.in_first_batches(rows, 10))
+    losses = M.position_losses(first, "embedding", "label")
     per_batch = losses.groupBy("batch_id").agg(F.avg("loss").alias("loss"))
     return M.capped_eval(per_batch, 10).select("n", rounded("loss"), rounded("perplexity"))
 
 
 def running_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # short blocks, so that a run of the test tables spans several
-    return M.running_best(_log(spark, sf_dir), block_steps=16).select("run", "step", rounded("value"), rounded("best"))
+    return M.running_best(_log(spark, sf_dir)).select("run", "step", rounded("value"), rounded("best"))
 
 
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,27 +102,24 @@ def latest_checkpoint_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.repartition(3).write.parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     query = keep_latest_checkpoint(stream, sink, scratch_path(spark, "stream"))
-    last = query.lastProgress["batchId"]
-    return spark.read.parquet(f"{sink}/batch={last}").select("run", "step", rounded("val_loss"), "payload_ref")
+    return latest_table(spark, sink, query.lastProgress["batchId"]).select("run", "step", rounded("val_loss"), "payload_ref")
 
 
-def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uploads = table(spark, sf_dir, "events").select(
+def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
         F.concat(F.lit("team/corpus/"), F.col("event_type")).alias("name"),
         F.col("event_id").alias("created_step"),
         F.col("props").alias("path"),
     )
-    return M.artifact_versions(uploads)
 
 
 def artifact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _registry(spark, sf_dir)
+    return M.artifact_versions(_uploads(spark, sf_dir))
 
 
 def artifact_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    registry = materialise(_registry(spark, sf_dir), "registry")
-    latest = M.resolve_artifact(registry, "team/corpus/click:latest")
-    named = M.resolve_artifact(registry, "team/corpus/error:v7")
+    latest = M.resolve_upload(_uploads(spark, sf_dir), "team/corpus/click:latest")
+    named = M.resolve_upload(_uploads(spark, sf_dir), "team/corpus/error:v7")
     return latest.unionByName(named)
 
 
