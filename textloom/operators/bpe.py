@@ -20,7 +20,7 @@ from textloom.functions.text import coerce_text, pretokens
 from textloom.operators.bpe_state import Merge, apply_merges, partial_pair_counts
 from textloom.operators.corpus_stats import MIN_FREQUENCY, alphabet, top_pairs, word_counts
 from textloom.operators.split import sample_prefix
-from textloom.plans.storage import materialise
+from textloom.plans.storage import discard, materialise
 
 # The special tokens, first in the vocabulary, in this order.
 SPECIAL_TOKENS = ["<unk>", "<pad>", "<bos>", "<eos>"]
@@ -153,7 +153,9 @@ def fit_words(
 
     while room():
         if len(pending) >= MERGES_PER_WRITE:
-            state, pending = materialise(apply_merges(state, pending), "bpe-state"), []
+            state, done = materialise(apply_merges(state, pending), "bpe-state"), state
+            discard(done)
+            pending = []
         pairs = partial_pair_counts(state, pending).groupBy("l", "r").agg(F.sum("n").alias("n"))
         rows = top_pairs(pairs.where(F.col("n") >= min_frequency), CANDIDATES).collect()
         candidates = [(r["n"], r["l"], r["r"]) for r in rows]
@@ -176,6 +178,7 @@ def fit_words(
             pending.append((left, right, ids[token]))
             if repeated:
                 break
+    discard(state)
     return model
 
 
@@ -191,7 +194,9 @@ def fit_bpe(
     """Fit on all usable texts, or on the first ``num_samples`` of them."""
     sample = sample_prefix(df, num_samples, order_key, text_col)
     counts = materialise(word_counts(sample, text_col), "word-counts")
-    return fit_words(counts, vocab_size, min_frequency, max_merges)
+    model = fit_words(counts, vocab_size, min_frequency, max_merges)
+    discard(counts)
+    return model
 
 
 def _char_encoder(chars: list[str]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:

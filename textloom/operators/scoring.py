@@ -11,7 +11,7 @@ from textloom.operators.bpe import PAD, UNK
 from textloom.operators.split import DEFAULT_SEED
 from textloom.plans.lookup import fits_broadcast, lookup_join
 from textloom.plans.ordering import unit_hash
-from textloom.plans.storage import materialise
+from textloom.plans.storage import discard, materialise
 
 # Steps of a generation between two writes of the prompt table.
 STEPS_PER_WRITE = 16
@@ -141,13 +141,17 @@ def generate(
     by the unknown id.
     """
     table = following.withColumnRenamed("input_id", "_last")
-    small = fits_broadcast(following, F.size("next_ids"))
+    small = fits_broadcast(following)
     state = prompts.withColumn("_context", F.col(ids_col)).withColumn(
         "new_ids", F.array().cast("array<int>")
     )
+    written = None
     for step in range(steps):
         if step and step % STEPS_PER_WRITE == 0:
-            state = materialise(state, "generation")
+            written, done = materialise(state, "generation"), written
+            state = written
+            if done is not None:
+                discard(done)
         state = state.withColumn("_context", crop_context(F.col("_context"), max_context))
         state = state.withColumn("_last", F.try_element_at("_context", F.lit(-1)))
         state = lookup_join(state, table, ["_last"], salt_by=keys, how="left", small=small)

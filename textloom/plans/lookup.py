@@ -4,21 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of narrow lookup data (a few numbers or a short string each) worth
-# broadcasting: some tens of megabytes.
-BROADCAST_ROWS = 1_000_000
+# Bytes of lookup data worth broadcasting.
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def fits_broadcast(lookup: DataFrame, entries: Column | None = None) -> bool:
-    """Whether ``lookup``, a written table, holds few enough rows to broadcast.
-
-    Where a row carries arrays, ``entries`` says how many values it stands for.
-    """
-    if entries is None:
-        return lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return (lookup.agg(F.sum(entries)).first()[0] or 0) <= BROADCAST_ROWS
+def _width(field: T.StructField) -> Column:
+    """Bytes that a value takes in memory, about."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType):
+        if isinstance(field.dataType.elementType, T.StringType):
+            return F.coalesce(F.octet_length(F.array_join(value, "")) + 8 * F.size(value), F.lit(8))
+        return F.coalesce(8 * F.size(value), F.lit(0)) + 8
+    return F.lit(8)
+
+
+def fits_broadcast(lookup: DataFrame) -> bool:
+    """Whether ``lookup``, a written table, takes few enough bytes to broadcast; strings and arrays count in full."""
+    row = F.lit(0)
+    for field in lookup.schema.fields:
+        row = row + _width(field)
+    return (lookup.agg(F.sum(row.cast("bigint"))).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def lookup_join(

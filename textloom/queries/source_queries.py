@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.plans.storage import scratch_path
-from textloom.queries.common import N_MERGES, documents, fit_sql, texts, tokenizer, with_sql
-from textloom.sources.artifacts import load_model, load_or_train, save_model
+from textloom.queries.common import MARKED_SQL, N_MERGES, documents, fit_sql, texts, tokenizer, with_sql
+from textloom.sources.artifacts import load_model, load_or_train, load_or_train_from_config, save_model
 from textloom.sources.datasets import dataset_from_config, select_config
 from textloom.sources.files import scan, sorted_files
 from textloom.sources.sinks import read_corpus, write_corpus
@@ -119,6 +119,20 @@ def tokenizer_artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/merges")
 
 
+def tokenizer_vocab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokenizer")
+    save_model(spark, tokenizer(spark, sf_dir), path)
+    return load_model(spark, path).vocab_table(spark)
+
+
+def load_or_train_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merges fitted on the train split of a snapshot configuration, read back from the saved model."""
+    path = scratch_path(spark, "tokenizer")
+    config = {"source": "modelscope", "dataset_id": "corpus", "data_dir": _snapshot(spark, sf_dir), "key": "doc_id"}
+    load_or_train_from_config(spark, path, config, max_merges=N_MERGES)
+    return load_or_train_from_config(spark, path).merges_table(spark)
+
+
 def load_or_train_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokenizer")
     load_or_train(spark, path, texts(spark, sf_dir), order_key="doc_id", max_merges=N_MERGES)
@@ -137,7 +151,9 @@ QUERIES = {
     "file_listing": file_listing,
     "corpus_sink_roundtrip": corpus_sink_roundtrip,
     "tokenizer_artifact_roundtrip": tokenizer_artifact_roundtrip,
+    "tokenizer_vocab_roundtrip": tokenizer_vocab_roundtrip,
     "load_or_train": load_or_train_twice,
+    "load_or_train_config": load_or_train_config,
 }
 
 MERGES_SQL = """SELECT (rank - 1)::INT AS rank, x.token AS l, y.token AS r, n AS freq
@@ -164,5 +180,10 @@ FROM (SELECT len(string_split(text, chr(10) || chr(10))) AS pieces,
              length(replace(text, chr(10) || chr(10), '')) AS n_chars
       FROM documents WHERE text <> '')""",
     "tokenizer_artifact_roundtrip": with_sql(fit_sql()) + MERGES_SQL,
+    "tokenizer_vocab_roundtrip": with_sql(fit_sql()) + "SELECT token, id::INT AS id, kind FROM vocab",
+    "load_or_train_config": with_sql(
+        MARKED_SQL, "train_docs AS (SELECT * FROM marked WHERE split = 'train')", fit_sql("train_docs")
+    )
+    + MERGES_SQL,
     "load_or_train": with_sql(fit_sql()) + "SELECT token, id::INT AS id, kind FROM vocab",
 }
