@@ -1,5 +1,6 @@
 """Tokenizer fit and encoding against a sequential re-count of the same rules."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import characters
 from textloom.operators import bpe as B
 from textloom.operators import corpus_stats as C
-from textloom.operators.bpe import BpeModel, encode, fit_words, merge_word, take_safe_batch, tokenize
+from textloom.operators.bpe import BpeModel, encode, fit_bpe, fit_words, merge_word, take_safe_batch, tokenize
 
 TINY = {"low": 5, "lower": 2, "newest": 6, "widest": 3}
 
@@ -112,6 +113,23 @@ def test_fit_equals_one_at_a_time(spark, counts):
     assert (model.tokens, model.merges) == one_at_a_time(counts, 30)
 
 
+def test_fit_across_rewrites_of_the_word_table(spark, monkeypatch):
+    monkeypatch.setattr(B, "MERGES_PER_WRITE", 4)
+    rng = random.Random(12)
+    counts = {"".join(rng.choice("abcdef") for _ in range(rng.randint(2, 12))): rng.randint(1, 9) for _ in range(120)}
+    model = fit_words(frame(spark, counts), max_merges=60)
+    assert len(model.merges) == 60 and (model.tokens, model.merges) == one_at_a_time(counts, 60)
+
+
+def test_all_texts_are_fitted_and_counted(spark):
+    """Beyond any prefix: a character that only late texts have is in the vocabulary."""
+    rows = spark.range(60_000).select("id", F.when(F.col("id") < 50_000, "ab ab").otherwise("ab zq").alias("text"))
+    model = fit_bpe(rows, order_key="id", max_merges=1)
+    assert "z" in model.tokens and model.merges[0][2] == 110_000
+    few = fit_bpe(rows, num_samples=50_000, order_key="id", max_merges=1)
+    assert "z" not in few.tokens
+
+
 def test_vocab_size_counts_everything(spark):
     counts = frame(spark, TINY)
     n_chars = len({c for w in TINY for c in w})

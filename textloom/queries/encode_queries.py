@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays
-from textloom.operators.bpe import PAD, encode, length_profile, tokenize
+from textloom.operators.bpe import PAD, SPECIAL_TOKENS, encode, fit_bpe, length_profile, tokenize
 from textloom.plans.layout import spread
 from textloom.queries.common import (
     MAX_LENGTH,
+    PRETOKENS,
     documents,
     encode_sql,
     encoded,
@@ -23,10 +24,28 @@ from textloom.queries.common import (
 )
 
 
+# More than the fit applies before it rewrites its word table.
+LONG_MERGES = 80
+
+
 def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, sf_dir).select("doc_id", joined("ids").alias("ids"))
 
 
+def long_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fit of LONG_MERGES merges, which rewrites its word table on the way.
+
+    SQL cannot unroll that many merges; it knows that decoding gives back a text
+    without white space, and that all ids are in the vocabulary.
+    """
+    data = texts(spark, sf_dir)
+    model = fit_bpe(data, order_key="doc_id", max_merges=LONG_MERGES)
+    ids = data.select("doc_id", encode(model, F.col("text")).alias("ids"))
+    known = F.forall("ids", lambda i: (i >= len(SPECIAL_TOKENS)) & (i < model.vocab_size))
+    merges = F.lit(len(model.merges))
+    return ids.select("doc_id", F.md5(model.decode(F.col("ids"))).alias("text_md5"), known.alias("known"), merges.alias("n_merges"))
+
+
 def encode_unk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded with a tokenizer that only saw the benchmark texts."""
     model = tokenizer(spark, sf_dir, "benchmark", "item_id")
@@ -87,6 +106,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "bpe_encode": bpe_encode,
+    "bpe_long_fit": long_fit,
     "encode_unk": encode_unk,
     "truncate": truncate,
     "pad_fixed": pad_fixed,
@@ -102,6 +122,8 @@ ENC = with_sql(fit_sql(), encode_sql("documents", "doc_id"))
 _PADDED = f"list_resize(ids[1:{MAX_LENGTH}], {MAX_LENGTH}, 1)"
 
 SQL = {
+    "bpe_long_fit": f"""SELECT doc_id, md5(array_to_string({PRETOKENS}, '')) AS text_md5, true AS known, {LONG_MERGES} AS n_merges
+FROM documents""",
     "bpe_encode": ENC + "SELECT doc_id, array_to_string(ids, ' ') AS ids FROM enc",
     "encode_unk": with_sql(fit_sql("benchmark", "item_id"), encode_sql("documents", "doc_id"))
     + """SELECT doc_id, array_to_string(ids, ' ') AS ids, len(list_filter(ids, lambda i: i = 0))::INT AS n_unknown
