@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import placed, rank_from, without
+from textloom.llm.common import bounded_batches, placed, rank_from, without
 from textloom.plans.storage import materialise
 
 CAPACITY = 2048
 SEPARATOR = 0
 # Words remembered by one task, and the longest kept.
-MEMORY = 700_000
+MEMORY = 350_000
 LONG_WORD = 48
 # Marks that part from the letters before them, and the first character beyond plain Latin letters.
 MARKS = ".,;:!?"
@@ -176,7 +176,7 @@ def _piece_rows(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]]
                     part = ids[at : at + capacity].tobytes()
                     held.append((row, piece, at, len(part) // 4, part))
                     size += len(part)
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield _batch(batch, held)
                     held, size = [], 0
             if held:
@@ -203,6 +203,7 @@ def pieces(docs: DataFrame, vocabulary: str, text_col: str = "text", capacity: i
     ``length`` and ``ids`` (unsigned 32-bit little-endian). Every document ends in
     the separator, so null and empty texts have one token.
     """
+    bounded_batches(docs.sparkSession)
     kept = [c for c in without(docs, MADE) if c != text_col]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
     fields = [f for f in rows.schema.fields if f.name != "_text"]

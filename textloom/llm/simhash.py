@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import bounded_batches
 from textloom.llm.components import components
 from textloom.plans.storage import materialise
 
@@ -167,6 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint zero and are linked like any other. Null ids take part in links;
     a component of null ids only has a null component. Repeated rows stay.
     """
+    bounded_batches(docs.sparkSession)
     made = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"))
     rows = materialise(made, "simhash")
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")

@@ -25,7 +25,7 @@ WINDOW = 20
 GRAM = 8
 SHARD_BYTES = 1 << 20
 # Words remembered by one task, and the longest kept.
-MEMORY = 1_000_000
+MEMORY = 400_000
 LONG_WORD = 64
 
 
@@ -149,7 +149,7 @@ def _kept(texts_and_spans: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             made.append((len(found), removed, kept.decode()))
             rows.append(row)
             size += len(kept)
-            if size > 16 << 20:
+            if size > 4 << 20:
                 yield _rows(batch, names, rows, made)
                 made, rows, size = [], [], 0
         if rows:

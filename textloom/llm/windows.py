@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import placed, rank_from
+from textloom.llm.common import bounded_batches, placed, rank_from
 from textloom.plans.storage import materialise
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 # Tokens hashed at once; more are cut with an overlap. Places inside fit 20 bits.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 PLACE = np.uint64((1 << 20) - 1)
 # Differing blocks of one gram that are compared by an index; more are cut into windows.
 COMPARED = 4096
@@ -313,14 +313,14 @@ def _block_rows(tokens: Tokens) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             at = 0
             while at < len(ids):
                 some, length, first = [], 0, at
-                while at < len(ids) and length < 4 << 20:  # a few megabytes of text at a time
+                while at < len(ids) and length < 2 << 20:  # a few megabytes of text at a time
                     some.append(raw(texts[at]))
                     length += len(some[-1])
                     at += 1
                 found = find_blocks(*read(some), tokens.window, tokens.gram, tokens.lift)
                 held.append([found.gram, found.content, ids[first + found.doc.astype(np.int64)], packed_span(found.start, found.windows)])
                 size += len(found.gram)
-            if size > 1 << 21:
+            if size > 1 << 19:
                 yield from _combined(held, tokens.first_stays)
                 held, size = [], 0
         if size:
@@ -362,7 +362,7 @@ def _open_blocks(tokens: Tokens) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                     for row in rows(doc, block, stretch):
                         made.append(row)
                         size += len(row[4])
-                    if size > 16 << 20:
+                    if size > 4 << 20:
                         yield batch_of(made)
                         made, size = [], 0
             if made:
@@ -397,6 +397,7 @@ def _compared(tokens: Tokens) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 def repeated_windows(rows: DataFrame, tokens: Tokens) -> DataFrame:
     """(doc, spans): the repeated windows of every document of ``rows`` (doc, text) that has some."""
+    bounded_batches(rows.sparkSession)
     blocks = rows.mapInArrow(_block_rows(tokens), MEET_SCHEMA)
     met = materialise(settle(blocks, tokens.first_stays), "windows-met")
     open_blocks = met.where(F.col("kind") != SETTLED)
