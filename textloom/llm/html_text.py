@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import without
+from textloom.llm.common import bounded_batches, without
 
 # Element names of HTML by the part they play here.
 SKIPPED = {"script", "style", "template", "textarea", "title", "svg", "iframe", "noscript", "object", "select", "button", "math", "canvas", "audio", "video"}
+UNSHOWN = {"script", "style", "template", "noscript"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label", "input"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -126,7 +127,8 @@ def blocks(html: str) -> list[Block]:
             if name not in INLINE:
                 stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at)
                 at = stop.end() if stop else end
-            held.append(" ")
+            if name not in UNSHOWN:
+                held.append(" ")
             continue
         if name in INLINE:
             if closing or not rest.strip():
@@ -278,6 +280,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     Null and empty pages have the empty text. Pages are independent: no shuffle,
     and a page is the most a task holds besides its batch.
     """
+    bounded_batches(pages.sparkSession)
     tree = grow(*labelled_table())
     kept = [c for c in without(pages, ["text", "n_chars"]) if c != html_col]
     made = pages.select(*[F.col(f"`{c}`") for c in kept], F.arrow_udf(_extractor(tree), "string")(html_col).alias("text"))

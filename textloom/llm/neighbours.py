@@ -248,7 +248,8 @@ def nearest(
     right = asked.mapInArrow(_query_meetings(forest, weights, blocks, enough), MEET)
     place = ["tree", "leaf", "block"]
     found = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(_answers(k), "query_id long, vec_id long, score double")
-    # the same row comes from several trees with the same score
+    # the same row comes from several trees
+    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
