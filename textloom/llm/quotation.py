@@ -129,30 +129,41 @@ def _branches(edges: DataFrame) -> DataFrame:
 
     A message points to its parent if it is the first to answer it. Each round
     doubles what a pointer spans, so the rounds grow with the logarithm of the
-    longest branch. Keys are single messages: nothing is hot.
+    longest branch, and only messages that have not reached their head take part
+    in the next one. Keys are single messages: nothing is hot.
     """
     firsts = edges.where("parent IS NOT NULL").groupBy("conv_id", "parent").agg(F.min("seq").alias("first"))
     renamed = firsts.select(F.col("conv_id").alias("c"), F.col("first").alias("s"), F.lit(True).alias("goes_on"))
     on = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("seq") == F.col("s"))
-    state = edges.join(renamed, on, "left").select(
-        "conv_id",
-        "seq",
-        F.when(F.col("goes_on"), F.col("parent")).otherwise(F.col("seq")).alias("head"),
-        F.when(F.col("goes_on"), 1).otherwise(0).cast("long").alias("place"),
+    state = materialise(
+        edges.join(renamed, on, "left").select(
+            "conv_id",
+            "seq",
+            F.when(F.col("goes_on"), F.col("parent")).otherwise(F.col("seq")).alias("head"),
+            F.when(F.col("goes_on"), 1).otherwise(0).cast("long").alias("place"),
+        ),
+        "quote-branches",
     )
-    while True:
-        state = materialise(state, "quote-branches")
-        ahead = state.where("place > 0").select(
-            F.col("conv_id").alias("c"), F.col("seq").alias("s"), F.col("head").alias("next"), F.col("place").alias("more")
+    closed, still_open = state.where("place = 0"), state.where("place > 0")
+    while still_open.limit(1).count():
+        # where a pointer's target points to, and whether that is the head for good
+        targets = closed.where("place > 0").withColumn("final", F.lit(True)).unionByName(
+            still_open.withColumn("final", F.lit(False))
+        )
+        ahead = targets.select(
+            F.col("conv_id").alias("c"), F.col("seq").alias("s"), F.col("head").alias("next"), F.col("place").alias("more"), "final"
         )
-        # pointers whose target still points on
-        open_ones = state.alias("x").where("place > 0").join(ahead, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("head") == F.col("s")))
-        if not open_ones.limit(1).count():
-            return state
         on = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("head") == F.col("s"))
-        state = state.join(ahead, on, "left").select(
-            "conv_id",
-            "seq",
-            F.coalesce("next", "head").alias("head"),
-            (F.col("place") + F.coalesce("more", F.lit(0))).alias("place"),
+        moved = materialise(
+            still_open.join(ahead, on, "left").select(
+                "conv_id",
+                "seq",
+                F.coalesce("next", "head").alias("head"),
+                (F.col("place") + F.coalesce("more", F.lit(0))).alias("place"),
+                F.coalesce("final", F.lit(True)).alias("final"),
+            ),
+            "quote-branches",
         )
+        closed = closed.unionByName(moved.where("final").drop("final"))
+        still_open = moved.where("NOT final").drop("final")
+    return closed
