@@ -9,7 +9,7 @@ verified there, and leave as one edge per fingerprint, never as pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,21 +30,24 @@ BLOCKS = 6
 COMPARE_AT_ONCE = 1024
 
 
-def fingerprint_of(text: bytes, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one UTF-8 text, unsigned."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> list[int]:
+    """Hashes of all word shingles of one UTF-8 text, in order; fewer words are one shingle."""
     found = text.lower().split()  # of bytes: A-Z only, ASCII white space only
-    if not found:
-        return 0
     joined = b" ".join(found)
+    digest = xxhash.xxh64_intdigest
+    if len(found) <= shingle:
+        return [digest(joined, SEED)]
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
-    if len(found) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        starts = (ends - lengths)[: 1 - shingle].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
-    rows = np.array(hashes, dtype="<u8")
+    starts = (ends - lengths)[: len(found) - shingle + 1].tolist()
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
+
+
+def fingerprint_of(text: bytes, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one UTF-8 text, unsigned."""
+    if not text.strip():
+        return 0
+    rows = np.array(shingle_hashes(text, shingle), dtype="<u8")
     ones = np.zeros(64, np.int64)
     for at in range(0, len(rows), 65_536):  # bounded memory for very long texts
         bits = np.unpackbits(rows[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -182,13 +185,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each near-duplicate component: the one with the smallest id.
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    find: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
+    """One row of each component that ``find`` gives: the one with the smallest id.
 
     Rows that share an id are one document: it stays if any of them is the first
     of its component, as one row. Rows with a null id have no order and all stay.
     """
-    found = near_duplicates(docs, id_col, text_col).where(F.col(id_col).isNotNull())
+    found = find(docs, id_col, text_col).where(F.col(id_col).isNotNull())
     by_id = found.groupBy(F.col(id_col).alias("_id")).agg(
         F.min(F.col(id_col) - F.col("component_id")).alias("_after"), F.count("*").alias("_rows")
     )
