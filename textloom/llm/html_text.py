@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from textloom.llm.common import bounded_batches, without
 
 # Element names of HTML by the part they play here.
-SKIPPED = {"script", "style", "template", "textarea", "title", "svg", "iframe", "noscript", "object", "select", "button", "math", "canvas", "audio", "video"}
+SKIPPED = {"script", "style", "template", "textarea", "title", "svg", "iframe", "noscript", "object", "select", "button", "canvas", "audio", "video"}
 UNSHOWN = {"script", "style", "template", "noscript"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label", "input"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -38,6 +38,12 @@ HINTS = {
     "pagination", "pager", "copyright", "legal", "contentinfo", "complementary", "search", "form", "hidden", "warning", "disclaimer",
 }
 
+# A class or id with such a word says how the page is laid out, or that something is missing, not what the element is.
+LAYOUT = {"has", "no", "not", "with", "without", "hide", "non"}
+# The header of one of these is the article's own.
+OWN = {"article", "entry", "post", "content", "story", "main", "page", "title"}
+HEAD = {"header", "masthead", "banner"}
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -45,7 +51,9 @@ _TOKEN = re.compile(
     re.S,
 )
 _MARK = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_NOTE = re.compile(r"<(annotation(?:-xml)?)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_TAG = re.compile(r"<[^>]*>?")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -57,19 +65,56 @@ class Block:
     beside: bool
     within: bool
     heading: bool
+    hinted: tuple[int, ...] = ()
+
+
+def _hinted(value: str, within: bool) -> bool:
+    """Whether a class, id or role says that its element lies beside the article."""
+    for name in value.split():
+        parts = [w.lower() for w in _NAME.findall(name)]
+        if LAYOUT.intersection(parts):
+            continue
+        found = HINTS.intersection(parts)
+        if found - HEAD or (found and not within and not OWN.intersection(parts)):
+            return True
+    return False
 
 
-def _role(name: str, rest: str) -> tuple[bool, bool]:
-    """(beside the article, never shown) as an element says of itself."""
-    beside, unseen = name in ASIDE, False
+def _role(name: str, rest: str, within: bool = False) -> tuple[bool, bool, bool]:
+    """(beside the article by its tag, by a hint, never shown) as an element says of itself."""
+    hinted, unseen = False, False
     for key, value in _MARK.findall(rest) if rest.strip() else ():
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _UNSEEN.search(value)):
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _UNSEEN.search(value)):
             unseen = True
         elif key in ("class", "id", "role") and name not in ("html", "body"):
             # camelCase and dashes part words
-            beside = beside or any(w in HINTS for w in _NAME.findall(value))
-    return beside, unseen
+            hinted = hinted or _hinted(value, within)
+    return name in ASIDE, hinted, unseen
+
+
+def _weighed(found: list[Block], holds: dict[int, bool]) -> list[Block]:
+    """Blocks whose hints hold; ``holds`` tells which hinted elements have an article inside.
+
+    A hint is only that: where all of the page's article or, without one, all of its
+    headings would go, it does not count for an element with the article inside or
+    with most of the words that are not linked.
+    """
+    main = any(b.within for b in found)
+    if any((b.within if main else b.heading) and not b.beside and not b.hinted for b in found):
+        cleared: set[int] = set()
+    else:
+        total, inside = 0, dict.fromkeys(holds, 0)
+        for b in found:
+            if not b.beside:
+                total += b.words - b.linked
+                for mark in b.hinted:
+                    inside[mark] += b.words - b.linked
+        heads = {m for b in found if b.heading and not b.beside for m in b.hinted}
+        cleared = {m for m, n in inside.items() if holds[m] or (2 * n > total and (main or m in heads))}
+    for b in found:
+        b.beside = b.beside or any(m not in cleared for m in b.hinted)
+    return found
 
 
 def blocks(html: str) -> list[Block]:
@@ -79,7 +124,8 @@ def blocks(html: str) -> list[Block]:
     linked = 0
     in_link = False
     heading = False
-    stack: list[tuple[str, bool, bool, bool]] = []  # open elements: name, beside, within, unseen
+    stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # open elements: name, beside, within, unseen, hinted
+    holds: dict[int, bool] = {}
     at, end = 0, len(html)
 
     def flush() -> None:
@@ -88,8 +134,8 @@ def blocks(html: str) -> list[Block]:
             parts = "".join(held).split()
             held.clear()
             if parts and not (stack and stack[-1][3]):
-                beside, within = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                found.append(Block(" ".join(parts), len(parts), linked, beside, within, heading))
+                beside, within, marks = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (False, False, ())
+                found.append(Block(" ".join(parts), len(parts), linked, beside, within, heading, marks))
         linked = 0
 
     def add(text: str) -> None:
@@ -121,6 +167,16 @@ def blocks(html: str) -> list[Block]:
         if name == "br":
             held.append(" ")
             continue
+        if name == "math":
+            if closing or rest.endswith("/"):
+                continue
+            stop = re.compile(r"</math\b[^>]*>?", re.I).search(html, at)
+            inside = html[at : stop.start() if stop else end]
+            at = stop.end() if stop else end
+            if not _role(name, rest)[2]:
+                # a formula is read as it is shown; its source in another notation is left out
+                add(_TAG.sub("", _NOTE.sub("", inside)))
+            continue
         if not closing and name in SKIPPED:
             if rest.endswith("/"):
                 continue
@@ -133,7 +189,7 @@ def blocks(html: str) -> list[Block]:
         if name in INLINE:
             if closing or not rest.strip():
                 continue
-            beside, unseen = _role(name, rest)
+            unseen = _role(name, rest)[2]
             if not (unseen and name not in VOID):
                 continue
             # an inline element that is never shown: leave it out up to its end
@@ -160,15 +216,21 @@ def blocks(html: str) -> list[Block]:
                     break
                 if stack[i][0] not in ("p", "li", "dt", "dd", "td", "th", "tr"):
                     break
-        beside, unseen = _role(name, rest)
-        above = stack[-1] if stack else ("", False, False, False)
+        above = stack[-1] if stack else ("", False, False, False, ())
+        beside, hinted, unseen = _role(name, rest, above[2])
         within = above[2] or name in MAIN
         # an article's own header holds its title; what else it sets aside is no part of it
         if name == "header" and above[2]:
             beside = False
-        stack.append((name, above[1] or beside, within, above[3] or unseen))
+        marks = above[4]
+        if name in MAIN and not hinted:
+            holds.update((m, True) for m in marks if not above[2])
+        if hinted:
+            marks = (*marks, len(holds))
+            holds[len(holds)] = name in MAIN
+        stack.append((name, above[1] or beside, within, above[3] or unseen, marks))
     flush()
-    return found
+    return _weighed(found, holds)
 
 
 FEATURES = [
@@ -216,6 +278,9 @@ LABELLED = [
     f"<div><a>Home</a></div><p>§{_LONG}<p>§{_SHORT}<p>§{_SHORT}<p>§{_LONG}<div><a>Up</a></div>",
     f"<div><a>Home</a></div><h1>§Named so</h1><p>§{_LONG}<p>§Two words.<p>§{_LONG}<p>§Word.<p>§{_LONG}<div><a>Up</a></div><div>Tel. 2</div>",
     f"<header><p>{_LONG}</header><h1>§Heading here</h1><p>§{_LONG}<p>§A few <a>linked</a> words here.<p>§{_LONG}",
+    f"<div class='content has-sidebar'><article><div class=article-header><h1>§Title</h1></div><p>§{_LONG}<p>§{_SHORT}</article><div class=sidebar>{_LONG}</div></div>",
+    f"<section class=discussion><article><h1>§Title</h1><p>§{_LONG}<div class=comments><p>{_SHORT}</div></article></section>",
+    f"<div class='main with-comments'><h1>§Title</h1><p>§{_LONG}<p>§{_LONG}</div><div id=comments><p>{_LONG}</div>",
 ]
 
 
