@@ -2,8 +2,8 @@
 
 Documents start dealt evenly over the shards. Every round, linked documents
 move towards the shard that holds most of their neighbours, as far as its quota
-allows; documents without links then fill what is left, so that row counts
-differ by one at most. Neighbours are never listed: documents of one group are
+allows or as many move back; documents without links then fill what is left, so
+that row counts differ by one at most. Neighbours are never listed: documents of one group are
 alike, so a group is a few (shard, count) cells and a round is a few joins of
 cells, however large the group.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import placed, rank_from
+from textloom.llm.common import placed, rank_from, running_sum
 from textloom.plans.storage import materialise
 
 SHARDS = 40
@@ -40,19 +40,20 @@ def _load(cells: DataFrame, quotas: DataFrame) -> DataFrame:
     return quotas.join(used, "shard", "left").select("shard", (F.col("quota") - F.coalesce("used", F.lit(0))).alias("room"))
 
 
-def _round(cells: DataFrame, quotas: DataFrame) -> DataFrame:
+def _round(cells: DataFrame, quotas: DataFrame, swap: bool) -> DataFrame:
     """One step of propagation: (grp, shard, to, n, moved).
 
     The target of a group is its fullest cell among shards with room, or an
-    already fuller full one, which asks for nothing. All wishes for a shard are
-    served in the same proportion if its room is short; rounding down never
-    breaks a quota.
+    already fuller full one, which asks for nothing. With ``swap`` it is its
+    fullest cell of all, and as much moves from one shard to another as moves
+    back, so that full shards can exchange. Wishes are granted in a hashed order,
+    each in full until what is granted for its two shards is used up.
     """
     room = _load(cells, quotas)
     marked = cells.join(F.broadcast(room), "shard")  # one row per shard
     # ties differ from group to group, so that targets spread over the shards
     order = F.struct(F.col("n"), F.xxhash64("grp", "shard"), F.col("shard"))
-    best = marked.where("room > 0").groupBy("grp").agg(F.max(order).alias("best"))
+    best = marked.where(F.lit(swap) | (F.col("room") > 0)).groupBy("grp").agg(F.max(order).alias("best"))
     wishes = marked.join(best, "grp", "left").withColumn(
         "to",
         F.when(
@@ -61,22 +62,36 @@ def _round(cells: DataFrame, quotas: DataFrame) -> DataFrame:
             & ((F.col("room") > 0) | (F.col("n") <= F.col("best.n"))),
             F.col("best.shard"),
         ),
-    )
-    asked = wishes.where("to IS NOT NULL").groupBy("to").agg(F.sum("n").alias("asked"))
-    granted = asked.join(room.select(F.col("shard").alias("to"), F.col("room").alias("free")), "to")
-    share = wishes.join(F.broadcast(granted), "to", "left")  # one row per shard
-    fits = F.when(F.col("asked") <= F.col("free"), F.col("n")).otherwise(
-        F.call_function("div", F.col("n") * F.col("free"), F.col("asked"))
-    )
-    return share.select("grp", "shard", "to", "n", F.coalesce(fits, F.lit(0)).alias("moved"))
+    ).select("grp", "shard", "to", "n", F.xxhash64("grp").alias("turn"))
+    ordered = placed(wishes, ["to", "shard", "turn", "grp"], "shard-wishes")
+    # a row per two shards
+    asked = {(r["shard"], r["to"]): r["asked"] for r in ordered.where("to IS NOT NULL").groupBy("shard", "to").agg(F.sum("n").alias("asked")).collect()}
+    free = {r["shard"]: max(0, r["room"]) for r in room.collect()}
+    granted = []
+    for (shard, to), n in sorted(asked.items()):
+        if swap:
+            fits = min(n, asked.get((to, shard), 0))
+        else:
+            fits = min(n, free[to])
+            free[to] -= fits
+        granted.append((shard, to, fits))
+    table = cells.sparkSession.createDataFrame(granted, "shard int, to int, granted long")
+    queued = running_sum(ordered, ["to", "shard"], "n", "before").join(F.broadcast(table), ["shard", "to"], "left")
+    fits = F.greatest(F.lit(0), F.least(F.col("n"), F.col("granted") - F.col("before")))
+    return queued.select("grp", "shard", "to", "n", F.when(F.col("granted").isNull(), 0).otherwise(fits).cast("long").alias("moved"))
 
 
 def propagate(cells: DataFrame, quotas: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Cells (grp, shard, n) after propagation; stops when nothing moves."""
-    for _ in range(rounds):
-        step = materialise(_round(cells, quotas), "shard-round")
+    """Cells (grp, shard, n) after propagation: rounds of moves and of exchanges until neither moves a row."""
+    still = 0
+    for k in range(2 * rounds):
+        step = materialise(_round(cells, quotas, swap=k % 2 == 1), "shard-round")
         if not step.agg(F.sum("moved")).first()[0]:
-            break
+            still += 1
+            if still == 2:
+                break
+            continue
+        still = 0
         flow = step.select("grp", F.inline(F.array(
             F.struct(F.col("shard"), (F.col("n") - F.col("moved")).alias("n")),
             F.struct(F.coalesce("to", "shard").alias("shard"), F.col("moved").alias("n")),
