@@ -84,12 +84,14 @@ def test_rank_within_a_hot_group(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [10, 2])
-def test_lookup_join_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr(L, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_lookup_join_both_ways(spark, monkeypatch, capsys, limit):
+    monkeypatch.setattr(L, "BROADCAST_BYTES", limit)
     facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "i int, k string")
     lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, v int")
     got = lookup_join(facts, lookup, ["k"], salt_by=["i"], how="left")
+    got.explain("extended")
+    assert ("_salt" in capsys.readouterr().out) == (limit == 0)
     want = {i: {"hot": 1, "k0": 2, "k3": 3}.get("hot" if i % 3 else f"k{i}") for i in range(60)}
     assert {r["i"]: r["v"] for r in got.collect()} == want
     assert sorted(got.columns) == ["i", "k", "v"]

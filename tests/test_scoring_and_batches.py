@@ -32,9 +32,9 @@ def test_pairs_include_padding(rows):
     assert {(r["input_id"], r["label"]): r["n"] for r in got} == want
 
 
-@pytest.mark.parametrize("limit", [250_000, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_heldout_losses(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
     counts = materialise(S.fit_counts(rows.where("k in (1, 4)"), max_length=LENGTH), "counts")
     fit = {(r["input_id"], r["label"]): r["n"] for r in counts.collect()}
     vocab = 9
@@ -67,9 +67,9 @@ def test_successors(counts):
     assert got[5] == pytest.approx([16 / 33, 16 / 33, 1 / 33])
 
 
-@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_greedy_generation(spark, counts, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
     prompts = spark.createDataFrame([(1, [9, 5]), (2, [6]), (3, []), (4, [99])], "k long, ids array<int>")
     following = materialise(S.successors(counts), "successors")
     made = {r["k"]: r["new_ids"] for r in S.generate(prompts, following, ["k"], 3, 2).collect()}
