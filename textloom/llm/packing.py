@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import bounded_batches, placed, rank_from, without
+from textloom.llm.common import bounded_batches, fresh, placed, rank_from, without
 from textloom.plans.storage import materialise
 
 CAPACITY = 2048
@@ -164,12 +164,12 @@ def text_encoder(path: str) -> Callable[[bytes], np.ndarray]:
     return lambda text: np.frombuffer(b"".join(map(ids.__getitem__, text.split())), "<u4")
 
 
-def _piece_rows(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _piece_rows(path: str, capacity: int, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_encoder(path)
         for batch in batches:
             held, size = [], 0
-            for row, text in enumerate(batch.column("_text")):
+            for row, text in enumerate(batch.column(text_col)):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 ids = np.append(encode(raw), np.uint32(SEPARATOR)).astype("<u4")
                 for piece, at in enumerate(range(0, len(ids), capacity)):
@@ -184,7 +184,7 @@ def _piece_rows(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]]
 
     def _batch(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
         rows, piece, start, length, ids = zip(*held)
-        kept = [n for n in batch.schema.names if n != "_text"]
+        kept = [n for n in batch.schema.names if n != text_col]
         arrays = [batch.column(n).take(pa.array(rows, pa.int32())) for n in kept]
         made = [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())]
         return pa.RecordBatch.from_arrays([*arrays, *made], [*kept, "piece", "start", "length", "ids"])
@@ -205,10 +205,11 @@ def pieces(docs: DataFrame, vocabulary: str, text_col: str = "text", capacity: i
     """
     bounded_batches(docs.sparkSession)
     kept = [c for c in without(docs, MADE) if c != text_col]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
-    fields = [f for f in rows.schema.fields if f.name != "_text"]
+    text = fresh(docs, "_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias(text))
+    fields = [f for f in rows.schema.fields if f.name != text]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["piece int", "start long", "length long", "ids binary"])
-    return rows.mapInArrow(_piece_rows(vocabulary, capacity), schema)
+    return rows.mapInArrow(_piece_rows(vocabulary, capacity, text), schema)
 
 
 def assign(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length_col: str = "length") -> DataFrame:
@@ -251,9 +252,13 @@ def pack(
     docs: DataFrame, vocabulary: str, order: list[str], text_col: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
     """Pieces of ``docs`` with ids and place: written once with their ids, placed without them."""
-    made = materialise(pieces(docs, vocabulary, text_col, capacity).withColumn("_row", F.monotonically_increasing_id()), "tokens")
-    spots = assign(made.select("_row", "length", *order, "piece"), [*order, "piece", "_row"], capacity)
-    return made.join(spots.select("_row", "sequence_id", "offset"), "_row").drop("_row")
+    cut = pieces(docs, vocabulary, text_col, capacity)
+    row = fresh(cut, "_row")
+    made = materialise(cut.withColumn(row, F.monotonically_increasing_id()), "tokens")
+    keys = [f"_key{i}" for i in range(len(order))]
+    narrow = made.select(F.col(row).alias("_row"), "length", *[F.col(c).alias(k) for c, k in zip(order, keys)], "piece")
+    spots = assign(narrow, [*keys, "piece", "_row"], capacity)
+    return made.join(spots.select(F.col("_row").alias(row), "sequence_id", "offset"), row).drop(row)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import bounded_batches
+from textloom.llm.common import bounded_batches, fresh
 from textloom.llm.components import components
 from textloom.plans.storage import materialise
 
@@ -197,11 +197,12 @@ def keep_first(
     of its component, as one row. Rows with a null id have no order and all stay.
     """
     found = find(docs, id_col, text_col).where(F.col(id_col).isNotNull())
-    by_id = found.groupBy(F.col(id_col).alias("_id")).agg(
+    key = fresh(docs, "_id")
+    by_id = found.groupBy(F.col(id_col).alias(key)).agg(
         F.min(F.col(id_col) - F.col("component_id")).alias("_after"), F.count("*").alias("_rows")
     )
     fate = materialise(by_id.where((F.col("_after") > 0) | (F.col("_rows") > 1)), "simhash-fate")
-    same = F.col(id_col) == F.col("_id")
-    plain = docs.join(fate.select("_id"), same, "left_anti")
-    repeated = docs.join(fate.where("_after = 0").select("_id"), same, "left_semi")
+    same = F.col(id_col) == F.col(key)
+    plain = docs.join(fate.select(key), same, "left_anti")
+    repeated = docs.join(fate.where("_after = 0").select(key), same, "left_semi")
     return plain.unionByName(repeated.dropDuplicates([id_col]))
