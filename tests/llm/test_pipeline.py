@@ -26,7 +26,7 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q[: q.index("_") + 1] for q in names if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[: q.index("_") + 1] for q in names if q.startswith("op")}
     assert "pipeline" in names and [s[0] for s in corpus_pipeline.STAGES][1] == "near duplicates"
 
 

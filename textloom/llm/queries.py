@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from textloom.llm import (
     html_text,
+    merkle,
     mixing,
     neighbours,
     packing,
     quality_rules,
     quotation,
+    sentence_pieces,
     sharding,
     simhash,
     substring_dedup,
     suffix_dedup,
+    vector_codes,
 )
 from textloom.llm.common import table
 
 # The place of the vocabulary files is a parameter of the operators; this is the one the queries use.
 VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -29,6 +33,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def piece_vocabulary_path() -> str:
+    return vocabulary_path(PIECE_VOCABULARY)
+
+
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -89,6 +97,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = piece_vocabulary_path()
+    made = sentence_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(sentence_pieces.decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return made.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours,
     op2_quality_rules,
@@ -100,6 +128,9 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash,
     op9_sharding,
     op10_substring_dedup,
+    op11_sentencepiece,
+    op12_merkle_manifest,
+    op13_vector_codes,
 )}
 
 SQL = {
