@@ -21,6 +21,7 @@ from textloom.llm import (
     vector_codes,
 )
 from textloom.llm.common import table
+from textloom.llm.digest_sql import codes_sql, merkle_sql
 
 # The place of the vocabulary files is a parameter of the operators; this is the one the queries use.
 VOCABULARY = "word_bpe_49k.json"
@@ -171,4 +172,6 @@ c AS (SELECT *, turn * total + coalesce(sum(tokens) OVER (PARTITION BY source, t
 SELECT doc_id, source, tokens, turn::BIGINT AS turn, start::BIGINT AS start,
        least(n_blocks - 1, start::HUGEINT * n_blocks // greatest(budget, 1))::BIGINT AS block
 FROM c, n WHERE turn = 0 OR start < budget""",
+    "op12_merkle_manifest": merkle_sql(),
+    "op13_vector_codes": codes_sql(),
 }
