@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,21 @@ def test_a_word_is_segmented_once_per_task_of_its_hash(spark):
     assert {tuple(r["ids"]) for r in made.collect()} == {tuple(library("same words here " * 50)[0])}
 
 
-def test_rows_in_another_order_are_noticed(spark):
-    with pytest.raises(Exception, match="not read twice alike"):
-        S._assembled([])(pa.table({"block": [1], "digest": ["x 1"], "payload": [b""]}), pa.table({"number": pa.array([-1, 0], pa.int32()), "ids": [b"y 1", b"1234"]}))
+def test_rows_in_another_order_are_noticed():
+    block = pa.table({"block": [1], "digest": [5], "n": [0], "numbers": [b""], "payload": [b""]})
+    table = pa.table({"block": [1], "bucket": [0], "n": [1], "digest": [6], "lengths": [b""], "ids": [b""]})
+    with pytest.raises(RuntimeError, match="not read twice alike"):
+        S._assembled([], 4)(block, table)
+
+
+def test_few_and_many_buckets_and_little_memory(spark, monkeypatch):
+    rows = [(i, t, "b", "x", i) for i, t in enumerate(texts())]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), SCHEMA)
+    for buckets in (1, 50):
+        got = S.encode(docs, PATH, block_bytes=2000, buckets=buckets).collect()
+        assert {r["number"]: r["ids"] for r in got} == {r[4]: library(r[1])[0] for r in rows}
+
+
+def test_numbers_survive_packing():
+    for values in ([], [0], [1, 2**32 - 1, 70_000]):
+        assert S._unpacked(S._packed(np.array(values, np.int64)), len(values)).tolist() == values

@@ -6,14 +6,15 @@ up to the next one. A text is cut there, and its ids are those of its marked
 words in a row.
 
 Documents are dealt to blocks of bounded size. A block sends each of its distinct
-words once, with its number in the block; equal words of all blocks meet, are
+words once, to the bucket of its hash; equal words of all blocks meet there, are
 segmented once, and their ids go back to the blocks, which put them at the
-words' places. A word's rows are bounded by the number of blocks, so the most
-frequent one is no hot key.
+words' places. A word comes once from a block, so the most frequent one is no hot
+key. Words and ids travel packed, one row per block and bucket.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,9 +30,9 @@ from textloom.llm.common import bounded_batches, fresh, without
 
 MARK = "▁"
 # Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
-# Rows of the word table segmented by one call.
-SEGMENT_ROWS = 1 << 14
+BLOCK_BYTES = 8 << 20
+# Words of a bucket remembered at a time; beyond, they are segmented again.
+REMEMBERED = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -70,21 +71,26 @@ def marked_words(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
 
 
 def segment(words: list[str], path: str) -> list[bytes]:
-    """Ids of marked words, four bytes each; the processor puts a marker of its own in front, so the first one is taken off.
-
-    What does not begin with a marker is no word and passes as it is.
-    """
+    """Ids of marked words, four bytes each; the processor puts a marker of its own in front, so the first one is taken off."""
     processor = _processor(path)
     alone = processor.piece_to_id(MARK)
-    found = processor.encode([w[1:] if w.startswith(" ") else "" for w in words], num_threads=1)
-    return [
-        (np.array(ids if len(w) > 1 else [alone], "<u4").tobytes() if w.startswith(" ") else w.encode())
-        for w, ids in zip(words, found)
-    ]
+    found = processor.encode([w[1:] for w in words], num_threads=1)
+    return [array("I", ids if len(w) > 1 else [alone]).tobytes() for w, ids in zip(words, found)]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Integers below 2 to the 32nd, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64) if n else np.zeros(0, np.int64)
 
 
 class _Block:
-    """Rows of one block: what is kept of them, and their words as numbers of a dictionary."""
+    """Rows of one block."""
 
     def __init__(self) -> None:
         self.batches: list[pa.RecordBatch] = []
@@ -94,12 +100,26 @@ class _Block:
         self.batches.append(batch)
         self.bytes += size
 
-    def coded(self, text_col: str) -> tuple[pa.Table, np.ndarray, np.ndarray, pa.Array]:
-        """(rows, first word of each text, number of every word, distinct words)."""
+    def coded(self, text_col: str, buckets: int) -> tuple[pa.Table, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """(rows, first word of each text, number of every word, distinct words by bucket).
+
+        A bucket has its words by falling frequency; word r of bucket b is number
+        r * buckets + b, so that frequent words have small numbers.
+        """
         rows = pa.Table.from_batches(self.batches).combine_chunks()
         words, starts = marked_words(rows.column(text_col).combine_chunks())
         coded = words.dictionary_encode()
-        return rows, starts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), coded.dictionary
+        indices = coded.indices.to_numpy(zero_copy_only=False)
+        spelled = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        frequent = np.argsort(-np.bincount(indices, minlength=len(spelled)), kind="stable")
+        numbers = np.zeros(len(spelled), np.int64)
+        table: list[list[bytes]] = [[] for _ in range(buckets)]
+        for i in frequent.tolist():
+            word = spelled[i]
+            bucket = xxhash.xxh32_intdigest(word) % buckets
+            numbers[i] = len(table[bucket]) * buckets + bucket
+            table[bucket].append(word)
+        return rows, starts, numbers[indices], table
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], text_col: str, block_bytes: int) -> Iterator[tuple[int, _Block]]:
@@ -121,123 +141,159 @@ def _blocks(batches: Iterator[pa.RecordBatch], text_col: str, block_bytes: int)
         yield number, block
 
 
-def _digest(words: pa.Array) -> str:
-    """A check that both readings of a block saw the same words."""
-    return xxhash.xxh3_64_hexdigest("".join(words.to_pylist()).encode()) + f" {len(words)}"
-
-
-def _distinct_words(text_col: str, block_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(word, block, number) of each distinct word of a block; number -1 has the block's check in the word's place."""
+def _distinct_words(text_col: str, block_bytes: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(bucket, block, n, lengths, words): the distinct words of a block, a row per bucket."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, text_col, block_bytes):
-            words = block.coded(text_col)[3].cast(pa.string())
+            table = block.coded(text_col, buckets)[3]
+            full = [b for b, words in enumerate(table) if words]
+            lengths = [_packed(np.fromiter(map(len, table[b]), np.int64, len(table[b]))) for b in full]
+            spelled = [pa.compress(b"".join(table[b]), codec="zstd", asbytes=True) for b in full]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(words)]), pa.array([number], pa.int64()), pa.array([-1], pa.int32())], ["word", "block", "number"]
+                [
+                    pa.array(full, pa.int32()),
+                    pa.array(np.full(len(full), number), pa.int64()),
+                    pa.array([len(table[b]) for b in full], pa.int32()),
+                    pa.array(lengths, pa.binary()),
+                    pa.array(spelled, pa.binary()),
+                ],
+                ["bucket", "block", "n", "lengths", "words"],
             )
-            for at in range(0, len(words), 1 << 16):
-                part = words.slice(at, 1 << 16)
-                columns = [part, pa.array(np.full(len(part), number)), pa.array(np.arange(at, at + len(part)), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "block", "number"])
 
     return made
 
 
 def _segmented(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(block, number, ids) from rows sorted by word: a word is segmented when it first comes."""
+    """(block, bucket, n, digest, lengths, ids) from rows sorted by bucket: a word is segmented when it first comes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_ids = None, b""
+        current, known = None, {}
         for batch in batches:
-            for at in range(0, batch.num_rows, SEGMENT_ROWS):
-                part = batch.slice(at, SEGMENT_ROWS)
-                coded = part.column("word").dictionary_encode()
-                words = coded.dictionary.to_pylist()
-                known = int(words[0] == last)
-                ids = [last_ids] * known + segment(words[known:], path)
-                spelled = pa.array(ids, pa.binary()).take(coded.indices)
-                last, last_ids = words[-1], ids[-1]
-                yield pa.RecordBatch.from_arrays([part.column("block"), part.column("number"), spelled], ["block", "number", "ids"])
+            out = []
+            for row in batch.to_pylist():
+                if row["bucket"] != current or len(known) > REMEMBERED:
+                    current, known = row["bucket"], {}
+                ends = np.cumsum(_unpacked(row["lengths"], row["n"]))
+                data = pa.decompress(row["words"], decompressed_size=int(ends[-1]), codec="zstd", asbytes=True)
+                cuts = [0, *ends.tolist()]
+                words = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+                new = [w for w in words if w not in known]
+                known.update(zip(new, segment([w.decode() for w in new], path)))
+                spelled = [known[w] for w in words]
+                lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+                ids = _packed(np.frombuffer(b"".join(spelled), "<u4"))
+                out.append((row["block"], row["bucket"], row["n"], xxhash.xxh3_64_intdigest(data) >> 1, _packed(lengths), ids))
+            if out:
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "n", "digest", "lengths", "ids"])
 
     return made
 
 
-def _payloads(text_col: str, kept: list[str], block_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(block, digest, payload): the kept columns and the word numbers of a block as one compressed stream."""
+def _payloads(
+    text_col: str, kept: list[str], block_bytes: int, buckets: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(block, digest, words, starts, numbers, payload): kept columns and word numbers of a block.
+
+    ``digest`` checks that both readings of a block saw the same words.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, text_col, block_bytes):
-            rows, starts, numbers, words = block.coded(text_col)
-            lists = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), pa.array(numbers))
-            held = pa.Table.from_arrays([*[rows.column(c) for c in kept], lists], [*kept, "ids"])
+            rows, starts, numbers, table = block.coded(text_col, buckets)
+            digest = sum(xxhash.xxh3_64_intdigest(b"".join(words)) >> 1 for words in table if words) & MASK
             sink = pa.BufferOutputStream()
+            held = rows.select(kept).append_column(_ROW, pa.array(np.diff(starts), pa.int32()))
             with pa.ipc.new_stream(sink, held.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_table(held, max_chunksize=1 << 16)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([_digest(words)]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                ["block", "digest", "payload"],
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([digest], pa.int64()),
+                    pa.array([len(numbers)], pa.int64()),
+                    pa.array([_packed(numbers)], pa.binary()),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                ],
+                ["block", "digest", "n", "numbers", "payload"],
             )
 
     return made
 
 
-def _assembled(kept: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _assembled(kept: list[str], buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Rows of one block with the ids of their words in place."""
 
     def made(block: pa.Table, table: pa.Table) -> pa.Table:
-        table = table.sort_by("number").combine_chunks()
-        numbers = table.column("number").to_numpy()
-        # the first row is the check
-        if block.num_rows != 1 or not (numbers == np.arange(-1, len(numbers) - 1)).all():
-            raise RuntimeError(NOT_ALIKE)
-        spelled = table.column("ids").chunk(0)
-        if spelled[0].as_py() != block.column("digest")[0].as_py().encode():
+        if block.num_rows != 1 or sum(table.column("digest").to_pylist()) & MASK != block.column("digest")[0].as_py():
             raise RuntimeError(NOT_ALIKE)
-        bytes_before = np.frombuffer(spelled.buffers()[1], np.int32)[spelled.offset :][1 : len(spelled) + 1].astype(np.int64)
-        first = int(bytes_before[0])
-        pool = np.frombuffer(spelled.buffers()[2], np.uint8)[first : bytes_before[-1]].view("<u4")
-        offsets = (bytes_before - first) // 4
-        lengths = np.diff(offsets)
+        # the words of all buckets in a row: where each bucket's begin, how many ids each word has, and the ids
+        begin, sizes, pools, at = np.zeros(buckets, np.int64), [], [], 0
+        for row in table.to_pylist():
+            begin[row["bucket"]] = at
+            sizes.append(_unpacked(row["lengths"], row["n"]))
+            pools.append(_unpacked(row["ids"], int(sizes[-1].sum())).astype(np.int32))
+            at += row["n"]
+        length = np.concatenate([*sizes, np.zeros(0, np.int64)])
+        pool = np.concatenate([*pools, np.zeros(0, np.int32)])
+        start = np.cumsum(length) - length
+        numbers = _unpacked(block.column("numbers")[0].as_py(), block.column("n")[0].as_py())
+        words = begin[numbers % buckets] + numbers // buckets
+        ends = np.cumsum(length[words])
+        total = int(ends[-1]) if len(ends) else 0
+        source = np.repeat(start[words] - (ends - length[words]), length[words])
+        source += np.arange(total)
         with pa.ipc.open_stream(block.column("payload")[0].as_buffer()) as reader:
             rows = reader.read_all().combine_chunks()
-        lists = rows.column("ids").chunk(0)
-        codes = lists.flatten().to_numpy()
-        sizes = lengths[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(offsets[:-1][codes] - (ends - sizes), sizes) + np.arange(total)
-        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
-        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pool[source].astype(np.int32)))
+        texts = np.cumsum(np.append(0, rows.column(_ROW).to_numpy()))
+        bounds = np.concatenate([[0], ends])[texts]
+        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pool[source]))
         return pa.Table.from_arrays([*[rows.column(c) for c in kept], ids], [*kept, "ids"])
 
     made.__annotations__ = {"block": pa.Table, "table": pa.Table, "return": pa.Table}
     return made
 
 
+MASK = (1 << 63) - 1
+_ROW = "ids"  # a kept column of this name is replaced by the result
 NOT_ALIKE = "a block was not read twice alike: give a table that reads in one order"
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    vocabulary: str,
+    text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    buckets: int | None = None,
+) -> DataFrame:
     """``docs`` without their text, with ``ids array<int>``: what the library's ``encode`` gives, no begin or end id.
 
     ``vocabulary`` is the path of a model file, the same on all machines, whose
     pieces do not cross whitespace markers, as is checked. ``docs`` is read
     twice and has to give its rows in one order, as a scan or a written
     table does; otherwise the job fails. Null and empty texts have no ids;
-    repeated rows stay; a column named ``ids`` is replaced.
+    repeated rows stay; a column named ``ids`` is replaced. Distinct words are
+    dealt to ``buckets`` (by default the session's shuffle partitions), which
+    should hold few enough of them for the memory of a task.
     """
     bounded_batches(docs.sparkSession)
     kept = [c for c in without(docs, ["ids"]) if c != text_col]
     others = docs.select(*[F.col(f"`{c}`") for c in kept])
     text = fresh(others, "text")
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias(text))
-    words = rows.mapInArrow(_distinct_words(text, block_bytes), "word string, block long, number int")
-    # equal words side by side in one task
-    met = words.repartition("word").sortWithinPartitions("word")
-    table = met.mapInArrow(_segmented(vocabulary), "block long, number int, ids binary")
-    blocks = rows.mapInArrow(_payloads(text, kept, block_bytes), "block long, digest string, payload binary")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    words = rows.mapInArrow(
+        _distinct_words(text, block_bytes, buckets), "bucket int, block long, n int, lengths binary, words binary"
+    )
+    # a bucket's rows side by side in one task
+    met = words.repartition("bucket").sortWithinPartitions("bucket")
+    table = met.mapInArrow(_segmented(vocabulary), "block long, bucket int, n int, digest long, lengths binary, ids binary")
+    blocks = rows.mapInArrow(
+        _payloads(text, kept, block_bytes, buckets), "block long, digest long, n long, numbers binary, payload binary"
+    )
     schema = others.withColumn("ids", F.lit(None).cast("array<int>")).schema
-    return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_assembled(kept), schema)
+    return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_assembled(kept, buckets), schema)
 
 
 def decode(ids: Column, vocabulary: str) -> Column:
