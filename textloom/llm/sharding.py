@@ -1,11 +1,15 @@
 """Sharding by balanced label propagation over links between equal texts.
 
 Documents start dealt evenly over the shards. Every round, linked documents
-move towards the shard that holds most of their neighbours, as far as its quota
-allows or as many move back; documents without links then fill what is left, so
-that row counts differ by one at most. Neighbours are never listed: documents of one group are
-alike, so a group is a few (shard, count) cells and a round is a few joins of
-cells, however large the group.
+move towards the shard that holds most of their neighbours, as far as quotas allow
+or as many move back around a circle of shards; documents without links then
+fill what is left, so that row counts differ by one at most. Neighbours are never
+listed: documents of one group are alike, so a group is one row of at most
+a cell (shard, count) per shard, however large it is. A round reads these rows
+once to collect wishes, joins them with what was granted, and writes them again.
+
+Every move makes the larger of two cells of a group larger, so the number of
+uncut links grows with every round and propagation ends by itself.
 """
 
 from __future__ import annotations
@@ -13,17 +17,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import placed, rank_from, running_sum
-from textloom.plans.storage import materialise
+from textloom.llm.common import placed, rank_from
+from textloom.plans.lookup import lookup_join
+from textloom.plans.storage import discard, materialise
 
 SHARDS = 40
-ROUNDS = 40
 OVERHEAD = 16
+# Wishes that are read and granted one by one; of more, only those at the edge of what is granted.
+EXACT = 50_000
+# Ranges of the hashed turn by which larger numbers of wishes are counted, level by level.
+FANOUT = 64
+TURN_BITS = 30
+# Orders of equally full cells that are tried before propagation ends.
+TIES = 4
+# Groups per task of a round.
+TASK_GROUPS = 50_000
+
+Flows = dict[tuple[int, int], int]  # (from shard, to shard) -> rows
 
 
-def _quota(total: Column, shards: int) -> Column:
+def quota(shard: int, total: int, shards: int) -> int:
     """Rows of ``shard``: equal, the first shards one more."""
-    return F.call_function("div", total, F.lit(shards)) + (F.col("shard") < total % shards).cast("long")
+    return total // shards + (shard < total % shards)
 
 
 def _start(rows: DataFrame, shards: int) -> DataFrame:
@@ -34,77 +49,218 @@ def _start(rows: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def _load(cells: DataFrame, quotas: DataFrame) -> DataFrame:
-    """(shard, room): what the quota leaves for linked documents; one row per shard."""
-    used = cells.groupBy("shard").agg(F.sum("n").alias("used"))
-    return quotas.join(used, "shard", "left").select("shard", (F.col("quota") - F.coalesce("used", F.lit(0))).alias("room"))
+def _wishes(groups: DataFrame, room: list[int], only_free: bool, salt: int) -> DataFrame:
+    """``groups`` (grp, cells) with ``to`` and ``turn``: where a group gathers, and its hashed place in the queue.
+
+    The target is the fullest cell, with ``only_free`` the fullest among shards
+    with room. Ties differ from group to group, so that targets spread, and with ``salt``.
+    """
+    rooms = F.array(*[F.lit(r).cast("long") for r in room])
+    cells = F.filter("cells", lambda c: F.get(rooms, c["shard"]) > 0) if only_free else F.col("cells")
+    ranked = F.transform(
+        cells, lambda c: F.struct(c["n"].alias("n"), F.xxhash64(F.col("grp"), c["shard"], F.lit(salt)).alias("tie"), c["shard"].alias("shard"))
+    )
+    turn = F.shiftrightunsigned(F.xxhash64("grp", F.lit(1)), 64 - TURN_BITS)
+    return groups.withColumn("best", F.array_max(ranked)).select(
+        "grp", "cells", F.col("best.shard").alias("to"), F.col("best.n").alias("most"), turn.alias("turn")
+    )
+
+
+def _asks(cell: Column) -> Column:
+    """Whether a cell of a group asks to move: it is not the target and not larger than it."""
+    return (cell["shard"] != F.col("to")) & (cell["n"] <= F.col("most"))
 
 
-def _round(cells: DataFrame, quotas: DataFrame, swap: bool) -> DataFrame:
-    """One step of propagation: (grp, shard, to, n, moved).
+def flows(asked: Flows, room: list[int]) -> Flows:
+    """How much of every wish can be granted so that no shard exceeds its room.
 
-    The target of a group is its fullest cell among shards with room, or an
-    already fuller full one, which asks for nothing. With ``swap`` it is its
-    fullest cell of all, and as much moves from one shard to another as moves
-    back, so that full shards can exchange. Wishes are granted in a hashed order,
-    each in full until what is granted for its two shards is used up.
+    Circles first, in which every shard gives what it takes; the rest goes to
+    shards with room, beginning with those that have nothing more to give.
     """
-    room = _load(cells, quotas)
-    marked = cells.join(F.broadcast(room), "shard")  # one row per shard
-    # ties differ from group to group, so that targets spread over the shards
-    order = F.struct(F.col("n"), F.xxhash64("grp", "shard"), F.col("shard"))
-    best = marked.where(F.lit(swap) | (F.col("room") > 0)).groupBy("grp").agg(F.max(order).alias("best"))
-    wishes = marked.join(best, "grp", "left").withColumn(
-        "to",
-        F.when(
-            (F.col("shard") != F.col("best.shard"))
-            # cells of a full shard stay once they are the larger ones
-            & ((F.col("room") > 0) | (F.col("n") <= F.col("best.n"))),
-            F.col("best.shard"),
-        ),
-    ).select("grp", "shard", "to", "n", F.xxhash64("grp").alias("turn"))
-    ordered = placed(wishes, ["to", "shard", "turn", "grp"], "shard-wishes")
-    # a row per two shards
-    asked = {(r["shard"], r["to"]): r["asked"] for r in ordered.where("to IS NOT NULL").groupBy("shard", "to").agg(F.sum("n").alias("asked")).collect()}
-    free = {r["shard"]: max(0, r["room"]) for r in room.collect()}
-    granted = []
-    for (shard, to), n in sorted(asked.items()):
-        if swap:
-            fits = min(n, asked.get((to, shard), 0))
-        else:
-            fits = min(n, free[to])
-            free[to] -= fits
-        granted.append((shard, to, fits))
-    table = cells.sparkSession.createDataFrame(granted, "shard int, to int, granted long")
-    queued = running_sum(ordered, ["to", "shard"], "n", "before").join(F.broadcast(table), ["shard", "to"], "left")
-    fits = F.greatest(F.lit(0), F.least(F.col("n"), F.col("granted") - F.col("before")))
-    return queued.select("grp", "shard", "to", "n", F.when(F.col("granted").isNull(), 0).otherwise(fits).cast("long").alias("moved"))
-
-
-def propagate(cells: DataFrame, quotas: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Cells (grp, shard, n) after propagation: rounds of moves and of exchanges until neither moves a row."""
-    still = 0
-    for k in range(2 * rounds):
-        step = materialise(_round(cells, quotas, swap=k % 2 == 1), "shard-round")
-        if not step.agg(F.sum("moved")).first()[0]:
-            still += 1
-            if still == 2:
+    left = {k: n for k, n in sorted(asked.items()) if n > 0}
+    granted: Flows = {}
+
+    def grant(pair: tuple[int, int], n: int) -> None:
+        granted[pair] = granted.get(pair, 0) + n
+        left[pair] -= n
+        if not left[pair]:
+            del left[pair]
+
+    def circle() -> list[int] | None:
+        done: set[int] = set()
+        for root in sorted({s for s, _ in left}):
+            path, on = [root], {root}
+            branches = [iter(sorted(t for s, t in left if s == root))]
+            while branches:
+                step = next(branches[-1], None)
+                if step is None:
+                    done.add(path[-1])
+                    on.discard(path.pop())
+                    branches.pop()
+                elif step in on:
+                    return path[path.index(step) :]
+                elif step not in done:
+                    path.append(step)
+                    on.add(step)
+                    branches.append(iter(sorted(t for s, t in left if s == step)))
+        return None
+
+    for s, t in sorted(left):
+        if s < t and (s, t) in left and (t, s) in left:
+            n = min(left[s, t], left[t, s])
+            grant((s, t), n)
+            grant((t, s), n)
+    while found := circle():
+        pairs = list(zip(found, found[1:] + found[:1]))
+        n = min(left[p] for p in pairs)
+        for p in pairs:
+            grant(p, n)
+    free = list(room)
+    waiting = {s for pair in left for s in pair}
+    while waiting:
+        # without circles there is always a shard whose own wishes have all been looked at
+        last = min(t for t in waiting if not any(s == t and u in waiting for s, u in left))
+        waiting.discard(last)
+        for s, t in sorted(p for p in left if p[1] == last):
+            n = min(left[s, t], max(0, free[t]))
+            if n:
+                free[t] -= n
+                free[s] += n
+                grant((s, t), n)
+    return granted
+
+
+def _grant(wishes: DataFrame, room: list[int]) -> tuple[Flows, Flows, list[tuple[bytes, int, int]]]:
+    """(flows, bounds, grants): turns below the bound of a pair are granted, and what ``grants`` names (grp, shard, n).
+
+    All wishes of a pair are granted in the order of their turns, the last one
+    in part.
+    """
+    rows = wishes.select("grp", "turn", "to", F.explode(F.filter("cells", _asks)).alias("c")).select(
+        "grp", "turn", "to", F.col("c.shard").alias("shard"), F.col("c.n").alias("n")
+    )
+    near = rows.limit(EXACT + 1).collect()
+    bounds: Flows = {}
+    if len(near) <= EXACT:
+        asked: Flows = {}
+        for r in near:
+            asked[r["shard"], r["to"]] = asked.get((r["shard"], r["to"]), 0) + r["n"]
+        found = flows(asked, room)
+        left = dict(found)
+    else:
+        # a row per two shards and range of turns
+        span, edge = 1 << TURN_BITS, {}
+        asked = {(r["shard"], r["to"]): r["n"] for r in rows.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
+        found = flows(asked, room)
+        left = {p: n for p, n in found.items() if n < asked[p]}
+        bounds = {p: span for p, n in found.items() if n == asked[p]}
+        edge = {p: 0 for p in left}
+        at_edge = rows
+        while edge and span > 1:
+            low = F.create_map(*[F.lit(x) for s, t in edge for x in (s * len(room) + t, edge[s, t])])
+            begins = F.try_element_at(low, F.col("shard") * len(room) + F.col("to"))
+            at_edge = rows.where((F.col("turn") >= begins) & (F.col("turn") < begins + span))
+            if span < 1 << TURN_BITS and len(near := at_edge.limit(EXACT + 1).collect()) <= EXACT:
                 break
+            span //= FANOUT
+            place = F.call_function("div", F.col("turn") - begins, F.lit(span))
+            counts: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for r in at_edge.groupBy("shard", "to", place.alias("place")).agg(F.sum("n").alias("n")).collect():
+                counts.setdefault((r["shard"], r["to"]), []).append((r["place"], r["n"]))
+            for pair, parts in counts.items():
+                for slot, n in sorted(parts):
+                    if n > left[pair]:
+                        edge[pair] += slot * span
+                        break
+                    left[pair] -= n
+        else:
+            near = at_edge.collect() if edge else []  # groups of one turn: their hashes agree in TURN_BITS bits
+        bounds |= edge
+    grants = []
+    for r in sorted(near, key=lambda r: (r["turn"], r["grp"])):
+        n = min(r["n"], left.get((r["shard"], r["to"]), 0))
+        if n:
+            left[r["shard"], r["to"]] -= n
+            grants.append((bytes(r["grp"]), r["shard"], n))
+    return found, bounds, grants
+
+
+def _moved(wishes: DataFrame, bounds: Flows, grants: list[tuple[bytes, int, int]], shards: int) -> DataFrame:
+    """(grp, cells) after the granted moves."""
+    spark = wishes.sparkSession
+    table = spark.createDataFrame(grants, "g binary, shard int, n long").groupBy("g").agg(
+        F.collect_list(F.struct("shard", "n")).alias("given")
+    )
+    joined = wishes.join(F.broadcast(table), F.col("grp") == F.col("g"), "left")  # at most EXACT rows
+    pairs = [x for (s, t), bound in bounds.items() for x in (F.lit(s * shards + t), F.lit(bound))]
+    bound = F.create_map(*pairs) if pairs else F.lit(None).cast("map<int,int>")
+
+    def leaves(cell: Column) -> Column:
+        by_name = F.aggregate(
+            F.filter("given", lambda x: x["shard"] == cell["shard"]), F.lit(0).cast("long"), lambda a, x: a + x["n"]
+        )
+        by_turn = F.when(F.col("turn") < F.try_element_at(bound, cell["shard"] * shards + F.col("to")), cell["n"])
+        return F.when(_asks(cell), F.coalesce(by_turn, by_name, F.lit(0))).otherwise(0)
+
+    with_moves = joined.withColumn(
+        "parts", F.transform("cells", lambda c: F.struct(c["shard"].alias("shard"), c["n"].alias("n"), leaves(c).alias("gone")))
+    )
+    total = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["gone"])
+    arrived = with_moves.withColumn("arrived", total)
+    moved = F.transform(
+        "parts",
+        lambda p: F.struct(
+            p["shard"].alias("shard"),
+            (p["n"] - p["gone"] + F.when(p["shard"] == F.col("to"), F.col("arrived")).otherwise(0)).alias("n"),
+        ),
+    )
+    return arrived.select("grp", F.filter(moved, lambda c: c["n"] > 0).alias("cells"))
+
+
+def propagate(groups: DataFrame, quotas: list[int]) -> DataFrame:
+    """Groups (grp, cells) after propagation, until no wish can be granted whichever way ties go (TIES ways are tried).
+
+    ``groups`` is a written table with a row per group, its cells an array of
+    (shard, n) with each shard at most once.
+    """
+    loads = groups.select(F.explode("cells").alias("c")).groupBy("c.shard").agg(F.sum("c.n").alias("n")).collect()
+    used = {r["shard"]: r["n"] for r in loads}  # one row per shard
+    room = [q - used.get(s, 0) for s, q in enumerate(quotas)]
+    tasks = max(1, -(-groups.count() // TASK_GROUPS))
+    salt = idle = 0
+    # targets among all shards, then among those with room, then with ties the other way
+    while idle < 2 * TIES:
+        wishes = _wishes(groups.coalesce(tasks), room, idle % 2 == 1, salt + idle // 2)
+        found, bounds, grants = _grant(wishes, room)
+        if not sum(found.values()):
+            idle += 1
             continue
-        still = 0
-        flow = step.select("grp", F.inline(F.array(
-            F.struct(F.col("shard"), (F.col("n") - F.col("moved")).alias("n")),
-            F.struct(F.coalesce("to", "shard").alias("shard"), F.col("moved").alias("n")),
-        )))
-        cells = materialise(flow.where("n > 0").groupBy("grp", "shard").agg(F.sum("n").alias("n")), "shard-cells")
-    return cells
+        groups, done = materialise(_moved(wishes, bounds, grants, len(quotas)), "shard-groups"), groups
+        discard(done)
+        for (s, t), n in found.items():
+            room[s] += n
+            room[t] -= n
+        salt, idle = salt + idle // 2, 0
+    return groups
 
 
-def cut_links(cells: DataFrame) -> DataFrame:
+def cut_links(groups: DataFrame) -> DataFrame:
     """(links, cut): pairs of equal texts, and those that lie in two shards."""
-    groups = cells.groupBy("grp").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("inside"))
-    pairs = F.col("n") * (F.col("n") - 1) / 2
-    return groups.agg(F.sum(pairs).alias("links"), F.sum(pairs - F.col("inside")).alias("cut"))
+
+    def pairs(n: Column) -> Column:
+        return n * (n - 1) / 2
+
+    total = F.aggregate("cells", F.lit(0).cast("long"), lambda a, c: a + c["n"])
+    inside = F.aggregate("cells", F.lit(0.0), lambda a, c: a + pairs(c["n"]))
+    sums = groups.select(pairs(total).alias("links"), inside.alias("inside"))
+    return sums.agg(F.sum("links").alias("links"), F.sum(F.col("links") - F.col("inside")).alias("cut"))
+
+
+def linked_groups(start: DataFrame) -> DataFrame:
+    """(grp, cells) of the groups of more than one row."""
+    counted = start.groupBy("grp", "shard").agg(F.count("*").alias("n"))
+    cells = F.array_sort(F.collect_list(F.struct("shard", "n")))  # a cell per shard
+    return counted.groupBy("grp").agg(cells.alias("cells"), F.sum("n").alias("_n")).where("_n > 1").drop("_n")
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
@@ -122,29 +278,20 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         F.unhex(F.md5(whole)).alias("grp"),
     )
     start = _start(materialise(rows, "shard-rows"), shards)
-    counted = materialise(start.groupBy("grp", "shard").agg(F.count("*").alias("n")), "shard-cells")
-    linked = materialise(counted.groupBy("grp").agg(F.sum("n").alias("_n")).where("_n > 1").select("grp"), "shard-groups")
-    cells = counted.join(linked, "grp", "left_semi")
-    total = F.lit(start.count())
-    numbers = docs.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    quotas = materialise(numbers.withColumn("quota", _quota(total, shards)), "shard-quotas")
-    final = propagate(materialise(cells, "shard-cells"), quotas)
-    members = _place_members(start, linked, final)
-    free = _load(final, quotas)
-    singles = _fill(start.join(linked, "grp", "left_anti"), free)
-    placed_rows = members.unionByName(singles)
+    total = start.count()
+    quotas = [quota(s, total, shards) for s in range(shards)]
+    final = propagate(materialise(linked_groups(start), "shard-groups"), quotas)
+    placed_rows = _place(start, final, quotas)
     ranked = rank_from(placed(placed_rows, ["shard", "doc_id", "pos"], "shard-slots"), ["shard"], "slot")
     return ranked.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-COLUMNS = ["doc_id", "size", "text_crc32", "shard", "pos"]
-
-
-def _pick(cells: Column, rank: Column) -> Column:
+def _pick(shards: Column, counts: Column, rank: Column) -> Column:
     """The shard whose interval of running counts holds ``rank``."""
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("int").alias("shard"))
     found = F.aggregate(
-        cells,
-        F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("int").alias("shard")),
+        F.arrays_zip(shards.alias("shard"), counts.alias("n")),
+        start,
         lambda a, c: F.struct(
             (a["sum"] + c["n"]).alias("sum"),
             F.when(a["shard"].isNull() & (rank < a["sum"] + c["n"]), c["shard"]).otherwise(a["shard"]).alias("shard"),
@@ -153,17 +300,17 @@ def _pick(cells: Column, rank: Column) -> Column:
     return found["shard"]
 
 
-def _place_members(start: DataFrame, linked: DataFrame, cells: DataFrame) -> DataFrame:
-    """Linked rows by their rank in the group, dealt to its cells in shard order."""
-    table = cells.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("cells"))  # a cell per shard
-    rows = start.join(linked, "grp", "left_semi").drop("shard")
+def _place(start: DataFrame, groups: DataFrame, quotas: list[int]) -> DataFrame:
+    """Rows by their rank in the group, dealt to its cells in shard order; rows without links fill the room left."""
+    cells = F.array_sort("cells")
+    table = materialise(groups.select("grp", cells["shard"].alias("to"), cells["n"].alias("counts")), "shard-cells")
+    used = {r["s"]: r["n"] for r in table.select(F.explode(F.arrays_zip("to", "counts")).alias("c")).groupBy(
+        F.col("c.to").alias("s")).agg(F.sum("c.counts").alias("n")).collect()}  # one row per shard
+    # a group may hold a third of all rows; without links there is no group
+    met = lookup_join(start.drop("shard"), table, ["grp"], salt_by=["pos"], how="left")
+    rows = met.withColumn("grp", F.when(F.col("to").isNotNull(), F.col("grp")))
     ranked = rank_from(placed(rows, ["grp", "pos"], "shard-members"), ["grp"], "_rank")
-    return ranked.join(table, "grp").withColumn("shard", _pick(F.col("cells"), F.col("_rank"))).select(*COLUMNS)
-
-
-def _fill(singles: DataFrame, free: DataFrame) -> DataFrame:
-    """Rows without links by their rank, dealt to what room the shards have left."""
-    room = sorted(free.collect())  # one row per shard
-    cells = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(n).cast("long").alias("n")) for s, n in room])
-    ranked = rank_from(placed(singles.drop("shard"), ["pos"], "shard-singles"), [], "_rank")
-    return ranked.withColumn("shard", _pick(cells, F.col("_rank"))).select(*COLUMNS)
+    free_to = F.array(*[F.lit(s) for s in range(len(quotas))])
+    free = F.array(*[F.lit(q - used.get(s, 0)).cast("long") for s, q in enumerate(quotas)])
+    shard_of = _pick(F.coalesce("to", free_to), F.coalesce("counts", free), F.col("_rank"))
+    return ranked.select("doc_id", "size", "text_crc32", shard_of.alias("shard"), "pos")
