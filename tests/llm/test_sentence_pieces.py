@@ -75,3 +75,9 @@ def test_few_and_many_buckets_and_little_memory(spark, monkeypatch):
 def test_numbers_survive_packing():
     for values in ([], [0], [1, 2**32 - 1, 70_000]):
         assert S._unpacked(S._packed(np.array(values, np.int64)), len(values)).tolist() == values
+
+
+def test_decoding_of_any_ids(spark):
+    rows = [(0, None), (1, []), (2, [0, 1, 2]), (3, [3, 255, 264]), (4, [259, 264])]
+    got = spark.createDataFrame(rows, "k int, ids array<int>").repartition(2).select("k", S.decode(F.col("ids"), PATH).alias("t")).collect()
+    assert {r["k"]: r["t"] for r in got} == {k: None if ids is None else S._processor(PATH).decode(ids) for k, ids in rows}

@@ -302,7 +302,10 @@ def decode(ids: Column, vocabulary: str) -> Column:
     def made(chunks: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = _processor(vocabulary)
         for chunk in chunks:
-            yield pa.array([None if row is None else processor.decode(row) for row in chunk.to_pylist()], pa.string())
+            cuts, flat = chunk.offsets.tolist(), chunk.values.to_numpy(zero_copy_only=False).tolist()
+            valid = chunk.is_valid().to_pylist()
+            rows = zip(valid, cuts, cuts[1:])
+            yield pa.array([processor.decode(flat[a:b]) if has else None for has, a, b in rows], pa.string())
 
     made.__annotations__ = {"chunks": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(made, "string")(ids)
