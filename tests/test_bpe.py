@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from textloom.functions.text import characters
 from textloom.operators import bpe as B
 from textloom.operators import corpus_stats as C
+from textloom.operators.bpe_state import Chain, KeptCounts, code_of, cut
+from textloom.operators.bpe_state import count_pairs as count_pairs_of
 from textloom.operators.bpe import BpeModel, encode, fit_bpe, fit_words, merge_word, take_safe_batch, tokenize
 
 TINY = {"low": 5, "lower": 2, "newest": 6, "widest": 3}
@@ -113,12 +116,118 @@ def test_fit_equals_one_at_a_time(spark, counts):
     assert (model.tokens, model.merges) == one_at_a_time(counts, 30)
 
 
-def test_fit_across_rewrites_of_the_word_table(spark, monkeypatch):
-    monkeypatch.setattr(B, "MERGES_PER_WRITE", 4)
+@pytest.mark.parametrize("candidates, symbols", [(4096, 1 << 21), (24, 1 << 21), (24, 300), (8, 40), (64, 0)])
+def test_rounds_of_any_size_equal_one_at_a_time(spark, monkeypatch, candidates, symbols):
+    monkeypatch.setattr(B, "CANDIDATES", candidates)
+    monkeypatch.setattr(B, "PIECE_SYMBOLS", symbols)
     rng = random.Random(12)
     counts = {"".join(rng.choice("abcdef") for _ in range(rng.randint(2, 12))): rng.randint(1, 9) for _ in range(120)}
-    model = fit_words(frame(spark, counts), max_merges=60)
+    rounds = []
+    model = fit_words(frame(spark, counts), max_merges=60, rounds=rounds)
     assert len(model.merges) == 60 and (model.tokens, model.merges) == one_at_a_time(counts, 60)
+    assert sum(r.merges for r in rounds) == 60 and all(r.symbols <= symbols or r.touched == 0 for r in rounds)
+
+
+def kept_fit(counts, max_merges, window):
+    """Rounds over plain lists: pairs from the ``window`` most frequent ones down, words cut elsewhere."""
+    tokens = [*B.SPECIAL_TOKENS, *sorted({c for w in counts for c in w})]
+    ids = {t: i for i, t in enumerate(tokens)}
+    words = [([ids[c] for c in w], n) for w, n in counts.items()]
+    merges = []
+    while len(merges) < max_merges:
+        ranked = sorted(((n, *p) for p, n in count_pairs(words).items() if n >= 2), key=lambda x: (-x[0], *x[1:]))
+        if not ranked:
+            break
+        hot, floor = B._hot_pairs(ranked, True, window, 2)
+        if not hot:
+            hot, floor = len(ranked), 2
+        held = {p[1:] for p in ranked[:hot]}
+        flat, weights = [], []
+        for symbols, n in words:
+            for i, x in enumerate(symbols):
+                flat.append(x)
+                if i + 1 == len(symbols) or (x, symbols[i + 1]) not in held:
+                    flat.append(-1)
+            weights += [n] * (len(flat) - len(weights))
+        kept = KeptCounts(np.array(flat, np.int32), np.array(weights, np.int64))
+        n, l, r = kept.best()
+        while n >= floor and len(merges) < max_merges:
+            token = tokens[l] + tokens[r]
+            new = token not in ids
+            if new:
+                ids[token] = len(tokens)
+                tokens.append(token)
+            merges.append((tokens[l], tokens[r], n))
+            words = [(merge(s, (l, r), ids[token]), m) for s, m in words]
+            kept.merge((l, r, ids[token]))
+            n, l, r = kept.best()
+            if not new:
+                break
+            live = {c: v for c, v in kept.counts.items() if v >= floor}
+            assert live == {code_of(*p): v for p, v in count_pairs(words).items() if v >= floor}
+    return tokens, merges
+
+
+@settings(max_examples=400, deadline=None)
+@given(corpora, st.sampled_from([1, 2, 3, 7, 1000]))
+def test_kept_counts_equal_a_recount_after_every_merge(counts, window):
+    assert kept_fit(counts, 40, window) == one_at_a_time(counts, 40)
+
+
+def test_chain_merges_every_second_of_a_run():
+    chain = Chain(np.array([1, 1, 1, 1, 1, -1, 1, 1, 2, -1], np.int32))
+    chain.merge((1, 1, 5))
+    assert chain.symbols[chain.symbols != -2].tolist() == [5, 5, 1, -1, 5, 2, -1]
+    chain.merge((5, 5, 6))
+    chain.merge((5, 2, 7))
+    assert chain.symbols[chain.symbols != -2].tolist() == [6, 1, -1, 7, -1]
+
+
+def clauses():
+    """A script without spaces: words are whole clauses, nearly all of them distinct."""
+    rng = random.Random(8)
+    characters = [chr(0x4E00 + i) for i in range(400)]
+    common = ["".join(rng.choices(characters, k=rng.randint(2, 4))) for _ in range(60)]
+    return {
+        "".join(rng.choice(common) if rng.random() < 0.5 else rng.choice(characters) for _ in range(rng.randint(6, 25))): 1
+        for _ in range(600)
+    }
+
+
+def test_300_merges_of_clauses_cut_at_the_floor(spark, monkeypatch, capsys):
+    counts = clauses()
+    cut_rounds, whole_rounds = [], []
+    got = fit_words(frame(spark, counts), max_merges=300, rounds=cut_rounds)
+    assert len(got.merges) == 300 and (got.tokens, got.merges) == one_at_a_time(counts, 300)
+    monkeypatch.setattr(B, "FLOOR_PAIRS", 0)
+    whole = fit_words(frame(spark, counts), max_merges=300, rounds=whole_rounds)
+    assert whole == got
+
+
+def test_state_shrinks_where_clauses_are_cut(spark):
+    counts = clauses()
+    ids = {c: i for i, c in enumerate(sorted({c for w in counts for c in w}))}
+    state = spark.createDataFrame([([ids[c] for c in w], n) for w, n in counts.items()], "ids array<int>, n long")
+    pairs = count_pairs_of(state).where("n >= 2").collect()
+    pieces = cut(state, np.sort(np.array([code_of(r["l"], r["r"]) for r in pairs])))
+    before, after = (df.agg(F.sum(F.size("ids"))).first()[0] for df in (state, pieces))
+    assert after < before / 2
+    assert {(r["l"], r["r"]): r["n"] for r in count_pairs_of(pieces).collect()} == {(r["l"], r["r"]): r["n"] for r in pairs}
+
+
+def test_later_rounds_touch_less(spark, monkeypatch):
+    monkeypatch.setattr(B, "CANDIDATES", 64)
+    rng = random.Random(5)
+    letters = "etaoinshrdlu"
+    counts = {}
+    for _ in range(1500):
+        word = "".join(letters[min(int(rng.expovariate(0.35)), 11)] for _ in range(rng.randint(3, 9)))
+        counts[word] = counts.get(word, 0) + rng.randint(1, 30)
+    rounds = []
+    model = fit_words(frame(spark, counts), max_merges=300, rounds=rounds)
+    assert (model.tokens, model.merges) == one_at_a_time(counts, 300)
+    per_merge = [r.touched / r.merges for r in rounds if r.touched]
+    assert len(per_merge) > 2 and per_merge[-1] < per_merge[0] / 2
 
 
 def test_all_texts_are_fitted_and_counted(spark):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import arrays
 from textloom.functions.text import coerce_text, pretokens
-from textloom.operators.bpe_state import Merge, apply_merges, partial_pair_counts
+from textloom.operators.bpe_state import KeptCounts, Merge, apply_merges, code_of, count_pairs, cut, flatten
 from textloom.operators.corpus_stats import MIN_FREQUENCY, alphabet, top_pairs, word_counts
 from textloom.operators.split import sample_prefix
 from textloom.plans.storage import discard, materialise
@@ -30,9 +30,11 @@ VOCAB_SIZE = 8192
 MAX_LENGTH = 512
 
 # Most frequent pairs looked at per round of the fit.
-CANDIDATES = 1024
-# Merges applied while counting before the word table is written again.
-MERGES_PER_WRITE = 64
+CANDIDATES = 4096
+# Symbols of the pieces around them that a round may read at once.
+PIECE_SYMBOLS = 1 << 21
+# Pairs at the floor that words are cut by before the first round; beyond, they stay whole.
+FLOOR_PAIRS = 1 << 22
 # Words remembered by one task while encoding, and the longest kept.
 WORD_MEMORY = 200_000
 LONG_WORD = 64
@@ -126,18 +128,47 @@ def take_safe_batch(
     return batch
 
 
+@dataclass
+class Round:
+    """What one round of a fit did: merges, the count down to which they are exact, symbols read and places touched."""
+
+    merges: int
+    floor: int
+    symbols: int
+    touched: int
+
+
+def _hot_pairs(ranked: list[tuple[int, int, int]], complete: bool, k: int, floor: int) -> tuple[int, int]:
+    """(how many, from which count on): the first ``k`` pairs without the count that is cut off."""
+    if k >= len(ranked):
+        return (len(ranked), floor) if complete else _hot_pairs(ranked, True, len(ranked) - 1, floor)
+    cut_off = ranked[k][0]
+    while k and ranked[k - 1][0] == cut_off:
+        k -= 1
+    return k, cut_off + 1
+
+
 def fit_words(
     counts: DataFrame,
     vocab_size: int = VOCAB_SIZE,
     min_frequency: int = MIN_FREQUENCY,
     max_merges: int | None = None,
+    rounds: list[Round] | None = None,
 ) -> BpeModel:
     """Fit on a (word, n) table, which must be cheap to read more than once.
 
-    Each round is one aggregation over the distinct words that returns at most
-    CANDIDATES pairs. Merges chosen since the table was last written are applied
-    while counting; the table is rewritten every few rounds and loses the words
-    with no pairs left.
+    Words are first cut where two characters are neighbours less often than
+    ``min_frequency``: no merge can cross such a place, and equal pieces add up.
+
+    A round counts all pairs and takes the most frequent ones. Words cut at all
+    other pairs give few distinct pieces, and merging those in order of their
+    kept counts is exact while the best pair is more frequent than any pair cut
+    at: pairs only become rarer, and a new one is no more frequent than the pair
+    it was made from. Only a merge whose string already has an id can
+    make a pair more frequent, so it ends the round. The round's merges are
+    then applied to all words, in which only their places are touched. Pieces are
+    read if they have at most PIECE_SYMBOLS; otherwise the round takes fewer pairs.
+    ``rounds`` collects what each round did.
     """
     spark = counts.sparkSession
     chars = sorted(r[0] for r in alphabet(counts).collect())  # bounded by the character set
@@ -146,42 +177,85 @@ def fit_words(
     char_ids = F.arrow_udf(_char_encoder(chars), "array<int>")
     words = counts.where(F.length("word") > 1).repartition(spark.sparkContext.defaultParallelism)
     state = materialise(words.select(char_ids("word").alias("ids"), "n"), "bpe-state")
-    pending: list[Merge] = []
+
+    def replace(new: DataFrame) -> None:
+        nonlocal state
+        state, done = materialise(new, "bpe-state"), state
+        discard(done)
 
     def room() -> bool:
         return model.vocab_size < vocab_size and (max_merges is None or len(model.merges) < max_merges)
 
+    def take(n: int, left: int, right: int, pending: list[Merge]) -> bool:
+        """Add a merge; whether its string is new."""
+        token = model.tokens[left] + model.tokens[right]
+        new = token not in ids
+        if new:
+            ids[token] = model.vocab_size
+            model.tokens.append(token)
+        model.merges.append((model.tokens[left], model.tokens[right], n))
+        pending.append((left, right, ids[token]))
+        return new
+
+    if room():
+        frequent = count_pairs(state).where(F.col("n") >= min_frequency).select("l", "r")
+        pairs = frequent.limit(FLOOR_PAIRS + 1).toArrow()
+        if pairs.num_rows <= FLOOR_PAIRS:
+            replace(cut(state, _codes(pairs["l"].to_numpy(), pairs["r"].to_numpy())))
+    k = CANDIDATES
     while room():
-        if len(pending) >= MERGES_PER_WRITE:
-            state, done = materialise(apply_merges(state, pending), "bpe-state"), state
-            discard(done)
-            pending = []
-        pairs = partial_pair_counts(state, pending).groupBy("l", "r").agg(F.sum("n").alias("n"))
-        rows = top_pairs(pairs.where(F.col("n") >= min_frequency), CANDIDATES).collect()
-        candidates = [(r["n"], r["l"], r["r"]) for r in rows]
-        batch = take_safe_batch(
-            candidates, len(candidates) < CANDIDATES, lambda l, r: model.tokens[l] + model.tokens[r] in ids
-        )
-        if not batch:
+        rows = top_pairs(count_pairs(state).where(F.col("n") >= min_frequency), CANDIDATES).collect()
+        ranked = [(r["n"], r["l"], r["r"]) for r in rows]
+        complete = len(ranked) < CANDIDATES
+        if not ranked:
             break
-        made: set[str] = set()
-        for n, left, right in batch:
-            if not room():
-                break
-            token = model.tokens[left] + model.tokens[right]
-            repeated = token in made
-            if token not in ids:
-                ids[token] = model.vocab_size
-                model.tokens.append(token)
-                made.add(token)
-            model.merges.append((model.tokens[left], model.tokens[right], n))
-            pending.append((left, right, ids[token]))
-            if repeated:
+        pending: list[Merge] = []
+        kept, floor, symbols = None, ranked[0][0], 0
+        k = min(CANDIDATES, 4 * k)
+        while kept is None and k > 1:
+            hot, floor = _hot_pairs(ranked, complete, k, min_frequency)
+            if not hot:
                 break
+            kept, symbols = _pieces(state, ranked[:hot])
+            k = k if kept else k // 4
+        if kept is None:
+            # a pair whose own pieces are too many, or ties beyond the pairs looked at
+            exists = lambda l, r: model.tokens[l] + model.tokens[r] in ids
+            for n, left, right in take_safe_batch(ranked, complete, exists):
+                if not room() or not take(n, left, right, pending):
+                    break
+        else:
+            n, left, right = kept.best()
+            while room() and n >= floor:
+                if not take(n, left, right, pending):
+                    break
+                kept.merge(pending[-1])
+                n, left, right = kept.best()
+        if rounds is not None:
+            rounds.append(Round(len(pending), floor, symbols, kept.touched if kept else 0))
+        if room():
+            replace(apply_merges(state, pending))
     discard(state)
     return model
 
 
+def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.sort(left.astype(np.int64) << 32 | right)
+
+
+def _pieces(state: DataFrame, pairs: list[tuple[int, int, int]]) -> tuple[KeptCounts | None, int]:
+    """Kept counts of the pieces that hold ``pairs``, if they are small enough, and their symbols."""
+    _, left, right = (np.array(x) for x in zip(*pairs))
+    pieces = materialise(cut(state, _codes(left, right)), "bpe-pieces")
+    symbols = pieces.agg(F.sum(F.size("ids").cast("long") + 1)).first()[0] or 0
+    kept = None
+    if symbols <= PIECE_SYMBOLS:
+        batch = pieces.toArrow().combine_chunks().to_batches()
+        kept = KeptCounts(*flatten(batch[0])) if batch else None
+    discard(pieces)
+    return kept, symbols
+
+
 def fit_bpe(
     df: DataFrame,
     vocab_size: int = VOCAB_SIZE,

@@ -40,6 +40,12 @@ def tokenizer(spark: SparkSession, sf_dir: str, source: str = "documents", key:
     return load_or_train(spark, path, data, order_key=key, max_merges=N_MERGES)
 
 
+def full_tokenizer(spark: SparkSession, sf_dir: str) -> BpeModel:
+    """The tokenizer of the default vocabulary size, fitted on all documents and saved once per application."""
+    place = hashlib.md5(f"{sf_dir}:full".encode()).hexdigest()
+    return load_or_train(spark, f"{app_dir(spark)}/tokenizer-{place}", texts(spark, sf_dir), order_key="doc_id")
+
+
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document."""
     model = tokenizer(spark, sf_dir)

@@ -10,7 +10,17 @@ from textloom.operators import corpus_stats as C
 from textloom.operators.bpe import fit_bpe
 from textloom.operators.split import split_by_hash
 from textloom.plans.layout import spread
-from textloom.queries.common import N_MERGES, PRETOKENS, MARKED_SQL, documents, fit_sql, texts, tokenizer, with_sql
+from textloom.queries.common import (
+    MARKED_SQL,
+    N_MERGES,
+    PRETOKENS,
+    documents,
+    fit_sql,
+    full_tokenizer,
+    texts,
+    tokenizer,
+    with_sql,
+)
 from textloom.queries.source_queries import MERGES_SQL
 
 
@@ -56,6 +66,11 @@ def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.merges_table(spark)
 
 
+def bpe_full_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All merges of a fit to 8,192 ids; SQL cannot unroll them."""
+    return full_tokenizer(spark, sf_dir).merges_table(spark)
+
+
 def bpe_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer(spark, sf_dir).vocab_table(spark)
 
@@ -74,6 +89,7 @@ QUERIES = {
     "top_pairs": top_pairs,
     "apply_merge": apply_merge,
     "bpe_merges": bpe_merges,
+    "bpe_full_merges": bpe_full_merges,
     "bpe_vocab": bpe_vocab,
     "vocab_size": vocab_size,
 }

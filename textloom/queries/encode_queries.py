@@ -14,6 +14,7 @@ from textloom.queries.common import (
     documents,
     encode_sql,
     encoded,
+    full_tokenizer,
     fit_sql,
     joined,
     rounded,
@@ -46,6 +47,14 @@ def long_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", F.md5(model.decode(F.col("ids"))).alias("text_md5"), known.alias("known"), merges.alias("n_merges"))
 
 
+def full_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by the vocabulary of 8,192 ids: decoding gives back a text without white space."""
+    model = full_tokenizer(spark, sf_dir)
+    ids = texts(spark, sf_dir).select("doc_id", encode(model, F.col("text")).alias("ids"))
+    known = F.forall("ids", lambda i: (i >= len(SPECIAL_TOKENS)) & (i < model.vocab_size))
+    return ids.select("doc_id", F.md5(model.decode(F.col("ids"))).alias("text_md5"), known.alias("known"))
+
+
 def encode_unk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded with a tokenizer that only saw the benchmark texts."""
     model = tokenizer(spark, sf_dir, "benchmark", "item_id")
@@ -107,6 +116,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "bpe_encode": bpe_encode,
     "bpe_long_fit": long_fit,
+    "bpe_full_encode": full_encode,
     "encode_unk": encode_unk,
     "truncate": truncate,
     "pad_fixed": pad_fixed,
@@ -124,6 +134,7 @@ _PADDED = f"list_resize(ids[1:{MAX_LENGTH}], {MAX_LENGTH}, 1)"
 SQL = {
     "bpe_long_fit": f"""SELECT doc_id, md5(array_to_string({PRETOKENS}, '')) AS text_md5, true AS known, {LONG_MERGES} AS n_merges
 FROM documents""",
+    "bpe_full_encode": f"""SELECT doc_id, md5(array_to_string({PRETOKENS}, '')) AS text_md5, true AS known FROM documents""",
     "bpe_encode": ENC + "SELECT doc_id, array_to_string(ids, ' ') AS ids FROM enc",
     "encode_unk": with_sql(fit_sql("benchmark", "item_id"), encode_sql("documents", "doc_id"))
     + """SELECT doc_id, array_to_string(ids, ' ') AS ids, len(list_filter(ids, lambda i: i = 0))::INT AS n_unknown
