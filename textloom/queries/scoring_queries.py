@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays, scores
+from textloom.operators import generation as G
 from textloom.operators import scoring as S
 from textloom.operators.bpe import encode
 from textloom.plans.ordering import unit_hash
@@ -31,6 +32,8 @@ TEMPERATURE = 0.7
 TOP_K = 5
 STEPS = 4
 CONTEXT = 256
+# Fixed value: ids generated for a prompt by default.
+LONG_STEPS = 100
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +114,34 @@ def generate_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _generated(spark, sf_dir, prompts, ["conv_id", "turn"], TOP_K, TEMPERATURE)
 
 
+def generate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy walks of LONG_STEPS ids, by jumps on the vocabulary."""
+    model = tokenizer(spark, sf_dir)
+    best = materialise(S.successors(_counts(spark, sf_dir)), "successors")
+    ready = table(spark, sf_dir, "conversations").select("conv_id", "turn", encode(model, F.col("text")).alias("ids"))
+    following = best.select("input_id", F.element_at("next_ids", 1).alias("next_id"))
+    made = G.generate_greedy(ready, following, ["conv_id", "turn"], LONG_STEPS)
+    return made.select("conv_id", "turn", joined("new_ids").alias("new_ids"), model.decode(F.col("new_ids")).alias("output"))
+
+
+def _alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighted = _counts(spark, sf_dir).select("input_id", "label", F.col("n").alias("weight"))
+    return materialise(G.alias_table(weighted), "alias")
+
+
+def alias_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alias columns give each label: its count times the number of columns."""
+    return G.shares(_alias(spark, sf_dir))
+
+
+def generate_sampled_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LONG_STEPS ids drawn from all labels seen after an id; SQL does not build alias columns."""
+    model = tokenizer(spark, sf_dir)
+    ready = table(spark, sf_dir, "conversations").select("conv_id", "turn", encode(model, F.col("text")).alias("ids"))
+    made = G.generate_sampled(ready, _alias(spark, sf_dir), ["conv_id", "turn"], LONG_STEPS)
+    return made.select("conv_id", "turn", joined("new_ids").alias("new_ids"), model.decode(F.col("new_ids")).alias("output"))
+
+
 def prompt_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark text as a prompt."""
     return _generated(spark, sf_dir, table(spark, sf_dir, "benchmark"), ["item_id"])
@@ -131,6 +162,9 @@ QUERIES = {
     "heldout_overall": heldout_overall,
     "generate_batch": generate_batch,
     "generate_sampled": generate_sampled,
+    "generate_long": generate_long,
+    "alias_shares": alias_shares,
+    "generate_sampled_alias": generate_sampled_alias,
     "context_crop": context_crop,
     "prompt_suite": prompt_suite,
 }
@@ -225,6 +259,24 @@ FROM heldout GROUP BY doc_id""",
     + "SELECT count(*) AS n_pairs, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity FROM heldout",
     "generate_batch": _generate_sql(_CONVERSATIONS, "conv_id, turn", _GREEDY, _greedy_step),
     "generate_sampled": _generate_sql(_CONVERSATIONS, "conv_id, turn", _SAMPLED, _sampled_step),
+    "generate_long": with_sql(
+        fit_sql(),
+        encode_sql("documents", "doc_id"),
+        MARKED_SQL,
+        _PAIRS,
+        _GREEDY,
+        _CONVERSATIONS,
+        encode_sql("prompts", "k", "prompt"),
+    ).replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
+    + f""",
+walk AS (
+  SELECT k, 1 AS step, coalesce(next_id, 0) AS x FROM prompt LEFT JOIN succ ON input_id = ids[-1]
+  UNION ALL
+  SELECT k, step + 1, coalesce(next_id, 0) FROM walk LEFT JOIN succ ON input_id = x WHERE step < {LONG_STEPS})
+SELECT conv_id, turn, string_agg(x, ' ' ORDER BY step) AS new_ids,
+  string_agg(CASE WHEN kind = 'special' THEN '' ELSE token END, '' ORDER BY step) AS output
+FROM walk JOIN vocab ON id = x JOIN prompts USING (k) GROUP BY k, conv_id, turn""",
+    "alias_shares": _MODEL + "SELECT input_id, label, (n * count(*) OVER (PARTITION BY input_id))::BIGINT AS units FROM counts",
     "context_crop": with_sql(fit_sql(), encode_sql("documents", "doc_id"))
     + f"SELECT doc_id, array_to_string(ids[greatest(len(ids) - {CONTEXT}, 0) + 1:], ' ') AS ids FROM enc",
     "prompt_suite": _generate_sql(_BENCHMARK, "item_id", _GREEDY, _greedy_step),
