@@ -190,3 +190,9 @@ def test_artifacts(spark):
 def test_elapsed(spark):
     log = spark.sql("SELECT 1L run, TIMESTAMP'2024-01-01 00:00:00' ts UNION ALL SELECT 1L, TIMESTAMP'2024-01-01 00:00:01.5'")
     assert M.run_elapsed(log).first()["elapsed_us"] == 1_500_000
+
+
+def test_metric_windows_take_one_exchange(spark, capsys):
+    log = spark.range(100).selectExpr("id % 3 AS run", "id div 3 + 1 AS step", "id * 0.5D AS value")
+    M.metric_windows(log).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1

@@ -35,20 +35,24 @@ def mean_loss(losses: DataFrame, loss_col: str = "loss") -> DataFrame:
     )
 
 
-def first_logged(log: DataFrame) -> DataFrame:
-    """One entry per (run, step): of repeated ones the first by ``seq``, or the smallest value without it."""
+def first_logged(log: DataFrame, *by: str) -> DataFrame:
+    """One entry per (run, step): of repeated ones the first by ``seq``, or the smallest value without it.
+
+    ``by`` are columns to keep, the same for all entries of a step.
+    """
     value = F.min_by("value", "seq") if "seq" in log.columns else F.min("value")
-    return log.groupBy("run", "step").agg(value.alias("value"))
+    return log.groupBy(*(by or ["run"]), "step").agg(value.alias("value"))
 
 
 def metric_windows(log: DataFrame, interval: int = LOG_INTERVAL) -> DataFrame:
     """Mean loss and perplexity of every full window of ``interval`` steps, keyed
     at the closing step. An unfinished window gives no row; a step that was
     logged again counts once, see ``first_logged``."""
-    window = int_div(F.col("step") - 1, interval)
+    # dealt by window once: repeated entries of a step and the steps of a window meet in the same task
+    dealt = log.withColumn("_w", int_div(F.col("step") - 1, interval)).repartition("run", "_w")
     return (
-        first_logged(log)
-        .groupBy("run", window.alias("_w"))
+        first_logged(dealt, "run", "_w")
+        .groupBy("run", "_w")
         .agg(F.count("*").alias("_n"), F.avg("value").alias("train_loss"))
         .where(F.col("_n") == interval)
         .select(

@@ -7,9 +7,11 @@ size is known to the optimizer.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -89,6 +91,37 @@ def any_file(spark: SparkSession, pattern: str) -> bool:
     return len(fs.globStatus(path) or []) > 0
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one; of several writers exactly one gets True.
+
+    On a local or mounted file system the finished file is linked to its name;
+    elsewhere the store has to refuse to create a file twice, as HDFS does.
+    """
+    fs, target = _hadoop_path(spark, path)
+    fs.mkdirs(target.getParent())
+    if fs.getScheme() == "file":
+        local = target.toUri().getPath()
+        written = os.path.join(os.path.dirname(local), f".{uuid.uuid4().hex}")
+        with open(written, "w", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(written, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(written)
+        return True
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if fs.exists(target):
+            return False
+        raise error
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
 def read_lines(spark: SparkSession, path: str) -> list[str]:
     """Lines of one small text file, or of the files of a directory, whatever their names; none if there is neither."""
     fs, jvm_path = _hadoop_path(spark, path)

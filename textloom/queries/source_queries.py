@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.plans.storage import scratch_path
+from textloom.plans.ordering import row_ids
+from textloom.plans.storage import materialise, scratch_path
 from textloom.queries.common import MARKED_SQL, N_MERGES, documents, fit_sql, texts, tokenizer, with_sql
 from textloom.sources.artifacts import load_model, load_or_train, load_or_train_from_config, save_model
 from textloom.sources.datasets import dataset_from_config, select_config
 from textloom.sources.files import scan, sorted_files
+from textloom.sources.registry import resolve
 from textloom.sources.sinks import read_corpus, write_corpus
 from textloom.sources.snapshots import scan_snapshot
 
 # Text goes out as it is, quotes doubled.
+# Files that a language is written to, at most.
+FILES_PER_LANG = 32
+
 _CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -89,20 +94,27 @@ def config_local(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of a corpus written by language in one task: their folder, place and length in lines.
+    """The files of a corpus written by language, in order of their paths.
 
-    Names and sizes of Spark's files are not known to SQL, so every file is
-    reopened: its path must lead to the rows of its language.
+    Names and number of Spark's files are not known to SQL. Per language: its
+    place among the languages, whether its files stand together in the listing,
+    and the rows found by reopening the files listed.
     """
     path = scratch_path(spark, "corpus-by-lang")
-    documents(spark, sf_dir).select("lang", "doc_id").coalesce(1).write.partitionBy("lang").parquet(path)
-    listed = sorted_files(spark, path, "*.parquet")
-    place = F.row_number().over(Window.orderBy("path")) - 1  # a file per language
-    numbered = listed.where(F.col("length") > 0).select("path", place.alias("place"))
-    rows = spark.read.parquet(path).select("doc_id", F.regexp_replace(F.input_file_name(), "^.*/(lang=)", "$1").alias("path"))
-    counts = rows.groupBy("path").agg(F.count("*").alias("n_rows"))
-    lang = F.regexp_extract("path", "^lang=([^/]+)/", 1)
-    return numbered.join(counts, "path").select(lang.alias("lang"), "place", "n_rows")
+    rows = documents(spark, sf_dir).select("lang", "doc_id")
+    rows.repartition("lang", F.pmod(F.xxhash64("doc_id"), F.lit(FILES_PER_LANG))).write.partitionBy("lang").parquet(path)
+    listed = sorted_files(spark, path, "*.parquet").where(F.col("length") > 0)
+    placed = materialise(row_ids(listed, "path", id_col="at"), "listing-order")
+    found = spark.read.parquet(path).select("doc_id", F.regexp_replace(F.input_file_name(), "^.*/(lang=)", "$1").alias("path"))
+    counts = found.groupBy("path").agg(F.count("*").alias("n_rows"))
+    files = placed.join(counts, "path", "left").withColumn("lang", F.regexp_extract("path", "^lang=([^/]+)/", 1))
+    langs = files.groupBy("lang").agg(
+        F.min("at").alias("first"),
+        (F.max("at") - F.min("at") + 1 == F.count("*")).alias("together"),
+        F.sum("n_rows").alias("n_rows"),
+    )
+    order = row_ids(materialise(langs, "listing-langs"), "first", id_col="place", carry=["lang", "together", "n_rows"])
+    return order.select("lang", "place", "together", "n_rows")
 
 
 def corpus_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +128,17 @@ def corpus_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenizer_artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokenizer")
     save_model(spark, tokenizer(spark, sf_dir), path)
-    return spark.read.parquet(f"{path}/merges")
+    return spark.read.parquet(f"{resolve(spark, path)}/merges")
+
+
+def published_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fits published one after the other: the merges of both versions."""
+    path = scratch_path(spark, "tokenizer")
+    data = texts(spark, sf_dir)
+    load_or_train(spark, path, data, order_key="doc_id", max_merges=N_MERGES // 2)
+    load_or_train(spark, path, data, order_key="doc_id", max_merges=N_MERGES, force_retrain=True)
+    both = [load_model(spark, path, v).merges_table(spark).select(F.lit(v).alias("version"), "*") for v in (0, 1)]
+    return both[0].unionByName(both[1])
 
 
 def tokenizer_vocab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +174,7 @@ QUERIES = {
     "corpus_sink_roundtrip": corpus_sink_roundtrip,
     "tokenizer_artifact_roundtrip": tokenizer_artifact_roundtrip,
     "tokenizer_vocab_roundtrip": tokenizer_vocab_roundtrip,
+    "published_models": published_models,
     "load_or_train": load_or_train_twice,
     "load_or_train_config": load_or_train_config,
 }
@@ -174,13 +197,16 @@ SELECT row_id, doc_id, md5(text) AS text_md5 FROM ranked WHERE place <= floor(0.
     "dataset_from_snapshot_config": """SELECT doc_id, CASE WHEN place <= floor(0.9 * n) THEN 'train' ELSE 'validation' END AS split
 FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS place, count(*) OVER () AS n
       FROM documents)""",
-    "file_listing": "SELECT lang, (row_number() OVER (ORDER BY 'lang=' || lang || '/') - 1)::INT AS place, count(*) AS n_rows FROM documents GROUP BY lang",
+    "file_listing": """SELECT lang, row_number() OVER (ORDER BY 'lang=' || lang || '/') - 1 AS place, true AS together,
+  count(*) AS n_rows FROM documents GROUP BY lang""",
     "corpus_sink_roundtrip": """SELECT sum(pieces)::BIGINT AS n_records, sum(n_chars)::BIGINT AS n_chars
 FROM (SELECT len(string_split(text, chr(10) || chr(10))) AS pieces,
              length(replace(text, chr(10) || chr(10), '')) AS n_chars
       FROM documents WHERE text <> '')""",
     "tokenizer_artifact_roundtrip": with_sql(fit_sql()) + MERGES_SQL,
     "tokenizer_vocab_roundtrip": with_sql(fit_sql()) + "SELECT token, id::INT AS id, kind FROM vocab",
+    "published_models": with_sql(fit_sql())
+    + f"SELECT version, m.* FROM ({MERGES_SQL}) m JOIN (VALUES (0, {N_MERGES // 2}), (1, {N_MERGES})) v(version, size) ON rank < size",
     "load_or_train_config": with_sql(
         MARKED_SQL, "train_docs AS (SELECT * FROM marked WHERE split = 'train')", fit_sql("train_docs")
     )

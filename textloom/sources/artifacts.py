@@ -7,25 +7,27 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.operators.bpe import BpeModel, fit_bpe
-from textloom.plans.storage import is_written
 from textloom.sources.datasets import dataset_from_config
+from textloom.sources.registry import LATEST, is_published, publish, resolve
 
 
-def save_model(spark: SparkSession, model: BpeModel, path: str) -> None:
-    """``vocab`` and ``merges`` tables below ``path``, replacing earlier ones.
+def save_model(spark: SparkSession, model: BpeModel, path: str) -> int:
+    """Publish ``vocab`` and ``merges`` tables as the next version below ``path``; earlier ones stay readable."""
 
-    The merges go last, so that a path with both markers holds a whole model.
-    """
-    model.vocab_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
-    model.merges_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
+    def write(folder: str) -> None:
+        model.vocab_table(spark).coalesce(1).write.parquet(f"{folder}/vocab")
+        model.merges_table(spark).coalesce(1).write.parquet(f"{folder}/merges")
+
+    return publish(spark, path, write)
 
 
 def has_model(spark: SparkSession, path: str) -> bool:
-    return is_written(spark, f"{path}/vocab") and is_written(spark, f"{path}/merges")
+    return is_published(spark, path)
 
 
-def load_model(spark: SparkSession, path: str) -> BpeModel:
-    return BpeModel.from_tables(spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
+def load_model(spark: SparkSession, path: str, version: int | str = LATEST) -> BpeModel:
+    folder = resolve(spark, path, version)
+    return BpeModel.from_tables(spark.read.parquet(f"{folder}/vocab"), spark.read.parquet(f"{folder}/merges"))
 
 
 def load_or_train(
