@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.plans.storage import materialise
+from textloom.plans.storage import discard, materialise
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -38,7 +38,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = materialise(edges.where(F.col(a) != F.col(b)).select(larger.alias("u"), smaller.alias("v")).distinct(), "star")
     before = _state(now)
     while before[0]:
-        now = materialise(_small_star(_large_star(now)), "star")
+        now, done = materialise(_small_star(_large_star(now)), "star"), now
+        discard(done)
         after = _state(now)
         if after == before:
             break

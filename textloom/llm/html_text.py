@@ -23,6 +23,8 @@ from textloom.llm.common import bounded_batches, without
 # Element names of HTML by the part they play here.
 SKIPPED = {"script", "style", "template", "textarea", "title", "svg", "iframe", "noscript", "object", "select", "button", "canvas", "audio", "video"}
 UNSHOWN = {"script", "style", "template", "noscript"}
+# These hold no tags: they end with their first end tag.
+RAW = {"script", "style", "textarea", "title"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label", "input"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -50,7 +52,8 @@ _TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)",
     re.S,
 )
-_MARK = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_OPENING = re.compile(r"</?[a-zA-Z]")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _NOTE = re.compile(r"<(annotation(?:-xml)?)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>?")
@@ -83,7 +86,7 @@ def _hinted(value: str, within: bool) -> bool:
 def _role(name: str, rest: str, within: bool = False) -> tuple[bool, bool, bool]:
     """(beside the article by its tag, by a hint, never shown) as an element says of itself."""
     hinted, unseen = False, False
-    for key, value in _MARK.findall(rest) if rest.strip() else ():
+    for key, value in _ATTRIBUTE.findall(rest) if rest.strip() else ():
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _UNSEEN.search(value)):
             unseen = True
@@ -117,13 +120,44 @@ def _weighed(found: list[Block], holds: dict[int, bool]) -> list[Block]:
     return found
 
 
+class _Ends:
+    """Where elements end: each end tag closes the innermost open element of its name."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.found: dict[str, dict[int, re.Match]] = {}
+
+    def of(self, name: str, begin: int) -> re.Match | None:
+        """The end tag of the element whose tag ends at ``begin``; none if it is never closed."""
+        if name not in self.found:
+            pairs: dict[int, re.Match] = {}
+            waiting: list[int] = []
+            for tag in re.finditer(rf"<(/?){name}(?=[\s/>]|\Z)(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>?", self.html, re.I):
+                if tag[1]:
+                    if waiting:
+                        # what holds no tags begins with the first one
+                        pairs[waiting[0] if name in RAW else waiting.pop()] = tag
+                        if name in RAW:
+                            waiting.clear()
+                elif not tag[0].endswith("/>"):
+                    waiting.append(tag.end())
+            self.found[name] = pairs
+        return self.found[name].get(begin)
+
+
 def blocks(html: str) -> list[Block]:
-    """Flat text blocks of one page; tolerant of unclosed and stray tags."""
+    """Flat text blocks of one page; tolerant of unclosed and stray tags.
+
+    The tag of an element that is skipped or never shown but has no end is
+    passed over alone; of an unclosed script or style the text up to the next tag goes too.
+    """
     found: list[Block] = []
     held: list[str] = []
     linked = 0
     in_link = False
+    link_depth = 0  # elements open around the link
     heading = False
+    ends = _Ends(html)
     stack: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # open elements: name, beside, within, unseen, hinted
     holds: dict[int, bool] = {}
     at, end = 0, len(html)
@@ -162,7 +196,7 @@ def blocks(html: str) -> list[Block]:
         closing = bool(match["close"] or match["close2"])
         rest = match["rest"] or match["rest2"] or ""
         if name == "a":
-            in_link = not closing
+            in_link, link_depth = not closing, len(stack)
             continue
         if name == "br":
             held.append(" ")
@@ -180,9 +214,12 @@ def blocks(html: str) -> list[Block]:
         if not closing and name in SKIPPED:
             if rest.endswith("/"):
                 continue
-            if name not in INLINE:
-                stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at)
-                at = stop.end() if stop else end
+            stop = ends.of(name, at)
+            if stop:
+                at = stop.end()
+            elif name in ("script", "style"):
+                tag = _OPENING.search(html, at)
+                at = tag.start() if tag else end
             if name not in UNSHOWN:
                 held.append(" ")
             continue
@@ -193,17 +230,18 @@ def blocks(html: str) -> list[Block]:
             if not (unseen and name not in VOID):
                 continue
             # an inline element that is never shown: leave it out up to its end
-            stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(html, at)
+            stop = ends.of(name, at)
             at = stop.end() if stop else at
             continue
         flush()
-        in_link = False
         if closing:
             heading = False
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
+            # a link reaches over blocks, but not over the end of what it was opened in
+            in_link = in_link and len(stack) >= link_depth
             continue
         heading = name in HEADINGS
         if name in VOID or rest.endswith("/"):
@@ -216,6 +254,7 @@ def blocks(html: str) -> list[Block]:
                     break
                 if stack[i][0] not in ("p", "li", "dt", "dd", "td", "th", "tr"):
                     break
+            in_link = in_link and len(stack) >= link_depth
         above = stack[-1] if stack else ("", False, False, False, ())
         beside, hinted, unseen = _role(name, rest, above[2])
         within = above[2] or name in MAIN
@@ -342,8 +381,9 @@ def _extractor(tree: Node) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points) in place of the html.
 
-    Null and empty pages have the empty text. Pages are independent: no shuffle,
-    and a page is the most a task holds besides its batch.
+    Null and empty pages have the empty text; pages of any length and with
+    unclosed or stray tags are read to their end; repeated rows stay. Pages are
+    independent: no shuffle, and a page is the most a task holds besides its batch.
     """
     bounded_batches(pages.sparkSession)
     tree = grow(*labelled_table())
