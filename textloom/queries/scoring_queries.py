@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import arrays, scores
 from textloom.operators import generation as G
+from textloom.operators import score_tables as T
 from textloom.operators import scoring as S
 from textloom.operators.bpe import encode
 from textloom.plans.ordering import unit_hash
@@ -69,6 +70,26 @@ def greedy_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir).select("vec_id", scores.greedy(F.col("z")).alias("token_id"))
 
 
+def _long_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, token_id, logit): the scores as a row per candidate."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("token_id", "logit"))
+    return rows.withColumn("logit", F.col("logit").cast("double"))
+
+
+def long_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("target"))
+    return T.cross_entropy(_long_scores(spark, sf_dir), targets, ["vec_id"]).select("vec_id", rounded("loss"))
+
+
+def long_topk_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = T.top_k(_long_scores(spark, sf_dir), ["vec_id"], TOP_K)
+    return T.softmax(kept, ["vec_id"], TEMPERATURE).select("vec_id", "token_id", rounded("p"))
+
+
+def long_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.greedy(_long_scores(spark, sf_dir), ["vec_id"])
+
+
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = encoded_split(spark, sf_dir).where(F.col("split") == "train")
     return materialise(S.fit_counts(train), "pair-model")
@@ -157,6 +178,9 @@ QUERIES = {
     "topk_softmax": topk_softmax,
     "sample_token": sample_token,
     "greedy_token": greedy_token,
+    "long_cross_entropy": long_cross_entropy,
+    "long_topk_softmax": long_topk_softmax,
+    "long_greedy": long_greedy,
     "bigram_counts": bigram_counts,
     "heldout_perplexity": heldout_perplexity,
     "heldout_overall": heldout_overall,
@@ -251,6 +275,12 @@ cumulated AS (
 SELECT vec_id, coalesce(min(token_id) FILTER (round(cum, 12) > u), max(last_id)) AS token_id
 FROM cumulated GROUP BY vec_id""",
     "greedy_token": f"WITH {_Z} SELECT vec_id, first(token_id ORDER BY z DESC, token_id) AS token_id FROM z GROUP BY vec_id",
+    "long_cross_entropy": """SELECT vec_id, round(max(peak) + ln(sum(exp(z - peak))) - max(z) FILTER (token_id = label), 6) AS loss
+FROM (SELECT vec_id, label, token_id, z, max(z) OVER (PARTITION BY vec_id) AS peak
+      FROM (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS token_id, unnest(embedding)::DOUBLE AS z FROM embeddings))
+GROUP BY vec_id""",
+    "long_topk_softmax": f"WITH {_Z} SELECT vec_id, token_id, round(p, 6) AS p FROM probs",
+    "long_greedy": f"WITH {_Z} SELECT vec_id, first(token_id ORDER BY z DESC, token_id) AS token_id FROM z GROUP BY vec_id",
     "bigram_counts": _MODEL + "SELECT input_id, label, n FROM counts",
     "heldout_perplexity": with_sql(fit_sql(), encode_sql("documents", "doc_id"), MARKED_SQL, _PAIRS, _HELDOUT)
     + """SELECT doc_id, count(*) AS n_pairs, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity
