@@ -1,5 +1,8 @@
 """Path rules on a small tree."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +117,56 @@ def test_twenty_thousand_rules(spark):
     rows = [("dir7/a",), ("dir7",), ("dir9999/b/c",), ("dir10000/a",), ("a/b.x9998",), ("a/b.y",)]
     kept = P.exclude(spark.createDataFrame(rows, "path string"), rules)
     assert sorted(r[0] for r in kept.collect()) == ["a/b.y", "dir10000/a", "dir7"]
+
+
+PARTS = ["a", "b", "ab", "abc", "x1", "x2", "y.py", "z.txt", "src", "lib"]
+
+
+def many_rules(rng, n):
+    piece = lambda: rng.choice(["a", "b*", "*c", "x?", "[xy]*", "[!a]b", "*", "*b*", "?", "src", "y.*", "**", "lib", "a*c", *PARTS])
+    rules = []
+    for _ in range(n):
+        glob = "/".join(piece() for _ in range(rng.randint(1, 4)))
+        rules.append(rng.choice([glob, f"{glob}/", f"{glob}{rng.randint(0, 99)}", f"a{glob}", f"/{glob}"]))
+    return rules
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_automaton_equals_rule_by_rule(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    paths = sorted({"/".join(rng.choice(PARTS) for _ in range(rng.randint(1, 5))) for _ in range(120)})
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    rules = many_rules(rng, 40)
+    monkeypatch.setattr(P, "MANY", 500)
+    one_by_one = [
+        (set(left(df.where(P.excluded_by(spark, F.col("path"), [r])))), set(left(P.include(df, [r.lstrip("/")])))) for r in rules[:12]
+    ]
+    monkeypatch.setattr(P, "MANY", 0)
+    for rule, (gone, kept) in zip(rules, one_by_one):
+        assert set(left(df.where(P.excluded_by(spark, F.col("path"), [rule])))) == gone, rule
+        assert set(left(P.include(df, [rule.lstrip("/")]))) == kept, rule
+    monkeypatch.setattr(P, "MANY", 500)
+    together = left(P.exclude(df, rules)), left(P.include(df, rules))
+    monkeypatch.setattr(P, "MANY", 3)
+    assert (left(P.exclude(df, rules)), left(P.include(df, rules))) == together
+
+
+def test_ten_thousand_rules_in_one_predicate(spark, capsys):
+    rng = random.Random(9)
+    rules = [f"gen{i}" if i % 3 else f"gen{i}*.tmp" if i % 2 else f"*.x{i}" for i in range(9_900)] + many_rules(rng, 100)
+    paths = [f"src/gen{i}/f{i}.x{i + 5}" for i in range(0, 400, 7)] + ["src/keep.md", "k/gen6q.tmp", "k/gen9q.tmp", "m.x8", "m.x9"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    rows = P.pattern_rules(P.read_patterns(spark, rules)).collect()
+    literal = {r["pattern"]: r["dir_only"] for r in rows if r["root_relative"]}
+    regexes = [re.compile(r["regex"]) for r in rows if r["regex"]]
+    want = [
+        p
+        for p in paths
+        if not any(x.search(p) for x in regexes)
+        and not any(p.startswith(f"{d}/") or (p == d and not only) for d, only in literal.items())
+    ]
+    kept = P.exclude(df, rules)
+    assert left(kept) == sorted(want)
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.globs import glob_regex, is_rule
+from textloom.functions.path_rules import Glob, by_parts, matcher
 from textloom.functions.text import strip, strip_leading_dots
 from textloom.plans.ordering import any_of
 from textloom.plans.storage import read_lines
@@ -20,8 +21,10 @@ from textloom.plans.storage import read_lines
 # Directories left out of a listing by default.
 EXCLUDED_DIRS = [".git", "__pycache__", ".venv", "venv", "node_modules", ".pytest_cache"]
 
-# Globs joined into one regular expression; a longer list becomes several.
+# Globs joined into one regular expression ...
 GLOBS_AT_ONCE = 500
+# ... and the length of a list from which on an automaton over path parts takes their place.
+MANY = 500
 
 
 def outside_dirs(path: Column, names: Sequence[str] = EXCLUDED_DIRS) -> Column:
@@ -70,10 +73,16 @@ def prefixes(path: Column) -> Column:
     )
 
 
-def _matches_any(path: Column, regexes: set[str]) -> list[Column]:
-    """Predicates that hold if one of the regular expressions matches, a bounded number of them in each."""
-    found = sorted(regexes)
-    return [path.rlike("|".join(found[i : i + GLOBS_AT_ONCE])) for i in range(0, len(found), GLOBS_AT_ONCE)]
+def _matches_any(path: Column, rules: dict[str, Glob]) -> list[Column]:
+    """Predicates that hold if one of the rules matches, given as regular expressions with their globs.
+
+    A short list stays a regular expression. Of a long one only globs that
+    cannot be taken part by part do, a bounded number of them in each.
+    """
+    parted = {r: g for r, g in rules.items() if by_parts(g[0])} if len(rules) > MANY else {}
+    found = sorted(rules.keys() - parted.keys())
+    conditions = [path.rlike("|".join(found[i : i + GLOBS_AT_ONCE])) for i in range(0, len(found), GLOBS_AT_ONCE)]
+    return [matcher(sorted(parted.values()), path), *conditions] if parted else conditions
 
 
 def excluded_by(spark: SparkSession, path: Column, patterns: str | Sequence[str] | None) -> Column:
@@ -88,7 +97,8 @@ def excluded_by(spark: SparkSession, path: Column, patterns: str | Sequence[str]
         return F.lit(True)
     dirs = sorted({r["pattern"] for r in literal})
     whole = sorted({r["pattern"] for r in literal if not r["dir_only"]})
-    conditions = _matches_any(path, {r["regex"] for r in rules if not r["root_relative"]})
+    globs = {r["regex"]: (r["pattern"], True, r["dir_only"], True) for r in rules if not r["root_relative"]}
+    conditions = _matches_any(path, globs)
     if dirs:
         conditions.append(F.exists(prefixes(path), lambda p: p.isin(dirs)))
     if whole:
@@ -100,9 +110,11 @@ def included_by(spark: SparkSession, path: Column, patterns: str | Sequence[str]
     """True for paths that any inclusion glob matches, from the root or, unless it
     contains ``**``, at any depth."""
     glob = strip_leading_dots(F.col("line"))
-    depth = F.when(glob.contains("**"), F.lit("^")).otherwise(F.lit("(^|/)"))
-    found = read_patterns(spark, patterns).select(F.concat(depth, glob_regex(glob), F.lit("$")).alias("regex"))
-    return any_of(_matches_any(path, {r["regex"] for r in found.collect()}))
+    rooted = glob.contains("**")
+    depth = F.when(rooted, F.lit("^")).otherwise(F.lit("(^|/)"))
+    regex = F.concat(depth, glob_regex(glob), F.lit("$"))
+    found = read_patterns(spark, patterns).select(regex.alias("regex"), glob.alias("glob"), rooted.alias("rooted"))
+    return any_of(_matches_any(path, {r["regex"]: (r["glob"], not r["rooted"], False, False) for r in found.collect()}))
 
 
 def exclude(paths: DataFrame, patterns: str | Sequence[str] | None, path_col: str = "path") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import paths as P
+from textloom.plans.storage import scratch_path
 from textloom.queries.common import table, texts
 
 DIRS = ["fr", "de"]
@@ -50,7 +51,17 @@ def relative_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paths(spark, sf_dir).select("page_id", relative.alias("relative"))
 
 
+def exclude_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of rules: the keys of all customers as names, those of all suppliers with one more character."""
+    customers = table(spark, sf_dir, "customer").select(F.concat(F.col("c_custkey").cast("string"), F.lit("")).alias("line"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit("?")).alias("line"))
+    rules = scratch_path(spark, "rules")
+    customers.unionByName(suppliers).write.text(rules)
+    return P.exclude(_paths(spark, sf_dir), rules)
+
+
 QUERIES = {
+    "exclude_many": exclude_many,
     "paths_excl_dirs": paths_excl_dirs,
     "pattern_rules": pattern_rules,
     "exclude_root": _excluding(EXCLUDE_ROOT),
@@ -83,6 +94,10 @@ for _mark, _meaning in ((1, "(?:[^/]+/)*"), (2, ".*"), (3, "[^/]*"), (4, "[^"),
     _GLOB = f"replace({_GLOB}, chr({_mark}), '{_meaning}')"
 
 SQL = {
+    "exclude_many": f"""WITH {_PATHS}, parts AS (SELECT DISTINCT path, unnest(string_split(path, '/')) AS part FROM paths)
+SELECT page_id, path FROM paths WHERE path NOT IN (
+  SELECT path FROM parts WHERE part IN (SELECT c_custkey::VARCHAR FROM customer)
+  UNION ALL SELECT path FROM parts JOIN supplier ON part[:-2] = s_suppkey::VARCHAR AND length(part) > 1)""",
     "paths_excl_dirs": f"""WITH {_PATHS} SELECT page_id, path FROM paths
 WHERE NOT list_has_any(string_split(path, '/'), ['fr', 'de'])""",
     "pattern_rules": rf"""WITH lines AS (
