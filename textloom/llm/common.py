@@ -29,7 +29,7 @@ def bounded_batches(spark: SparkSession) -> None:
     The default of 64 MB is held several times over by either side of the pipe.
     """
     if spark.conf.get(_BATCH_BYTES) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH_BYTES, str(4 << 20))
+        spark.conf.set(_BATCH_BYTES, str(2 << 20))
 
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"

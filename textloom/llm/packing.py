@@ -25,8 +25,9 @@ from textloom.plans.storage import materialise
 
 CAPACITY = 2048
 SEPARATOR = 0
-# Words remembered by one task, and the longest kept.
+# Words remembered by one task, those of a task that packs whole documents besides, and the longest kept.
 MEMORY = 350_000
+PACK_MEMORY = 100_000
 LONG_WORD = 48
 # Marks that part from the letters before them, and the first character beyond plain Latin letters.
 MARKS = ".,;:!?"
@@ -109,10 +110,11 @@ class _WordIds(dict):
     takes the tokenizer's whole way.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
         self.marks: dict[str, bytes] = {"": b""}
@@ -141,7 +143,7 @@ class _WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         made = self._learn(word)
-        if len(self) < MEMORY and len(word) <= LONG_WORD:
+        if len(self) < self.remembered and len(word) <= LONG_WORD:
             self[word] = made
         return made
 
@@ -153,20 +155,20 @@ def _byte_characters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-def text_encoder(path: str) -> Callable[[bytes], np.ndarray]:
+def text_encoder(path: str, remembered: int = MEMORY) -> Callable[[bytes], np.ndarray]:
     """A function from UTF-8 text to token ids, without special tokens.
 
     The vocabulary drops white space, and neither its pattern nor its normaliser
     reaches over it, so a text is the concatenation of its words, each of which
     is encoded once per task.
     """
-    ids = _WordIds(path)
+    ids = _WordIds(path, remembered)
     return lambda text: np.frombuffer(b"".join(map(ids.__getitem__, text.split())), "<u4")
 
 
-def _piece_rows(path: str, capacity: int, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _piece_rows(path: str, capacity: int, text_col: str, remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(path)
+        encode = text_encoder(path, remembered)
         for batch in batches:
             held, size = [], 0
             for row, text in enumerate(batch.column(text_col)):
@@ -195,7 +197,9 @@ def _piece_rows(path: str, capacity: int, text_col: str) -> Callable[[Iterator[p
 MADE = ["piece", "start", "length", "ids", "sequence_id", "offset"]
 
 
-def pieces(docs: DataFrame, vocabulary: str, text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, text_col: str = "text", capacity: int = CAPACITY, remembered: int = MEMORY
+) -> DataFrame:
     """Tokenised documents, cut only where longer than ``capacity``.
 
     ``vocabulary`` is the path of a word-level vocabulary file, the same on all
@@ -209,7 +213,7 @@ def pieces(docs: DataFrame, vocabulary: str, text_col: str = "text", capacity: i
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias(text))
     fields = [f for f in rows.schema.fields if f.name != text]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["piece int", "start long", "length long", "ids binary"])
-    return rows.mapInArrow(_piece_rows(vocabulary, capacity, text), schema)
+    return rows.mapInArrow(_piece_rows(vocabulary, capacity, text, remembered), schema)
 
 
 def assign(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length_col: str = "length") -> DataFrame:
@@ -252,7 +256,7 @@ def pack(
     docs: DataFrame, vocabulary: str, order: list[str], text_col: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
     """Pieces of ``docs`` with ids and place: written once with their ids, placed without them."""
-    cut = pieces(docs, vocabulary, text_col, capacity)
+    cut = pieces(docs, vocabulary, text_col, capacity, PACK_MEMORY)
     row = fresh(cut, "_row")
     made = materialise(cut.withColumn(row, F.monotonically_increasing_id()), "tokens")
     keys = [f"_key{i}" for i in range(len(order))]
