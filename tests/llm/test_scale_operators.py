@@ -1,6 +1,7 @@
 """Packing, sharding, neighbours and the removal of repeats against brute force."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -135,6 +136,29 @@ def test_neighbours_against_brute_force(spark):
     assert [r["rank"] for r in few] == [1, 2, 3]
 
 
+@pytest.mark.parametrize("bound", [7, 10_000])
+def test_neighbours_with_repeated_rows_and_small_blocks(spark, monkeypatch, bound):
+    """All leaves visited: exact, whatever blocks of rows and queries they are cut into."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", bound)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", bound)
+    rng = np.random.default_rng(1)
+    rows = [(i % 60, [float(x) for x in rng.integers(-3, 4, 4) + 0.5]) for i in range(150)]
+    rows += [rows[0]] * 15 + [(0, rows[7][1]), (100, rows[0][1]), (100, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = neighbours.nearest(df, df.where("vec_id % 20 = 0"), visit=100.0).collect()
+    want = []
+    for i, (query, vector) in enumerate(rows):
+        if query % 20 == 0:
+            others = [(math.dist(vector, v), r) for j, (r, v) in enumerate(rows) if j != i]
+            want += [(query, n + 1, r, d) for n, (d, r) in enumerate(sorted(others)[:10])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got) == sorted(
+        (*w[:3], round(w[3], 9)) for w in want
+    )
+    # queries that are no rows of the table have no row of their own
+    far = spark.createDataFrame([(0, [9.0] * 4), (7, [0.0] * 4)], df.schema)
+    assert [r["rank"] for r in neighbours.nearest(df, far).collect()] == list(range(1, 11))
+
+
 def earlier_by_hand(rows):
     seen, out = set(), []
     for key, text in rows:

@@ -4,7 +4,9 @@ The trees are grown on a bounded sample and are small enough to go to every
 task; all vectors are then indexed by their leaf in each tree. A query searches
 all trees through one priority queue, nearest half-spaces first, until the
 leaves it reached hold enough vectors. Rows and queries meet by leaf, where
-distances are exact, and each leaf answers with its best few only.
+distances are exact, and each leaf answers with its best few only. Leaves are
+cut into blocks of rows and blocks of queries, so that no task holds more than
+one block of each. Leaves of all trees are numbered through.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ NEIGHBOURS = 10
 VISIT = 1.5
 # Rows of a leaf that meet its queries in one task; larger leaves are split.
 BLOCK_ROWS = 16_384
+# Queries of a leaf that meet its rows in one task; more of them meet the rows in several.
+BLOCK_QUERIES = 4_096
 SEED = 11
 
 
@@ -114,86 +118,99 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _block_of(ids: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-    spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+def _block_of(numbers: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    spread = (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
     return (spread % blocks.astype(np.uint64)).astype(np.int64)
 
 
-def _indexer(forest: list[Tree]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _indexer(forest: list[Tree], first: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _matrix(batch.column("vector"))
-            leaves = np.stack([t.leaf_of(vectors) for t in forest], axis=1).astype(np.int32)
+            leaves = np.stack([t.leaf_of(vectors) + f for t, f in zip(forest, first)], axis=1).astype(np.int32)
             ends = np.arange(0, leaves.size + 1, len(forest), dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vector"), lists], ["id", "vector", "leaves"])
+            yield _with_leaves(batch, ends, leaves.ravel())
 
     return run
 
 
-MEET = "tree int, leaf int, block int, id long, vector array<double>"
+def _searcher(forest, first, weights, enough) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            visited = [
+                [first[tree] + leaf for tree, leaf in search(forest, v, weights, enough)] for v in _matrix(batch.column("vector"))
+            ]
+            ends = np.cumsum([0, *map(len, visited)]).astype(np.int32)
+            yield _with_leaves(batch, ends, np.array([leaf for leaves in visited for leaf in leaves], np.int32))
 
+    return run
 
-def _meeting(ids: np.ndarray, vectors: pa.Array, rows: list[np.ndarray]) -> pa.RecordBatch:
-    which, tree, leaf, block = rows
-    taken = pa.array(which, pa.int64())
-    arrays = [pa.array(x, pa.int32()) for x in (tree, leaf, block)]
-    wide = vectors.take(taken).cast(pa.list_(pa.float64()))
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(ids[which], pa.int64()), wide], ["tree", "leaf", "block", "id", "vector"])
 
+def _with_leaves(batch: pa.RecordBatch, ends: np.ndarray, leaves: np.ndarray) -> pa.RecordBatch:
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves))
+    names = ["row", "id", "vector"]
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists], [*names, "leaves"])
 
-def _row_meetings(blocks: list[np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            leaves = batch.column("leaves").flatten().to_numpy().reshape(len(ids), -1)
-            for tree in range(leaves.shape[1]):
-                leaf = leaves[:, tree].astype(np.int64)
-                block = _block_of(ids, blocks[tree][leaf])
-                yield _meeting(ids, batch.column("vector"), [np.arange(len(ids)), np.full(len(ids), tree), leaf, block])
 
-    return run
+PLACE = ["leaf", "block", "ask"]
+MEET = "leaf int, block int, ask int, row long, id long, vector array<double>"
 
 
-def _query_meetings(forest, weights, blocks, enough) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _meeting(batch: pa.RecordBatch, which: np.ndarray, place: list[np.ndarray]) -> pa.RecordBatch:
+    taken = pa.array(which, pa.int64())
+    wide = batch.column("vector").take(taken).cast(pa.list_(pa.float64()))
+    arrays = [*(pa.array(x, pa.int32()) for x in place), batch.column("row").take(taken), batch.column("id").take(taken), wide]
+    return pa.RecordBatch.from_arrays(arrays, [*PLACE, "row", "id", "vector"])
+
+
+def _meetings(
+    blocks: np.ndarray, copies: np.ndarray, of_rows: bool
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each row, or query, in its own of the ``blocks`` of its leaves, once for each of the ``copies`` it meets there."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            vectors = _matrix(batch.column("vector"))
-            for at in range(0, len(ids), 64):
-                rows = []
-                for i in range(at, min(at + 64, len(ids))):
-                    for tree, leaf in search(forest, vectors[i], weights, enough):
-                        rows += [(i, tree, leaf, b) for b in range(int(blocks[tree][leaf]))]
-                if rows:
-                    yield _meeting(ids, batch.column("vector"), list(np.array(rows, np.int64).T))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096 if of_rows else 64):
+                batch = whole.slice(at, 4096 if of_rows else 64)
+                lists = batch.column("leaves")
+                which = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+                leaf = lists.flatten().to_numpy()
+                number = batch.column("row").to_numpy()[which]
+                own = _block_of(number, np.maximum(blocks[leaf], 1))
+                for other in range(int(copies[leaf].max(initial=0))):
+                    met = copies[leaf] > other
+                    facing = np.full(met.sum(), other)
+                    sides = [own[met], facing] if of_rows else [facing, own[met]]
+                    yield _meeting(batch, which[met], [leaf[met], *sides])
 
     return run
 
 
+_FOUND = "query long, query_id long, row long, vec_id long, score double"
+
+
 def _answers(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The k nearest rows of a block for each of its queries, with exact distances."""
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
         if rows.num_rows and queries.num_rows:
-            ids = rows.column("id").to_numpy()
+            numbers, ids = rows.column("row").to_numpy(), rows.column("id").to_numpy()
             vectors = _matrix(rows.column("vector").combine_chunks())
             asked = _matrix(queries.column("vector").combine_chunks())
-            for query_id, query in zip(queries.column("id").to_numpy(), asked):
+            for number, query_id, query in zip(queries.column("row").to_numpy(), queries.column("id").to_numpy(), asked):
                 difference = vectors - query
                 score = np.sqrt(np.einsum("ij,ij->i", difference, difference))
-                near = np.flatnonzero(ids != query_id)
+                near = np.arange(len(ids))
                 if len(near) > k:
-                    near = near[score[near] <= np.partition(score[near], k - 1)[k - 1]]
-                near = near[np.lexsort((ids[near], score[near]))][:k]
-                out_q.append(np.full(len(near), query_id))
-                out_v.append(ids[near])
-                out_s.append(score[near])
-        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
-        return pa.table(
-            [join(out_q, pa.int64()), join(out_v, pa.int64()), join(out_s, pa.float64())], ["query_id", "vec_id", "score"]
-        )
+                    near = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1])
+                near = near[np.lexsort((numbers[near], ids[near], score[near]))][:k]
+                found = (np.full(len(near), number), np.full(len(near), query_id), numbers[near], ids[near], score[near])
+                for part, values in zip(parts, found):
+                    part.append(values)
+        names = ["query", "query_id", "row", "vec_id", "score"]
+        kinds = [pa.int64()] * 4 + [pa.float64()]
+        return pa.table([pa.array(np.concatenate(p) if p else [], kind) for p, kind in zip(parts, kinds)], names)
 
     return run
 
@@ -210,9 +227,11 @@ def nearest(
     """(query_id, rank, vec_id, score): the k nearest rows found for every query, ties to smaller ids.
 
     Rows with a null id, and vectors that are null, zero, hold null or non-finite
-    components or have another length than most, take no part. A row is no
-    candidate for a query with its own id. Copies of one vector are all
-    candidates; in the search they weigh as one.
+    components or have another length than most, take no part. Of the rows with a
+    query's id and its vector, one is the query itself and no candidate; all other
+    rows are, repeated ids and copies included, and each gives an answer of its
+    own. Queries that share an id are answered one by one. Copies of one vector
+    weigh as one in the search.
     """
     def clean(df: DataFrame) -> DataFrame:
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(
@@ -229,27 +248,41 @@ def nearest(
     sample = np.stack([np.asarray(v, np.float64) for v in picked])
     rng = np.random.default_rng(SEED)
     forest = [grow(sample, rng) for _ in range(trees)]
+    first = [sum(t.leaves for t in forest[:i]) for i in range(trees)]
+    leaves = sum(t.leaves for t in forest)
+
+    def written(df: DataFrame, place: Callable, label: str) -> DataFrame:
+        """With a number that tells repeated rows apart, and leaves; frozen by being written."""
+        kind = df.schema["vector"].dataType.simpleString()
+        numbered = df.select(F.monotonically_increasing_id().alias("row"), "id", "vector")
+        return materialise(numbered.mapInArrow(place, f"row long, id long, vector {kind}, leaves array<int>"), label)
 
-    kind = rows.schema["vector"].dataType.simpleString()
-    indexed = materialise(rows.mapInArrow(_indexer(forest), f"id long, vector {kind}, leaves array<int>"), "leaves")
+    indexed = written(rows, _indexer(forest, first), "leaves")
     # one row per leaf of the forest, whose size is bounded by the sample
-    by_leaf = indexed.select(F.posexplode("leaves").alias("tree", "leaf"), F.xxhash64("vector").alias("v"))
-    sizes = by_leaf.groupBy("tree", "leaf", "v").agg(F.count("*").alias("n")).groupBy("tree", "leaf").agg(
+    by_leaf = indexed.select(F.explode("leaves").alias("leaf"), F.xxhash64("vector").alias("v"))
+    sizes = by_leaf.groupBy("leaf", "v").agg(F.count("*").alias("n")).groupBy("leaf").agg(
         F.count("*").alias("distinct"), F.sum("n").alias("n")
     )
-    weights = [np.zeros(t.leaves) for t in forest]
-    blocks = [np.ones(t.leaves, np.int64) for t in forest]
+    weight, blocks, asks = np.zeros(leaves), np.zeros(leaves, np.int64), np.zeros(leaves, np.int64)
     for r in sizes.collect():
-        weights[r["tree"]][r["leaf"]] = r["distinct"]
-        blocks[r["tree"]][r["leaf"]] = -(-r["n"] // BLOCK_ROWS)
-    enough = visit * weights[0].sum()
-
-    left = indexed.mapInArrow(_row_meetings(blocks), MEET)
-    right = asked.mapInArrow(_query_meetings(forest, weights, blocks, enough), MEET)
-    place = ["tree", "leaf", "block"]
-    found = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(_answers(k), "query_id long, vec_id long, score double")
+        weight[r["leaf"]] = r["distinct"]
+        blocks[r["leaf"]] = -(-r["n"] // BLOCK_ROWS)
+    weights = [weight[f : f + t.leaves] for f, t in zip(first, forest)]
+    searched = written(asked, _searcher(forest, first, weights, visit * weights[0].sum()), "visits")
+    visits = searched.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n"))
+    for r in visits.collect():
+        asks[r["leaf"]] = -(-r["n"] // BLOCK_QUERIES)
+
+    left = indexed.mapInArrow(_meetings(blocks, asks, of_rows=True), MEET)
+    right = searched.mapInArrow(_meetings(asks, blocks, of_rows=False), MEET)
+    # one more than asked for: the query itself may be among them
+    found = left.groupBy(*PLACE).cogroup(right.groupBy(*PLACE)).applyInArrow(_answers(k + 1), _FOUND)
     # the same row comes from several trees
-    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    once = found.groupBy("query", "query_id", "row", "vec_id").agg(F.min("score").alias("score"))
+    of_query = Window.partitionBy("query")
+    order = F.row_number().over(of_query.orderBy("score", "vec_id", "row"))
+    ranked = once.withColumn("rank", order).where(F.col("rank") <= k + 1)
+    itself = F.min(F.when((F.col("vec_id") == F.col("query_id")) & (F.col("score") == 0), F.col("rank"))).over(of_query)
+    others = ranked.withColumn("itself", F.coalesce(itself, F.lit(k + 1))).where(F.col("rank") != F.col("itself"))
+    rank = (F.col("rank") - (F.col("rank") > F.col("itself")).cast("int")).cast("int").alias("rank")
+    return others.select("query_id", rank, "vec_id", "score")
