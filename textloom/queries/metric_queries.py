@@ -13,6 +13,7 @@ from textloom.operators import metrics as M
 from textloom.plans.ordering import rank_within
 from textloom.plans.storage import scratch_path
 from textloom.queries.common import rounded, table
+from textloom.streaming.metric_state import history_table, keep_history, stream_metric_history, stream_running_best, typed_state
 from textloom.streaming.metric_stream import keep_latest_checkpoint, latest_table, run_to_table, stream_metric_windows
 
 EVERY = 10
@@ -75,11 +76,34 @@ def running_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.running_best(_log(spark, sf_dir)).select("run", "step", rounded("value"), rounded("best"))
 
 
-def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def running_best_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as files in no order, read as a stream of two micro-batches."""
+    source, sink = scratch_path(spark, "log"), scratch_path(spark, "best")
+    log = _log(spark, sf_dir)
+    log.repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    with typed_state(spark):
+        run_to_table(stream_running_best(stream), sink, scratch_path(spark, "stream"))
+    return spark.read.parquet(sink).select("run", "step", rounded("value"), rounded("best"))
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The step is the day; the last value of a kind on a day stays."""
     day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    log = _events(spark, sf_dir, day.alias("step"), F.col("event_type").alias("metric"), "value", F.col("event_id").alias("seq"))
-    return M.metric_history(log, EVENT_METRICS)
+    return _events(spark, sf_dir, day.alias("step"), F.col("event_type").alias("metric"), "value", F.col("event_id").alias("seq"))
+
+
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.metric_history(_daily(spark, sf_dir), EVENT_METRICS)
+
+
+def metric_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, sink = scratch_path(spark, "log"), scratch_path(spark, "history")
+    log = _daily(spark, sf_dir)
+    log.repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    keep_history(stream_metric_history(stream, EVENT_METRICS), sink, scratch_path(spark, "stream"))
+    return history_table(spark, sink)
 
 
 def _checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +159,9 @@ QUERIES = {
     "validation_steps": validation_steps,
     "capped_eval": capped_eval,
     "running_best": running_best,
+    "running_best_stream": running_best_stream,
     "metric_history": metric_history,
+    "metric_history_stream": metric_history_stream,
     "latest_checkpoint": latest_checkpoint,
     "latest_checkpoint_stream": latest_checkpoint_stream,
     "artifact_versions": artifact_versions,
@@ -152,6 +178,13 @@ losses AS (
 _WINDOW = f"""WITH {_LOG}
 SELECT run, (w + 1) * 10 AS step, round(avg(value), 6) AS train_loss, round(exp(avg(value)), 6) AS train_perplexity
 FROM (SELECT *, (step - 1) // 10 AS w FROM log) GROUP BY run, w HAVING count(*) = 10"""
+_BEST = f"""WITH {_LOG}
+SELECT run, step, round(value, 6) AS value, round(min(value) OVER (PARTITION BY run ORDER BY step), 6) AS best FROM log"""
+_HISTORY = (
+    "SELECT user_id AS run, date_diff('day', DATE '1970-01-01', ts::DATE) AS step, "
+    + ", ".join(f"max_by(value, event_id) FILTER (event_type = '{m}') AS \"{m}\"" for m in EVENT_METRICS)
+    + " FROM events GROUP BY 1, 2"
+)
 _LATEST = """SELECT user_id AS run, max(event_id) AS step, round(max_by(value / 100, event_id), 6) AS val_loss,
   max_by(props, event_id) AS payload_ref FROM events GROUP BY user_id"""
 _VERSIONS = """versions AS (
@@ -168,11 +201,10 @@ SELECT count(*) AS n, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS p
     "capped_eval": f"""WITH {_LOSSES}
 SELECT count(*) AS n, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity
 FROM (SELECT vec_id // 32 AS batch_id, avg(loss) AS loss FROM losses GROUP BY 1 ORDER BY 1 LIMIT 10)""",
-    "running_best": f"""WITH {_LOG}
-SELECT run, step, round(value, 6) AS value, round(min(value) OVER (PARTITION BY run ORDER BY step), 6) AS best FROM log""",
-    "metric_history": "SELECT user_id AS run, date_diff('day', DATE '1970-01-01', ts::DATE) AS step, "
-    + ", ".join(f"max_by(value, event_id) FILTER (event_type = '{m}') AS \"{m}\"" for m in EVENT_METRICS)
-    + " FROM events GROUP BY 1, 2",
+    "running_best": _BEST,
+    "running_best_stream": _BEST,
+    "metric_history": _HISTORY,
+    "metric_history_stream": _HISTORY,
     "latest_checkpoint": _LATEST,
     "latest_checkpoint_stream": _LATEST,
     "artifact_versions": f"WITH {_VERSIONS} SELECT name, version, path, created_step FROM versions",
