@@ -188,3 +188,93 @@ def test_numbered_in_file_order_over_many_splits(spark):
     spark.range(500).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("value")).repartitionByRange(7, "value").sortWithinPartitions("value").write.text(path)
     rows = files.number_rows(files.scan(spark, path, "txt", keep_order=True)).collect()
     assert sorted((r["row_id"], int(r["text"])) for r in rows) == [(i, i) for i in range(500)]
+
+
+ODD_CSV = 'n,text\n1,"two\nlines"\n\n2,short\n3\n4,a,b,c\n5,"quote ""q"""\n,\n6,last\n'
+ODD_JSON = '{"n": 1, "text": "a"}\n\n{"n": 2\n[{"n": 3, "text": "c"}, {"n": 4, "text": "d"}]\n{"text": "no n"}\n{"n": "x", "text": "e"}\n'
+
+
+@pytest.mark.parametrize("filetype, content, schema", [
+    ("csv", ODD_CSV, None),
+    ("csv", ODD_CSV, "n int, text string"),
+    ("json", ODD_JSON, None),
+    ("json", ODD_JSON, "n int, text string"),
+    ("txt", "a\n\n  \nb\r\nc", None),
+])
+def test_numbers_do_not_depend_on_the_columns_read(spark, tmp_path, filetype, content, schema):
+    for name in "abc":
+        (tmp_path / f"{name}.{filetype}").write_text(content)
+    scanned = files.scan(spark, str(tmp_path), filetype, schema, keep_order=True)
+    written, n_written = files.numbered(scanned, frozen=True)
+    read, n_read = files.numbered(scanned)
+    assert n_read == n_written == written.count() == read.count()
+    for columns in (["row_id"], ["row_id", "text"], read.columns):
+        got = sorted(map(str, read.select(*columns).collect()))
+        assert got == sorted(map(str, written.select(*columns).collect()))
+    assert [r[0] for r in read.select("row_id").orderBy("row_id").collect()] == list(range(n_read))
+
+
+def _parquet_in_order(spark, path, rows=20_000):
+    df = spark.range(rows).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    writer = df.repartitionByRange(3, "id").sortWithinPartitions("id").write
+    writer.option("parquet.block.size", 16_384).option("parquet.page.size", 2_048).parquet(path)
+
+
+def test_parquet_numbers_survive_splits_and_pushed_filters(spark):
+    path = scratch_path(spark, "indexed")
+    _parquet_in_order(spark, path)
+    changed = {"spark.sql.files.maxPartitionBytes": "30000", "spark.sql.files.minPartitionNum": "1"}
+    numbered = files.number_rows(files.scan(spark, path, "parquet", keep_order=True))
+    before = {name: spark.conf.get(name, None) for name in changed}
+    try:
+        for name, value in changed.items():  # split otherwise than when the rows were counted
+            spark.conf.set(name, value)
+        assert numbered.where("row_id != id").count() == 0
+        some = numbered.where("id BETWEEN 12345 AND 12350 OR id = 7").select("row_id", "text")
+        assert sorted(r["row_id"] for r in some.collect()) == [7, *range(12345, 12351)]
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(id,12345)" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_rows_split_otherwise_than_counted_are_noticed(spark):
+    path = scratch_path(spark, "moved")
+    spark.range(20_000).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(path)
+    numbered = files.number_rows(files.scan(spark, path, "txt", keep_order=True))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        with pytest.raises(Exception, match="frozen=True"):
+            numbered.select(F.sum("row_id")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_numbering_writes_one_row_per_split(spark, monkeypatch):
+    path = scratch_path(spark, "narrow")
+    _parquet_in_order(spark, path)
+    kept = []
+
+    def noted(df, label):
+        kept.append(materialise(df, label))
+        return kept[-1]
+
+    monkeypatch.setattr(files, "materialise", noted)
+    train, validation = datasets.dataset_from_config(spark, {"data_dir": path, "type": "parquet"})
+    assert (train.count(), validation.count()) == (18_000, 2_000)
+    assert [k.count() for k in kept] == [3]
+
+
+def test_readers_that_drop_rows_are_numbered_as_written(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,text\n1,a\nbad,b\n3,c\n")
+    config = {"data_dir": str(tmp_path), "type": "csv", "schema": "n int, text string", "train_ratio": 1}
+    train = datasets.dataset_from_config(spark, {**config, "options": {"mode": "dropMalformed"}}, split="train")
+    assert sorted((r["row_id"], r["text"]) for r in train.select("row_id", "text").collect()) == [(0, "a"), (1, "c")]
+
+
+def test_no_rows_at_all(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("")
+    numbered, rows = files.numbered(files.scan(spark, str(tmp_path), "txt", keep_order=True))
+    assert rows == 0 and numbered.collect() == [] and numbered.columns == ["text", "row_id"]

@@ -22,11 +22,16 @@ def train_predicate(df: DataFrame, keys: list[str], ratio: float = DEFAULT_RATIO
 
 
 def split_by_hash(
-    df: DataFrame, keys: list[str], ratio: float = DEFAULT_RATIO, seed: int = DEFAULT_SEED
+    df: DataFrame,
+    keys: list[str],
+    ratio: float = DEFAULT_RATIO,
+    seed: int = DEFAULT_SEED,
+    key_table: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with ``split`` = train or validation. Membership is a filter on
-    literals found from the key column alone; the rows themselves do not move."""
-    is_train = train_predicate(df, keys, ratio, seed)
+    literals found from the key column alone; the rows themselves do not move.
+    A ``key_table`` that holds the same keys saves reading ``df`` for them."""
+    is_train = train_predicate(df if key_table is None else key_table, keys, ratio, seed)
     return df.withColumn("split", F.when(is_train, F.lit("train")).otherwise(F.lit("validation")))
 
 

@@ -133,7 +133,8 @@ def running_total(df: DataFrame, order: list[str], value: str, carry: Sequence[s
     Rows are range-partitioned and written sorted; sums inside a partition come
     from a window over it, those of earlier partitions from one row each.
     """
-    sorted_rows = df.select(*order, value, *carry).repartitionByRange(*order).sortWithinPartitions(*order)
+    columns = dict.fromkeys([*order, value, *carry])
+    sorted_rows = df.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialise(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "running-total")
     part = F.shiftright("_place", 33)
     sums = sorted((r[0], r[1]) for r in placed.groupBy(part).agg(F.sum(value)).collect())

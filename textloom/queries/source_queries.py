@@ -10,15 +10,15 @@ from textloom.plans.storage import materialise, scratch_path
 from textloom.queries.common import MARKED_SQL, N_MERGES, documents, fit_sql, texts, tokenizer, with_sql
 from textloom.sources.artifacts import load_model, load_or_train, load_or_train_from_config, save_model
 from textloom.sources.datasets import dataset_from_config, select_config
-from textloom.sources.files import scan, sorted_files
+from textloom.sources.files import number_rows, scan, sorted_files
 from textloom.sources.registry import resolve
 from textloom.sources.sinks import read_corpus, write_corpus
 from textloom.sources.snapshots import scan_snapshot
 
-# Text goes out as it is, quotes doubled.
 # Files that a language is written to, at most.
 FILES_PER_LANG = 32
 
+# Text goes out as it is, quotes doubled.
 _CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -61,6 +61,26 @@ def scan_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, path, "txt").groupBy(F.md5("text").alias("line_md5")).agg(F.count("*").alias("n_lines"))
 
 
+def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+
+
+def numbered_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet rows by their place in file order, found from the files' row counts."""
+    path = scratch_path(spark, "corpus-in-order")
+    _in_order(spark, sf_dir).write.parquet(path)
+    rows = number_rows(scan(spark, path, "parquet", keep_order=True))
+    return rows.select("row_id", F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"))
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text files by their place in file order, found from the splits' line counts."""
+    path = scratch_path(spark, "lines-in-order")
+    _in_order(spark, sf_dir).select("text").write.text(path)
+    rows = number_rows(scan(spark, path, "txt", keep_order=True))
+    return rows.select("row_id", F.md5("text").alias("line_md5"))
+
+
 def _snapshot(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "snapshots")
     documents(spark, sf_dir).write.parquet(f"{root}/corpus/train")
@@ -83,8 +103,7 @@ def config_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A local CSV configuration; rows are numbered in file order."""
     path = scratch_path(spark, "corpus-csv")
-    in_order = documents(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    in_order.write.options(**_CSV).csv(path)
+    _in_order(spark, sf_dir).write.options(**_CSV).csv(path)
     catalogue = {
         "select": "csv_corpus",
         "configs": {"csv_corpus": {"source": "local", "data_dir": path, "type": "csv", "train_ratio": 0.8}},
@@ -167,6 +186,8 @@ QUERIES = {
     "scan_json": scan_json,
     "scan_parquet": scan_parquet,
     "scan_txt": scan_txt,
+    "numbered_parquet": numbered_parquet,
+    "numbered_lines": numbered_lines,
     "scan_snapshot": snapshot,
     "dataset_from_config": config_local,
     "dataset_from_snapshot_config": config_snapshot,
@@ -189,6 +210,11 @@ SQL = {
     "scan_snapshot": _CHECKED_SQL,
     "scan_txt": """SELECT md5(line) AS line_md5, count(*) AS n_lines
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""",
+    "numbered_parquet": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, md5(text) AS text_md5
+FROM documents""",
+    "numbered_lines": """SELECT row_number() OVER (ORDER BY doc_id, place) - 1 AS row_id, md5(line) AS line_md5
+FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""",
     "dataset_from_config": """WITH numbered AS (
   SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, text FROM documents),
 ranked AS (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.split import DEFAULT_RATIO, DEFAULT_SEED, split_by_hash
-from textloom.sources.files import number_rows, scan, with_file_order
+from textloom.sources.files import numbered, scan, with_file_order
 from textloom.sources.snapshots import scan_snapshot
 
 # The fields each source needs, by the source's name.
@@ -44,7 +44,7 @@ def read_source(spark: SparkSession, config: dict[str, Any]) -> DataFrame:
         split = "train" if source == "modelscope" else None
         df = scan_snapshot(spark, config["dataset_id"], config["data_dir"], split)
         if not key:
-            df = with_file_order(df)
+            df = with_file_order(df, indexed=True)
     if "text" not in df.columns:
         raise ValueError("the dataset has no 'text' column")
     return df
@@ -56,14 +56,18 @@ def dataset_from_config(
     """(train, validation), or just the one that ``split`` names.
 
     Rows are identified by ``key`` when the configuration names a unique column,
-    otherwise by a dense ``row_id`` over file order.
+    otherwise by a dense ``row_id`` over file order; the files are then read once
+    to count their rows, and the split is found from the ids alone.
     """
     df = read_source(spark, config)
     key = config.get("key")
+    ids = None
     if not key:
-        df, key = number_rows(df), "row_id"
+        mode = {k.lower(): v for k, v in (config.get("options") or {}).items()}.get("mode", "")
+        df, rows = numbered(df, frozen=mode.upper() == "DROPMALFORMED")
+        key, ids = "row_id", spark.range(rows).toDF("row_id")
     ratio = float(config.get("train_ratio", DEFAULT_RATIO))
-    marked = split_by_hash(df, [key], ratio, seed)
+    marked = split_by_hash(df, [key], ratio, seed, key_table=ids)
     parts = {name: marked.where(F.col("split") == name).drop("split") for name in ("train", "validation")}
     if split is None:
         return parts["train"], parts["validation"]

@@ -26,6 +26,8 @@ READERS = {
 
 ORDER_COLUMNS = ("_file", "_block", "_line")
 
+_MIN_SPLITS = "spark.sql.files.minPartitionNum"
+
 
 def scan(
     spark: SparkSession,
@@ -65,29 +67,59 @@ def scan(
     df = source.load(place)
     if filetype == "txt":
         df = df.withColumnRenamed("value", "text")
-    return with_file_order(df) if keep_order else df
+    return with_file_order(df, indexed=reader == "parquet") if keep_order else df
+
 
+def with_file_order(scanned: DataFrame, indexed: bool = False) -> DataFrame:
+    """A file scan with the ORDER_COLUMNS: file, start of the split, counter within the split.
 
-def with_file_order(scanned: DataFrame) -> DataFrame:
-    """A file scan with the ORDER_COLUMNS: file, start of the split, counter within the split."""
-    values = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    ``indexed`` scans (Parquet) know each row's place in its file, whatever
+    splits it is read in; there the split's start is 0.
+    """
+    file = F.col("_metadata.file_path")
+    if indexed:
+        values = (file, F.lit(0).cast("bigint"), F.col("_metadata.row_index"))
+    else:
+        values = (file, F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     return scanned.select("*", *[v.alias(name) for v, name in zip(values, ORDER_COLUMNS)])
 
 
-def number_rows(ordered: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """A scan with order columns, numbered from 0 in file order instead.
+_MOVED = "rows do not stand where they were counted: files or split settings changed; number them with frozen=True"
+
+
+def number_rows(ordered: DataFrame, id_col: str = "row_id", frozen: bool = False) -> DataFrame:
+    """A scan with order columns, numbered from 0 in file order instead."""
+    return numbered(ordered, id_col, frozen)[0]
+
+
+def numbered(ordered: DataFrame, id_col: str = "row_id", frozen: bool = False) -> tuple[DataFrame, int]:
+    """A scan with order columns, numbered from 0 in file order instead, and the number of rows.
 
-    The table is written once, as it was read: rows of one split keep their
-    order, so the id is the split's first id plus the place in the split. The
-    splits' first ids are running totals over one row per split.
+    The scan is read twice and nothing of it is written or moved: first rows
+    are counted per split, then a row's id is its split's first id plus its
+    place in the split. Splits are those of the whole file for Parquet, whose
+    ids do not depend on how it is read. Other files must be split alike both
+    times, so the split settings are held fixed for the session
+    (``spark.sql.files.minPartitionNum``, otherwise taken from the cores at
+    hand); a row outside the places counted fails the query. ``frozen`` writes the table
+    instead and numbers what was written, for a reader that drops rows
+    depending on the columns asked for (CSV and JSON with mode DROPMALFORMED).
     """
-    frozen = materialise(ordered, "scan")  # the line counter depends on how files were packed into tasks
+    spark = ordered.sparkSession
+    if frozen:
+        ordered = materialise(ordered, "scan")
+    elif spark.conf.get(_MIN_SPLITS, None) is None:
+        spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
     file, block, line = ORDER_COLUMNS
-    splits = frozen.groupBy(file, block).agg(F.min(line).alias("_first"), F.count("*").alias("_n"))
-    totals = running_total(splits, [file, block], "_n", carry=["_first"])
-    shifts = materialise(totals.select(file, block, (F.col("_before") - F.col("_first")).alias("_shift")), "splits")
-    numbered = lookup_join(frozen, shifts, [file, block], salt_by=[line])
-    return numbered.withColumn(id_col, F.col(line) + F.col("_shift")).drop(*ORDER_COLUMNS, "_shift")
+    splits = ordered.groupBy(file, block).agg(F.min(line).alias("_first"), F.count("*").alias("_n"))
+    totals = running_total(splits, [file, block], "_n", carry=["_first", "_n"])
+    starts = materialise(totals, "splits")
+    met = lookup_join(ordered, starts, [file, block], salt_by=[line], how="left")
+    place = F.col(line) - F.col("_first")
+    stands = (place >= 0) & (place < F.col("_n"))
+    row_id = F.when(stands, F.col("_before") + place).otherwise(F.raise_error(F.lit(_MOVED)).cast("bigint"))
+    rows = starts.agg(F.sum("_n")).first()[0] or 0
+    return met.withColumn(id_col, row_id).drop(*ORDER_COLUMNS, "_first", "_n", "_before"), rows
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
