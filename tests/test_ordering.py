@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from textloom.operators import split as S
 from textloom.plans import lookup as L
 from textloom.plans import ordering as O
-from textloom.plans.lookup import lookup_join
+from textloom.plans.lookup import lookup_join, spread_join
+from textloom.plans.storage import materialise
 
 
 def digest(key, seed=42):
@@ -110,3 +111,32 @@ def test_no_window_without_partition_keys(spark, capsys):
         frame.explain()
         plan = capsys.readouterr().out
         assert "Window" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("hot", [4_096, 50])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join(spark, monkeypatch, hot, how):
+    monkeypatch.setattr(L, "HOT_FACTS", hot)
+    rows = [(i, None if i % 50 == 0 else 7 if i % 3 else i % 40) for i in range(3000)]
+    facts = materialise(spark.createDataFrame(rows, "i long, k int"), "facts")
+    names = spark.createDataFrame([(k, f"name {k}") for k in range(30)], "k int, name string")
+    joined = spread_join(facts, names, "k", ["i"], how)
+    want = [(i, k, f"name {k}" if k is not None and k < 30 else None) for i, k in rows]
+    want = [w for w in want if how == "left" or w[2]]
+    assert sorted(map(tuple, joined.select("i", "k", "name").collect())) == sorted(want)
+    assert sorted(joined.columns) == ["i", "k", "name"]
+    none = spread_join(materialise(facts.limit(0), "facts"), names, "k", ["i"], how)
+    assert none.count() == 0
+
+
+def test_spread_join_deals_a_hot_key_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT_FACTS", 100)
+    facts = materialise(spark.range(10_000).select("id", F.lit(1).alias("k")), "facts")
+    names = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string").hint("merge")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = spread_join(facts, names, "k", ["id"]).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(t["count"] for t in tasks) == 10_000 and max(t["count"] for t in tasks) < 5_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.plans.storage import materialise
+
 # Bytes of lookup data worth broadcasting.
 BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
+# A key of more facts than this, and than its even share among HOT_KEYS keys, is hot.
+HOT_FACTS = 4_096
+HOT_KEYS = 10_000
+
 
 def _width(field: T.StructField) -> Column:
     """Bytes that a value takes in memory, about."""
@@ -51,3 +57,27 @@ def lookup_join(
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def spread_join(facts: DataFrame, lookup: DataFrame, key: str, salt_by: list[str], how: str = "inner") -> DataFrame:
+    """Join ``facts``, a written table, to ``lookup`` (unique on ``key``), however many facts a key has.
+
+    Facts are counted per key first. Hot keys, fewer than HOT_KEYS by their
+    definition, are told to all tasks with a number of parts; their facts are
+    dealt to parts by ``salt_by``, and only their lookup rows are repeated.
+    Neither side is broadcast, and without hot keys it is a plain join.
+    """
+    counts = facts.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
+    most = max(HOT_FACTS, facts.count() // HOT_KEYS)
+    parts = F.ceil(F.col("_n") / most).cast("int").alias("_parts")
+    hot = materialise(counts.where((F.col("_n") > most) & F.col("_hot").isNotNull()).select("_hot", parts), "hot-keys")
+    if not hot.limit(1).count():
+        return facts.join(lookup, key, how)
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").drop("_hot")
+
+    many = F.coalesce("_parts", F.lit(1))
+    dealt = marked(facts).withColumn("_part", F.pmod(F.xxhash64(*salt_by), many).cast("int")).drop("_parts")
+    repeated = marked(lookup).withColumn("_part", F.explode(F.sequence(F.lit(0), many - 1))).drop("_parts")
+    return dealt.join(repeated, [key, "_part"], how).drop("_part")
