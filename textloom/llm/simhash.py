@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import bounded_batches, fresh
 from textloom.llm.components import components
-from textloom.plans.storage import materialise
+from textloom.plans.lookup import spread_join
+from textloom.plans.storage import discard, materialise
 
 SHINGLE = 3
 SEED = 42
@@ -177,12 +178,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     edges = materialise(near_edges(distinct).distinct(), "simhash-edges")
     root = components(edges)
+    discard(edges)
     linked = distinct.join(root, distinct["fp"] == root["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = linked.join(smallest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    # copies share a fingerprint, and one of them may stand in a third of all rows
+    return spread_join(rows, classes, "fp", ["id"]).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_first(
