@@ -6,7 +6,8 @@ import pytest
 
 import corpus_pipeline
 from test_text_operators import documents
-from textloom.llm import near_copies
+from textloom.llm import near_copies, simhash
+from textloom.plans import lookup
 
 
 def shingles(text):
@@ -54,3 +55,15 @@ def test_the_stage_keeps_one_of_each_component(spark):
     texts = edited()
     kept = corpus_pipeline.drop_near_copies(spark, documents(spark, texts), "").collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(by_hand(texts)))
+
+
+def test_many_copies_of_one_text(spark, monkeypatch):
+    """A text that most rows share is dealt to parts; no row is lost or repeated."""
+    monkeypatch.setattr(lookup, "HOT_FACTS", 5)
+    texts = edited() + ["one text that most of the rows have"] * 90
+    want = dict(enumerate(by_hand(texts)))
+    got = near_copies.near_copies(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(texts)
+    found = simhash.near_duplicates(documents(spark, texts)).collect()
+    copies = {r["component_id"] for r in found if texts[r["doc_id"]] == texts[-1]}
+    assert copies == {texts.index(texts[-1])} and len(found) == len(texts)
