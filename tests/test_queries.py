@@ -17,11 +17,20 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+# Too long to unroll in SQL; compared with brute force in test_bpe.py and test_generation.py.
+WITHOUT_SQL = {"bpe_full_merges", "generate_sampled_alias"}
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+def test_every_other_query_has_sql():
+    assert set(QUERIES) - WITHOUT_SQL == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_query_without_sql_gives_rows(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+@pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, con, name):
     assert compare(spark, con, SF_DIR, QUERIES[name], SQL[name]) is None
 
