@@ -1,9 +1,11 @@
 """Tokenizer fit and encoding against a sequential re-count of the same rules."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +16,7 @@ from textloom.operators import bpe as B
 from textloom.operators import corpus_stats as C
 from textloom.operators.bpe_state import Chain, KeptCounts, code_of, cut
 from textloom.operators.bpe_state import count_pairs as count_pairs_of
-from textloom.operators.bpe import BpeModel, encode, fit_bpe, fit_words, merge_word, take_safe_batch, tokenize
+from textloom.operators.bpe import SPECIAL_TOKENS, BpeModel, _word_encoder, encode, fit_bpe, fit_words, merge_word, take_safe_batch, tokenize
 
 TINY = {"low": 5, "lower": 2, "newest": 6, "widest": 3}
 
@@ -338,3 +340,32 @@ def test_tokenize_shapes_and_kept_columns(spark):
     assert rows[0].asDict().keys() == {"k", "lang", "input_ids", "labels"}
     assert rows[0]["input_ids"] == [B.PAD] * 5 and rows[0]["labels"] == [B.PAD] * 5
     assert len(rows[1]["input_ids"]) == 5 and rows[1]["labels"] == rows[1]["input_ids"][1:] + [B.PAD]
+
+
+def test_encoding_goes_to_python_in_batches_of_few_bytes(spark):
+    """2,000 texts of 10 KB were one batch of 20 MB in one task, and its ids several times that."""
+    model = fit_bpe(spark.createDataFrame([(0, "ab ab cd")], "row_id long, text string"), max_merges=1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        rows = spark.range(0, 2_000, 1, 1).select("id", F.repeat(F.lit("ab cd x "), 1_250).alias("text"))
+        ids = rows.select("id", encode(model, F.col("text")).alias("ids"))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
+        sizes = ids.select(F.size("ids").alias("n"), F.hash("ids").alias("h")).distinct().collect()
+        assert [r["n"] for r in sizes] == [4 * 1_250]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+
+
+def test_encoder_holds_ids_once():
+    """Ids of a batch are copied once, without 8-byte places of every id beside them."""
+    model = BpeModel([*SPECIAL_TOKENS, "a", "b", "ab"], 2, [("a", "b", 1)])
+    words = [["ab", "a" * 60], [], ["x"]] * 20_000
+    chunk = pa.array([["skipped"], *words], pa.list_(pa.string())).slice(1)
+    tracemalloc.start()
+    (made,) = _word_encoder(model)(iter([chunk]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made.slice(0, 4).to_pylist() == [[6, *[4] * 60], [], [0], [6, *[4] * 60]] and len(made) == len(words)
+    assert list(_word_encoder(model)(iter([chunk.slice(0, 0)])))[0].to_pylist() == []
+    assert peak < 8 * len(made.flatten())  # NumPy reports what it holds; the ids themselves are Arrow's

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.plans.layout import bounded_batches  # noqa: F401  (used from here by the operators)
 from textloom.plans.storage import materialise
 
 # ASCII white space, as in the word pattern [^\x20\x09-\x0D]+
@@ -23,19 +24,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Hand texts to Python in batches of a few megabytes, unless the session sets a size of its own.
-
-    The default of 64 MB is held several times over by either side of the pipe.
-    """
-    if spark.conf.get(_BATCH_BYTES) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH_BYTES, str(2 << 20))
-
-
-_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-_BATCH_DEFAULT = "67108864b"
-
-
 def words(text: Column) -> Column:
     """Maximal runs of characters other than ASCII white space; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
