@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import characters
 from textloom.operators import bpe as B
 from textloom.operators import corpus_stats as C
-from textloom.operators.bpe_state import Chain, KeptCounts, code_of, cut
+from textloom.operators.bpe_state import END, Chain, KeptCounts, _gathered, code_of, cut
 from textloom.operators.bpe_state import count_pairs as count_pairs_of
 from textloom.operators.bpe import SPECIAL_TOKENS, BpeModel, _word_encoder, encode, fit_bpe, fit_words, merge_word, take_safe_batch, tokenize
 
@@ -369,3 +369,28 @@ def test_encoder_holds_ids_once():
     assert made.slice(0, 4).to_pylist() == [[6, *[4] * 60], [], [0], [6, *[4] * 60]] and len(made) == len(words)
     assert list(_word_encoder(model)(iter([chunk.slice(0, 0)])))[0].to_pylist() == []
     assert peak < 8 * len(made.flatten())  # NumPy reports what it holds; the ids themselves are Arrow's
+
+
+def test_few_merges_look_at_few_pairs(spark, monkeypatch):
+    """Looking at all pairs first means pieces that are written only to be found too many."""
+    looked = []
+    pieces = B._pieces
+    monkeypatch.setattr(B, "_pieces", lambda state, pairs: looked.append(len(pairs)) or pieces(state, pairs))
+    counts = clauses()
+    model = fit_words(frame(spark, counts), max_merges=3)
+    assert (model.tokens, model.merges) == one_at_a_time(counts, 3)
+    assert looked and max(looked) <= 4 * 3
+
+
+def test_merges_are_applied_to_many_batches_at_once():
+    """2,000 merges cost their time once for all small batches of a task, and absent pairs next to nothing."""
+    batch = pa.RecordBatch.from_arrays([pa.array([[5, 6, 7]], pa.list_(pa.int32())), pa.array([3], pa.int64())], names=["ids", "n"])
+    parts = list(_gathered(iter([batch] * 1_000)))
+    assert len(parts) == 1 and parts[0][0].tolist() == [5, 6, 7, END] * 1_000 and parts[0][1].tolist() == [3] * 4_000
+    chain = Chain(parts[0][0])
+    whole = chain.codes_at
+    chain.codes_at = lambda places: pytest.fail("an absent pair touches nothing")
+    old, new = chain.merge((8, 9, 10))
+    assert len(old[0]) == len(new[0]) == 0
+    chain.codes_at = whole
+    assert len(chain.merge((5, 6, 10))[1][0]) == 1_000
