@@ -170,3 +170,33 @@ def test_ten_thousand_rules_in_one_predicate(spark, capsys):
     kept.explain()
     plan = capsys.readouterr().out
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+MANY_RULES = ["a", "b/", "c?", "*d", "e*f", "g/h", "g/**/i", "**/j", "k/**", "[l-n]o", "[!p]q/r?", "/s", "/t/u/", "v[w", "x]y", "*", "**z", "#c", " "]
+
+
+@pytest.mark.parametrize("some", [range(0, 15), [0, 10, 16, 17, 18]])
+def test_rules_as_a_table_equal_rules_as_a_predicate(spark, tmp_path, monkeypatch, some):
+    rng = random.Random(7)
+    parts = ["a", "b", "c1", "cc", "xd", "d", "exf", "ef", "g", "h", "i", "j", "k", "lo", "oo", "zq", "pq", "r1", "s", "t", "u", "v[w", "x]y", "é"]
+    made = {"/".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(400)}
+    paths = spark.createDataFrame([(p,) for p in sorted(made)] * 2, "path string")
+    rules = [MANY_RULES[i] for i in some]
+    (tmp_path / "rules").write_text("\n".join(rules) + "\x0bnever-there\n", "utf-8")
+    place = str(tmp_path / "rules")
+    short = [sorted(r["path"] for r in f(paths, place).collect()) for f in (P.exclude, P.include, P.collect_paths)]
+    monkeypatch.setattr(P, "LIST_BYTES", 0)
+    monkeypatch.setattr(P, "excluded_by", lambda *_: pytest.fail("rules of a large file are not collected"))
+    long = [sorted(r["path"] for r in f(paths, place).collect()) for f in (P.exclude, P.include, lambda p, r: P.collect_paths(p, r, r))]
+    assert long[:2] == short[:2]
+    assert set(long[2]) == set(short[0]) | set(short[1])
+
+
+def test_a_table_of_rules_with_hidden_files_and_one_that_covers_all(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "LIST_BYTES", 0)
+    paths = spark.createDataFrame([("a/b",), ("c",), ("d",), (None,)], "path string")
+    (tmp_path / "part-0").write_text("a\n")
+    (tmp_path / "_more").write_text("c\n")
+    assert {r["path"] for r in P.exclude(paths, str(tmp_path)).collect()} == {"d", None}
+    (tmp_path / "part-1").write_text("/\n")
+    assert P.exclude(paths, str(tmp_path)).count() == 0

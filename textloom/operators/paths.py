@@ -2,7 +2,9 @@
 
 Pattern lists are configuration: they are parsed with the same expressions as
 a pattern table and then become one predicate, so applying them needs neither
-a join nor a shuffle. A directory is any proper '/'-prefix of a path.
+a join nor a shuffle. Only files of patterns beyond LIST_BYTES stay tables: a
+rule then meets the paths that hold its longest literal piece, and is tried on
+those alone. A directory is any proper '/'-prefix of a path.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 from textloom.functions.globs import glob_regex, is_rule
 from textloom.functions.path_rules import Glob, by_parts, matcher
 from textloom.functions.text import strip, strip_leading_dots
+from textloom.plans.lookup import spread_join
 from textloom.plans.ordering import any_of
-from textloom.plans.storage import read_lines
+from textloom.plans.storage import bytes_of, line_table, materialise, read_lines
 
 # Directories left out of a listing by default.
 EXCLUDED_DIRS = [".git", "__pycache__", ".venv", "venv", "node_modules", ".pytest_cache"]
@@ -25,6 +28,8 @@ EXCLUDED_DIRS = [".git", "__pycache__", ".venv", "venv", "node_modules", ".pytes
 GLOBS_AT_ONCE = 500
 # ... and the length of a list from which on an automaton over path parts takes their place.
 MANY = 500
+# Bytes of a file of patterns from which on its rules are joined to the paths instead of becoming a predicate.
+LIST_BYTES = 256 << 10
 
 
 def outside_dirs(path: Column, names: Sequence[str] = EXCLUDED_DIRS) -> Column:
@@ -85,6 +90,85 @@ def _matches_any(path: Column, rules: dict[str, Glob]) -> list[Column]:
     return [matcher(sorted(parted.values()), path), *conditions] if parted else conditions
 
 
+def _is_table(spark: SparkSession, patterns: str | Sequence[str] | None) -> bool:
+    """Whether the patterns are too many for a predicate."""
+    return isinstance(patterns, str) and bytes_of(spark, patterns) > LIST_BYTES
+
+
+def _pieces(part: Column) -> Column:
+    """Keys of one part of a path or of a glob without wildcards: itself, what it begins with, what it ends with."""
+    ends = F.sequence(F.lit(1), F.length(part))
+    heads = F.transform(ends, lambda i: F.concat(F.lit("h"), F.substr(part, F.lit(1), i)))
+    tails = F.transform(ends, lambda i: F.concat(F.lit("t"), F.substr(part, i)))
+    return F.when(part == "", F.array().cast("array<string>")).otherwise(F.concat(F.array(F.concat(F.lit("p"), part)), heads, tails))
+
+
+def _glob_key(glob: Column) -> Column:
+    """The longest literal piece that every matching path has; null for globs without one or not taken part by part."""
+
+    def piece(kind: str, value: Column) -> Column:
+        return F.struct(F.length(value).alias("n"), F.concat(F.lit(kind), value).alias("key"))
+
+    def of_part(part: Column) -> Column:
+        head = F.regexp_extract(part, r"(?s)^[^*?\[\]]*", 0)
+        tail = F.regexp_extract(part, r"(?s)[^*?\[\]]*\z", 0)
+        return F.when(head == part, piece("p", part)).otherwise(F.greatest(piece("h", head), piece("t", tail)))
+
+    parts = F.split(glob, "/")
+    apart = F.forall(parts, lambda p: (p != "") & ((p == "**") | ~p.contains("**")))
+    longest = F.array_max(F.transform(parts, of_part))
+    return F.when(apart & (longest["n"] > 0), longest["key"])
+
+
+def _matched(paths: DataFrame, path_col: str, rules: DataFrame, rest: Column) -> DataFrame:
+    """(path): the distinct paths that a rule (key, regex) matches, or for which ``rest`` holds.
+
+    Only paths with a rule's key are tried. A rule without a regex matches wherever its key is.
+    """
+    path = F.col("path")
+    distinct = materialise(paths.select(F.col(path_col).alias("path")).where("path IS NOT NULL").distinct(), "paths")
+    by_key = rules.distinct().groupBy("key").agg(F.collect_list("regex").alias("regexes"), F.bool_or(F.isnull("regex")).alias("always"))
+    keys = F.array_distinct(
+        F.concat(
+            F.flatten(F.transform(F.split(path, "/"), _pieces)),
+            F.transform(prefixes(path), lambda p: F.concat(F.lit("d"), p)),
+            F.array(F.concat(F.lit("w"), path)),
+        )
+    )
+    # the keys of rules are few beside the pieces of paths
+    met = distinct.select("path", F.explode(keys).alias("key")).join(by_key.select("key"), "key", "left_semi")
+    tried = spread_join(materialise(met, "path-keys"), by_key, "key", ["path"])
+    found = tried.where(F.col("always") | F.exists("regexes", lambda r: F.rlike(path, r))).select("path")
+    return found.union(distinct.where(rest)).distinct()
+
+
+def _joined(paths: DataFrame, path_col: str, globs: DataFrame, others: DataFrame | None, subtree: bool) -> DataFrame:
+    """``_matched`` for globs (regex, glob, deep, dir_only) and other rules (key, regex).
+
+    Globs without any literal piece are listed, as those of short lists are.
+    """
+    # unlike '$' this ends behind a line break, and '.' may be one
+    regex = F.concat(F.lit("(?s)"), F.substr("regex", F.lit(1), F.length("regex") - 1), F.lit(r"\z"))
+    keyed = materialise(globs.withColumn("key", _glob_key(F.col("glob"))), "path-globs")
+    loose = {r["regex"]: (r["glob"], r["deep"], r["dir_only"], subtree) for r in keyed.where("key IS NULL").collect()}
+    rules = keyed.where("key IS NOT NULL").select("key", regex.alias("regex"))
+    rules = rules if others is None else rules.union(others)
+    return _matched(paths, path_col, rules, any_of(_matches_any(F.col("path"), loose)))
+
+
+def _excluded_paths(paths: DataFrame, path_col: str, patterns: str) -> DataFrame | None:
+    """(path): the distinct paths that a large file of exclusion patterns covers; None if all are."""
+    rules = materialise(pattern_rules(line_table(paths.sparkSession, patterns)), "path-rules")
+    literal = rules.where("root_relative")
+    if literal.where("pattern = ''").limit(1).count():
+        return None
+    globs = rules.where("NOT root_relative").select("regex", F.col("pattern").alias("glob"), F.lit(True).alias("deep"), "dir_only")
+    none = F.lit(None).cast("string")
+    dirs = literal.select(F.concat(F.lit("d"), "pattern").alias("key"), none.alias("regex"))
+    whole = literal.where("NOT dir_only").select(F.concat(F.lit("w"), "pattern"), none)
+    return _joined(paths, path_col, globs, dirs.union(whole), True)
+
+
 def excluded_by(spark: SparkSession, path: Column, patterns: str | Sequence[str] | None) -> Column:
     """True for paths that any exclusion pattern covers.
 
@@ -106,23 +190,38 @@ def excluded_by(spark: SparkSession, path: Column, patterns: str | Sequence[str]
     return any_of(conditions)
 
 
-def included_by(spark: SparkSession, path: Column, patterns: str | Sequence[str] | None) -> Column:
-    """True for paths that any inclusion glob matches, from the root or, unless it
-    contains ``**``, at any depth."""
+def _inclusions(lines: DataFrame) -> DataFrame:
+    """(regex, glob, deep, dir_only) of inclusion globs: anchored at the root if they contain ``**``."""
     glob = strip_leading_dots(F.col("line"))
     rooted = glob.contains("**")
     depth = F.when(rooted, F.lit("^")).otherwise(F.lit("(^|/)"))
     regex = F.concat(depth, glob_regex(glob), F.lit("$"))
-    found = read_patterns(spark, patterns).select(regex.alias("regex"), glob.alias("glob"), rooted.alias("rooted"))
-    return any_of(_matches_any(path, {r["regex"]: (r["glob"], not r["rooted"], False, False) for r in found.collect()}))
+    return lines.select(regex.alias("regex"), glob.alias("glob"), (~rooted).alias("deep"), F.lit(False).alias("dir_only"))
+
+
+def included_by(spark: SparkSession, path: Column, patterns: str | Sequence[str] | None) -> Column:
+    """True for paths that any inclusion glob matches, from the root or, unless it
+    contains ``**``, at any depth."""
+    found = _inclusions(read_patterns(spark, patterns)).collect()
+    return any_of(_matches_any(path, {r["regex"]: (r["glob"], r["deep"], False, False) for r in found}))
 
 
 def exclude(paths: DataFrame, patterns: str | Sequence[str] | None, path_col: str = "path") -> DataFrame:
-    return paths.where(~excluded_by(paths.sparkSession, F.col(path_col), patterns))
+    """Paths that no exclusion pattern covers; a large file of patterns is joined, not collected."""
+    if not _is_table(paths.sparkSession, patterns):
+        return paths.where(~excluded_by(paths.sparkSession, F.col(path_col), patterns))
+    covered = _excluded_paths(paths, path_col, patterns)
+    if covered is None:
+        return paths.where(F.lit(False))
+    return paths.join(covered.withColumnRenamed("path", "_covered"), F.col(path_col) == F.col("_covered"), "left_anti")
 
 
 def include(paths: DataFrame, patterns: str | Sequence[str] | None, path_col: str = "path") -> DataFrame:
-    return paths.where(included_by(paths.sparkSession, F.col(path_col), patterns))
+    """Paths that an inclusion glob matches; a large file of globs is joined, not collected."""
+    if not _is_table(paths.sparkSession, patterns):
+        return paths.where(included_by(paths.sparkSession, F.col(path_col), patterns))
+    found = _joined(paths, path_col, _inclusions(line_table(paths.sparkSession, patterns)), None, False)
+    return paths.join(found.withColumnRenamed("path", "_found"), F.col(path_col) == F.col("_found"), "left_semi")
 
 
 def collect_paths(
@@ -134,6 +233,10 @@ def collect_paths(
 ) -> DataFrame:
     """Distinct paths that are kept or explicitly included; inclusion wins."""
     spark, path = paths.sparkSession, F.col(path_col)
+    if _is_table(spark, exclude_patterns) or _is_table(spark, include_patterns):
+        only = paths.select(path_col)
+        outside = exclude(only.where(outside_dirs(path, excluded_dirs)), exclude_patterns, path_col)
+        return outside.union(include(only, include_patterns, path_col)).distinct()
     kept = outside_dirs(path, excluded_dirs) & ~excluded_by(spark, path, exclude_patterns)
     return paths.where(kept | included_by(spark, path, include_patterns)).select(path_col).distinct()
 
