@@ -278,3 +278,18 @@ def test_no_rows_at_all(spark, tmp_path):
     (tmp_path / "a.txt").write_text("")
     numbered, rows = files.numbered(files.scan(spark, str(tmp_path), "txt", keep_order=True))
     assert rows == 0 and numbered.collect() == [] and numbered.columns == ["text", "row_id"]
+
+
+def test_csv_of_a_large_table_is_many_files(spark, tmp_path, monkeypatch):
+    """A file with quoted line breaks is one task, so a query that writes its CSV bounds the files."""
+    from textloom.queries import source_queries as S
+
+    rows = [(i, f'text "{i}"\nmore', "en", "web", 7) for i in range(500)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    made.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(S, "ROWS_PER_FILE", 50)
+    scanned = S.scan_csv(spark, str(tmp_path))
+    assert len(scanned.inputFiles()) == 10
+    assert sorted(r["doc_id"] for r in scanned.collect()) == list(range(500))
+    numbered = S.config_local(spark, str(tmp_path)).collect()
+    assert all(r["row_id"] == r["doc_id"] for r in numbered) and len(numbered) == 400

@@ -18,6 +18,9 @@ from textloom.sources.snapshots import scan_snapshot
 # Files that a language is written to, at most.
 FILES_PER_LANG = 32
 
+# Rows of a CSV file: with quoted line breaks a file is read by one task, so a large table has to be many files.
+ROWS_PER_FILE = 8192
+
 # Text goes out as it is, quotes doubled.
 _CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -43,7 +46,7 @@ _CHECKED_SQL = "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM
 
 
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(spark, sf_dir, "csv", **_CSV)
+    path = _written(spark, sf_dir, "csv", **_CSV, maxRecordsPerFile=ROWS_PER_FILE)
     return _checked(scan(spark, path, "csv"))
 
 
@@ -103,7 +106,7 @@ def config_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A local CSV configuration; rows are numbered in file order."""
     path = scratch_path(spark, "corpus-csv")
-    _in_order(spark, sf_dir).write.options(**_CSV).csv(path)
+    _in_order(spark, sf_dir).write.options(**_CSV, maxRecordsPerFile=ROWS_PER_FILE).csv(path)
     catalogue = {
         "select": "csv_corpus",
         "configs": {"csv_corpus": {"source": "local", "data_dir": path, "type": "csv", "train_ratio": 0.8}},
