@@ -22,7 +22,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of five-word shingle sets at least 0.8 alike."""
+    """The first document of each component of five-word shingle sets at least 0.8 alike, found by SimHash and, beyond its reach, MinHash."""
     return simhash.keep_first(docs, find=near_copies.near_copies)
 
 

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_text_operators import documents
@@ -67,3 +68,32 @@ def test_many_copies_of_one_text(spark, monkeypatch):
     found = simhash.near_duplicates(documents(spark, texts)).collect()
     copies = {r["component_id"] for r in found if texts[r["doc_id"]] == texts[-1]}
     assert copies == {texts.index(texts[-1])} and len(found) == len(texts)
+
+
+def test_fingerprints_link_what_the_bands_are_kept_from(spark, monkeypatch):
+    """SimHash gives links of its own: with bands that never meet, close copies are still one component."""
+    monkeypatch.setattr(near_copies, "_signatures", without_bands(near_copies._signatures))
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    close = [*base[:599], "other"]
+    far = [f"v{rng.randrange(10**6)}" for _ in range(600)]
+    texts = [" ".join(base), " ".join(far), " ".join(close)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
+
+
+def without_bands(signatures):
+    def made(shingle):
+        whole = signatures(shingle)
+        return lambda text: whole(text).withField("buckets", F.array().cast("array<long>"))
+
+    return made
+
+
+def test_a_fingerprint_is_the_majority_of_a_set():
+    texts = [b"a b c d e f g", b"", b"one two"]
+    for t in texts:
+        hashes = [int(h) for h in near_copies.shingle_set(t, 5)]
+        bits = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+        assert near_copies.majority(near_copies.shingle_set(t, 5)) == bits

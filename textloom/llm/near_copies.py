@@ -1,11 +1,14 @@
 """Near copies by the Jaccard similarity of word shingles.
 
 Two texts are linked when their sets of shingles have at least the given share
-in common. Candidates come from MinHash bands: 200 minima in 40 bands of five,
-so that a pair at 0.8 shares no band with a chance of 1.3e-7, and a closer one
-with less. Every link is verified on the exact sets. Equal sets count once, and
-a bucket gives one candidate per member; only buckets that stay apart then
-have their members compared with each other, in blocks of bounded size.
+in common. Candidates come from SimHash first, as in ``simhash``: fingerprints
+of the sets within three bits, found in buckets of three blocks out of six. A
+pair at 0.8 differs in about ten of 64 bits, so MinHash bands give the
+candidates out of its reach: 200 minima in 40 bands of five, so that a pair at
+0.8 shares none with a chance of 1.3e-7, and a closer one with less. Every link
+is verified on the exact sets. Equal sets count once, and a bucket gives one
+candidate per member; only buckets that the links of both leave apart then have
+their members compared with each other, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import bounded_batches
 from textloom.llm.components import components
-from textloom.llm.simhash import shingle_hashes
+from textloom.llm.simhash import majority, near_edges, shingle_hashes
 from textloom.plans.storage import materialise
 
 SHINGLE = 5
@@ -62,9 +65,11 @@ def _signatures(shingle: int) -> Column:
         sets = [shingle_set(_bytes(t), shingle) for t in texts]
         keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
         sizes = pa.array([len(s) for s in sets], pa.int64())
-        return pa.StructArray.from_arrays([keys, sizes, _longs([buckets_of(s) for s in sets])], ["key", "size", "buckets"])
+        prints = pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64))
+        buckets = _longs([buckets_of(s) for s in sets])
+        return pa.StructArray.from_arrays([keys, sizes, prints, buckets], ["key", "size", "fp", "buckets"])
 
-    return F.arrow_udf(_typed(made), "key binary, size long, buckets array<long>")
+    return F.arrow_udf(_typed(made), "key binary, size long, fp long, buckets array<long>")
 
 
 def _sets(shingle: int) -> Column:
@@ -143,21 +148,40 @@ def _apart(members: DataFrame, edges: DataFrame, block_shingles: int) -> DataFra
     return met.select("bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"), "key")
 
 
+def simhash_pairs(distinct: DataFrame) -> DataFrame:
+    """(a, b) pairs of keys with the same fingerprint or with linked ones; each is one that its fingerprint's least key is in."""
+    prints = materialise(distinct.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n")), "copies-prints")
+    shared = prints.where("n > 1").select("fp", "least")
+    same = distinct.join(shared, "fp").where("key != least").select(F.col("least").alias("a"), F.col("key").alias("b"))
+    edges = near_edges(prints.select("fp")).distinct()
+    one = prints.select(F.col("fp").alias("a"), F.col("least").alias("_a"))
+    other = prints.select(F.col("fp").alias("b"), F.col("least").alias("_b"))
+    near = edges.join(one, "a").join(other, "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    return same.union(near)
+
+
 def links(
     rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, block_shingles: int
 ) -> DataFrame:
     """(a, b) edges that connect all keys of ``rows`` with similar sets."""
     per_mille = round(1000 * similarity)
     distinct = materialise(
-        rows.groupBy("key").agg(F.min("id").alias("first"), F.first("size").alias("size"), F.first("buckets").alias("buckets")),
+        rows.groupBy("key").agg(
+            F.min("id").alias("first"),
+            F.first("size").alias("size"),
+            F.first("fp").alias("fp"),
+            F.first("buckets").alias("buckets"),
+        ),
         "copies-distinct",
     )
+    printed = materialise(simhash_pairs(distinct), "copies-printed")
     placed = distinct.select("key", "size", F.explode("buckets").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("least")).where("n > 1")
     members = materialise(placed.join(shared.drop("n"), "bucket"), "copies-members")
-    stars = members.where("key != least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+    stars = members.where("key != least").select(F.col("least").alias("a"), F.col("key").alias("b")).union(printed).distinct()
     # only texts that meet another one are cut into shingles again
-    needed = materialise(members.select("key").distinct().join(distinct.select("key", "first"), "key"), "copies-needed")
+    met = members.select("key").union(printed.select("a")).union(printed.select("b")).distinct()
+    needed = materialise(met.join(distinct.select("key", "first"), "key"), "copies-needed")
     again = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # an id can have several texts: the key tells them apart
     texts = again.join(needed.select("first").distinct(), F.col("id").eqNullSafe(F.col("first")), "left_semi")
@@ -185,7 +209,7 @@ def near_copies(
     """
     bounded_batches(docs.sparkSession)
     made = docs.select(F.col(id_col).alias("id"), _signatures(shingle)(text_col).alias("s"))
-    rows = materialise(made.select("id", "s.key", "s.size", "s.buckets"), "copies")
+    rows = materialise(made.select("id", "s.key", "s.size", "s.fp", "s.buckets"), "copies")
     root = components(links(rows, docs, id_col, text_col, shingle, similarity, block_shingles))
     smallest = rows.groupBy("key").agg(F.min("id").alias("first"))
     linked = smallest.join(root, smallest["key"] == root["node"], "left").select(

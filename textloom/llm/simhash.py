@@ -48,13 +48,16 @@ def fingerprint_of(text: bytes, shingle: int = SHINGLE) -> int:
     """The fingerprint of one UTF-8 text, unsigned."""
     if not text.strip():
         return 0
-    rows = np.array(shingle_hashes(text, shingle), dtype="<u8")
+    return majority(np.array(shingle_hashes(text, shingle), dtype="<u8"))
+
+
+def majority(rows: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(rows), 65_536):  # bounded memory for very long texts
         bits = np.unpackbits(rows[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    majority = np.packbits(2 * ones > len(rows), bitorder="little")
-    return int(majority.view("<u8")[0])
+    return int(np.packbits(2 * ones > len(rows), bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(texts: pa.Array) -> pa.Array:
