@@ -371,6 +371,34 @@ def test_encoder_holds_ids_once():
     assert peak < 8 * len(made.flatten())  # NumPy reports what it holds; the ids themselves are Arrow's
 
 
+def test_ids_of_a_large_batch_are_made_in_slices(monkeypatch):
+    """A session may send batches of any size; their ids, several times as large, are made a few megabytes at a time."""
+    monkeypatch.setattr(B, "SLICE_BYTES", 6_000)
+    model = BpeModel([*SPECIAL_TOKENS, "a", "b", "ab"], 2, [("a", "b", 1)])
+    words = [[], ["ab", "é", "a" * 60], [], ["a" * 9_000], ["x", "ab"], []] * 300
+    want = [[i for w in row for i in merge_word([model.ids.get(c, B.UNK) for c in w], model.merge_ranks())] for row in words]
+    for kind in (pa.string(), pa.large_string()):
+        chunk = pa.array([["skipped"], *words, ["skipped"]], pa.list_(kind)).slice(1, len(words))
+        made = list(_word_encoder(model)(iter([chunk, chunk.slice(0, 1)])))
+        assert [row for m in made for row in m.to_pylist()] == [*want, []]
+        assert max(len(m.flatten()) for m in made) <= 9_000
+        assert len(made) <= 2 * 300 + 2
+
+
+def test_batches_are_bounded_in_the_session_that_plans(spark):
+    """Only the active session was set, so a second session of the application kept batches of 64 MB."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    model = fit_words(frame(spark, TINY), max_merges=2)
+    spark.createDataFrame([(1,)], "k int").count()  # makes this the active session
+    other, third = spark.newSession(), spark.newSession()
+    rows = other.range(3).select("id", F.lit("low lower").alias("text"))
+    assert int(other.conf.get(size).rstrip("b")) > 4 << 20
+    assert tokenize(rows, model, max_length=4).count() == 3
+    assert int(other.conf.get(size).rstrip("b")) <= 4 << 20
+    assert third.range(3).select(encode(model, F.lit("low"), third)).count() == 3
+    assert int(third.conf.get(size).rstrip("b")) <= 4 << 20
+
+
 def test_few_merges_look_at_few_pairs(spark, monkeypatch):
     """Looking at all pairs first means pieces that are written only to be found too many."""
     looked = []
