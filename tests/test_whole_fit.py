@@ -83,9 +83,19 @@ def test_sql_of_the_whole_fit_stops_at_the_size(folder, fitted, monkeypatch):
     assert [t for (t,) in connect(folder).execute(sql).fetchall()] == fitted[0][:100]
 
 
-WHOLE = ["bigram_counts"]
+WHOLE = ["bigram_counts", "heldout_overall"]
 
 
 @pytest.mark.parametrize("name", WHOLE)
 def test_whole_query_equals_its_sql(spark, folder, name):
     assert compare(spark, connect(folder), folder, QUERIES[name], SQL[name]) is None
+
+
+def test_heldout_loss_is_of_the_whole_vocabulary(spark, folder, fitted, pairs):
+    totals = Counter()
+    for (x, _), n in pairs["train"].items():
+        totals[x] += n
+    n_pairs = sum(pairs["validation"].values())
+    losses = [n * -math.log((pairs["train"][p] + 1) / (totals[p[0]] + len(fitted[0]))) for p, n in pairs["validation"].items()]
+    got = QUERIES["heldout_overall"](spark, folder).first()
+    assert got["n_pairs"] == n_pairs and got["loss"] == pytest.approx(sum(losses) / n_pairs, abs=1e-6)
