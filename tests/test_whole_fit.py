@@ -83,7 +83,7 @@ def test_sql_of_the_whole_fit_stops_at_the_size(folder, fitted, monkeypatch):
     assert [t for (t,) in connect(folder).execute(sql).fetchall()] == fitted[0][:100]
 
 
-WHOLE = ["bigram_counts", "heldout_overall"]
+WHOLE = ["bigram_counts", "heldout_overall", "padding_waste"]
 
 
 @pytest.mark.parametrize("name", WHOLE)
@@ -99,3 +99,9 @@ def test_heldout_loss_is_of_the_whole_vocabulary(spark, folder, fitted, pairs):
     losses = [n * -math.log((pairs["train"][p] + 1) / (totals[p[0]] + len(fitted[0]))) for p, n in pairs["validation"].items()]
     got = QUERIES["heldout_overall"](spark, folder).first()
     assert got["n_pairs"] == n_pairs and got["loss"] == pytest.approx(sum(losses) / n_pairs, abs=1e-6)
+
+
+def test_padding_counts_ids_of_the_whole_vocabulary(spark, folder, fitted):
+    got = QUERIES["padding_waste"](spark, folder).collect()
+    assert sum(r["n_rows"] for r in got) == len(ROWS)
+    assert sum(r["n_real"] for r in got) == sum(min(len(ids), common.MAX_LENGTH) for ids in fitted[1].values())

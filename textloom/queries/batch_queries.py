@@ -17,8 +17,12 @@ from textloom.queries.common import (
     encode_sql,
     encoded,
     fit_sql,
+    full_encode_sql,
+    full_fit_sql,
+    full_tokenizer,
     joined,
     rounded,
+    with_recursive_sql,
     with_sql,
 )
 
@@ -84,9 +88,9 @@ def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def padding_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wasted = B.padding_waste(
-        encoded(spark, sf_dir), _positions(spark, sf_dir), ["doc_id"], MAX_LENGTH, batch_size=BATCH
-    )
+    """Shares of padding in batches of ids of the whole vocabulary."""
+    ids = encoded(spark, sf_dir, full_tokenizer(spark, sf_dir))
+    wasted = B.padding_waste(ids, _positions(spark, sf_dir), ["doc_id"], MAX_LENGTH, batch_size=BATCH)
     return wasted.select("batch_id", "n_rows", "n_real", rounded("waste_fixed"), rounded("waste_dynamic"))
 
 
@@ -162,7 +166,7 @@ steps AS (
   SELECT s + 1 AS step, s // n AS epoch, s % n AS batch_id
   FROM range(10000) t(s), (SELECT count(*) AS n FROM per_batch))
 SELECT step, epoch, batch_id, n_rows FROM steps JOIN per_batch USING (batch_id)""",
-    "padding_waste": with_sql(fit_sql(), encode_sql("documents", "doc_id"), _PLACED)
+    "padding_waste": with_recursive_sql(full_fit_sql(), full_encode_sql("documents", "doc_id"), _PLACED)
     + f"""SELECT batch_id, count(*) AS n_rows, sum(n)::BIGINT AS n_real,
   round(1 - sum(n) / (count(*) * {MAX_LENGTH}), 6) AS waste_fixed,
   round(1 - sum(n) / (count(*) * max(n)), 6) AS waste_dynamic
