@@ -83,7 +83,7 @@ def test_sql_of_the_whole_fit_stops_at_the_size(folder, fitted, monkeypatch):
     assert [t for (t,) in connect(folder).execute(sql).fetchall()] == fitted[0][:100]
 
 
-WHOLE = ["bigram_counts", "heldout_overall", "padding_waste"]
+WHOLE = ["bigram_counts", "heldout_overall", "padding_waste", "vocab_size"]
 
 
 @pytest.mark.parametrize("name", WHOLE)
@@ -105,3 +105,7 @@ def test_padding_counts_ids_of_the_whole_vocabulary(spark, folder, fitted):
     got = QUERIES["padding_waste"](spark, folder).collect()
     assert sum(r["n_rows"] for r in got) == len(ROWS)
     assert sum(r["n_real"] for r in got) == sum(min(len(ids), common.MAX_LENGTH) for ids in fitted[1].values())
+
+
+def test_vocabulary_is_that_of_a_whole_fit(spark, folder, fitted):
+    assert QUERIES["vocab_size"](spark, folder).first()["vocab_size"] == len(fitted[0])

@@ -16,9 +16,11 @@ from textloom.queries.common import (
     PRETOKENS,
     documents,
     fit_sql,
+    full_fit_sql,
     full_tokenizer,
     texts,
     tokenizer,
+    with_recursive_sql,
     with_sql,
 )
 from textloom.queries.source_queries import MERGES_SQL
@@ -76,7 +78,8 @@ def bpe_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_vocab(spark, sf_dir).agg(F.count("*").alias("vocab_size"))
+    """Size of the vocabulary of a whole fit: 8,192 ids, or fewer if no other pair is seen often enough."""
+    return full_tokenizer(spark, sf_dir).vocab_table(spark).agg(F.count("*").alias("vocab_size"))
 
 
 QUERIES = {
@@ -118,5 +121,5 @@ SELECT word, n, replace(trim(replace(replace(' ' || array_to_string(regexp_extra
   ' t  h ', ' th '), ' e  e ', ' ee ')), '  ', ' ') AS symbols FROM words""",
     "bpe_merges": with_sql(fit_sql()) + MERGES_SQL,
     "bpe_vocab": with_sql(fit_sql()) + "SELECT token, id::INT AS id, kind FROM vocab",
-    "vocab_size": with_sql(fit_sql()) + "SELECT count(*) AS vocab_size FROM vocab",
+    "vocab_size": with_recursive_sql(full_fit_sql()) + "SELECT count(*) AS vocab_size FROM vocab",
 }
