@@ -9,7 +9,10 @@ import pytest
 from oracle import compare, connect
 from test_bpe import one_at_a_time
 from textloom.operators.bpe import BpeModel, merge_word
+from textloom.operators.scoring import score_pairs
 from textloom.operators.split import split_by_hash
+from textloom.plans import lookup
+from textloom.plans.storage import materialise
 from textloom.queries import QUERIES, SQL, common
 
 # "abc" comes from ab+c and from a+bc: one id, two merges
@@ -101,6 +104,15 @@ def test_heldout_loss_is_of_the_whole_vocabulary(spark, folder, fitted, pairs):
     assert got["n_pairs"] == n_pairs and got["loss"] == pytest.approx(sum(losses) / n_pairs, abs=1e-6)
 
 
+def test_summed_pairs_meet_counts_beyond_a_broadcast_without_repeating_them(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    counts = materialise(spark.createDataFrame([(5, 6, 4), (6, 5, 2)], "input_id int, label int, n long"), "counts")
+    pairs = spark.createDataFrame([(5, 6, 3), (6, 7, 1)], "input_id int, label int, w long")
+    scored = score_pairs(pairs, counts, 9, [])
+    assert "Generate" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["label"]: r["loss"] for r in scored.collect()} == pytest.approx({6: -math.log(5 / 13), 7: -math.log(1 / 11)})
+
+
 def test_padding_counts_ids_of_the_whole_vocabulary(spark, folder, fitted):
     got = QUERIES["padding_waste"](spark, folder).collect()
     assert sum(r["n_rows"] for r in got) == len(ROWS)
